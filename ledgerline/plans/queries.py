@@ -239,12 +239,16 @@ def apply_block_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_block(seed(spark, sf_dir), _block(changes(spark, sf_dir)), ["id"])
 
 
+def _block_number(ch: DataFrame):
+    """Cut the changes into ``N_BLOCKS`` consecutive offset ranges."""
+    lo, hi = ch.agg(F.min("ih_offset"), F.max("ih_offset")).first()
+    width = (hi - lo + 1) * 1.0
+    return F.floor((F.col("ih_offset") - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
+
+
 def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ch = changes(spark, sf_dir)
-    lo = ch.agg(F.min("ih_offset")).scalar()
-    hi = ch.agg(F.max("ih_offset")).scalar()
-    width = (hi - lo + 1) * 1.0
-    blk = F.floor((F.col("ih_offset") - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
+    blk = _block_number(ch)
     snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
     for b in range(N_BLOCKS):
@@ -257,10 +261,7 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.streaming.runner import apply_stream
 
     ch = changes(spark, sf_dir)
-    lo = ch.agg(F.min("ih_offset")).scalar()
-    hi = ch.agg(F.max("ih_offset")).scalar()
-    width = (hi - lo + 1) * 1.0
-    blk = F.floor((F.col("ih_offset") - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
+    blk = _block_number(ch)
     base = work_dir(spark, "stream")
     source = f"{base}/source"
     for b in range(N_BLOCKS):

@@ -33,14 +33,32 @@ def envelope_schema(row_schema: T.StructType) -> T.StructType:
     )
 
 
-def _parse(df: DataFrame, col: str, schema: T.DataType, fmt: str) -> Column:
+_CORRUPT = "__corrupt_record"
+
+
+def _parse(df: DataFrame, col: str, schema: T.StructType, fmt: str) -> tuple[Column, Column | None]:
+    """(parse expression, rebuild function input) for a payload column.
+
+    Text is parsed with a corrupt-record field, so malformed input is told
+    apart from a struct whose fields are null.
+    """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.StructType):
-        return F.col(col)
+        return F.col(f"`{col}`"), None
     if fmt != "json":
         raise ValueError(f"unsupported payload format {fmt!r}; Avro needs the spark-avro module and from_avro")
-    text = F.col(col).cast("string") if isinstance(dtype, T.BinaryType) else F.col(col)
-    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+    text = F.col(f"`{col}`").cast("string") if isinstance(dtype, T.BinaryType) else F.col(f"`{col}`")
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType(), True)])
+    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return parsed, text
+
+
+def _rebuild(raw: str, schema: T.StructType, text_col: str | None) -> Column:
+    """Null for missing or malformed payloads, else the struct without the corrupt field."""
+    if text_col is None:
+        return F.col(raw)
+    ok = F.col(text_col).isNotNull() & F.col(raw).isNotNull() & F.col(raw)[_CORRUPT].isNull()
+    return F.when(ok, F.struct(*[F.col(raw)[f.name].alias(f.name) for f in schema.fields]))
 
 
 def decode_envelope(
@@ -54,34 +72,46 @@ def decode_envelope(
     """Parse ``value`` into ``before, after, op`` and ``key`` into a struct.
 
     The op is lower-cased once here, so ``D`` deletes like ``d``. An envelope
-    schema without ``op`` is rejected when the plan is built.
+    schema without ``op`` is rejected when the plan is built. Missing or
+    malformed payloads decode to null (reported by ``validate_changes``).
     """
     vtype = df.schema[value_col].dataType
     if isinstance(vtype, T.StructType):
         names = [f.name for f in vtype.fields]
         if OP not in names:
             raise ValueError(f"field '{OP}' not found in value schema")
-        if row_schema is None:
-            row_schema = vtype[AFTER].dataType if AFTER in names else vtype[BEFORE].dataType
         env_schema = vtype
     else:
         if row_schema is None:
             raise ValueError("row_schema is required to decode text payloads")
         env_schema = envelope_schema(row_schema)
-    env = _parse(df, value_col, env_schema, fmt)
     cols = [c for c in df.columns if c not in (value_col, key_col)]
-    out = [F.col(f"`{c}`") for c in cols]
+    first = [F.col(f"`{c}`") for c in cols]
+    env, env_text = _parse(df, value_col, env_schema, fmt)
+    first += [env.alias("__env_raw")] + ([F.col(f"`{value_col}`").alias("__env_text")] if env_text is not None else [])
+    key_schema_used = None
+    key_text = None
     if key_col in df.columns:
         ktype = df.schema[key_col].dataType
         if not isinstance(ktype, T.StructType) and key_schema is None:
             raise ValueError("key_schema is required to decode text keys")
-        out.append(_parse(df, key_col, key_schema or ktype, fmt).alias("key"))
-    out += [
-        env[BEFORE].alias(BEFORE),
-        env[AFTER].alias(AFTER),
-        F.lower(env[OP]).alias(OP),
-    ]
-    return df.select(*out)
+        key_schema_used = key_schema or ktype
+        key, key_text = _parse(df, key_col, key_schema_used, fmt)
+        first += [key.alias("__key_raw")] + ([F.col(f"`{key_col}`").alias("__key_text")] if key_text is not None else [])
+    # parse once per row into columns, then rebuild and split them
+    parsed = df.select(*first)
+    second = [F.col(f"`{c}`") for c in cols]
+    if key_schema_used is not None:
+        second.append(_rebuild("__key_raw", key_schema_used, "__key_text" if key_text is not None else None).alias("key"))
+    second.append(_rebuild("__env_raw", env_schema, "__env_text" if env_text is not None else None).alias("__env"))
+    rebuilt = parsed.select(*second)
+    keep = [F.col(f"`{c}`") for c in rebuilt.columns if c != "__env"]
+    return rebuilt.select(
+        *keep,
+        F.col("__env")[BEFORE].alias(BEFORE),
+        F.col("__env")[AFTER].alias(AFTER),
+        F.lower(F.col("__env")[OP]).alias(OP),
+    )
 
 
 def decode_schemaless(df: DataFrame, cdc: bool = True, value_col: str = "value") -> DataFrame:
