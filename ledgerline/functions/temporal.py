@@ -95,7 +95,7 @@ def whole_minutes_between(start, end) -> Column:
 
 def utc_now_ntz() -> Column:
     """Current UTC wall-clock time as TIMESTAMP_NTZ, fixed per query."""
-    return F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
 
 
 def ntz_literal(value) -> Column:

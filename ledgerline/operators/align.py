@@ -42,6 +42,24 @@ def _as_fields(target) -> list[T.StructField]:
     return fields
 
 
+def _positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """Rename columns whose names collide ignoring case, by position.
+
+    Spark resolves names case-insensitively, so ``Id`` next to ``ID`` cannot be
+    selected by name. Returns the frame and original-name -> usable-name; the
+    first of the colliding names keeps mapping to its own column.
+    """
+    names = df.columns
+    lowered = [n.lower() for n in names]
+    if len(set(lowered)) == len(lowered):
+        return df, {n: n for n in names}
+    safe = [n if lowered.count(n.lower()) == 1 else f"{n}__pos{i}" for i, n in enumerate(names)]
+    mapping: dict[str, str] = {}
+    for orig, new in zip(names, safe):
+        mapping.setdefault(orig, new)
+    return df.toDF(*safe), mapping
+
+
 def convert_value(
     value: Column,
     name: str,
@@ -88,13 +106,14 @@ def align_to_target(
     fields = _as_fields(target)
     if not fields:
         raise ValueError("target has no columns")
-    available = [c for c in df.columns if c != map_col]
+    df, physical = _positional(df)
+    available = [c for c in physical if c != map_col]
     dup = on_duplicate or ("last" if map_col else "first")
     out = []
     for field in fields:
         source = resolve(field.name, available, dup)
         if source is not None:
-            value = F.col(f"`{source}`")
+            value = F.col(f"`{physical[source]}`")
         elif map_col is not None:
             value = map_lookup(map_col, field.name)
         else:
