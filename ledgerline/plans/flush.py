@@ -59,7 +59,7 @@ class SinkOptions:
     date_mode: str = "true"
     copy_only: bool = False
     query_name: str = "ledgerline"
-    mode: str = "cdc"  # cdc | cdc_schemaless | plain
+    mode: str = "cdc"  # cdc (typed) | cdc_schemaless | schemaless (plain map) | plain (typed columns)
     exclude: Sequence[str] = IH_COLUMNS
     retention: str = LANDING_RETENTION
     reload_gap_seconds: int | None = None
@@ -127,6 +127,8 @@ def prepare_changelog(raw: DataFrame, opts: SinkOptions) -> DataFrame:
         return align_to_target(add_provenance(rows, variant="changelog"), opts.landing_schema,
                                timestamps=opts.timestamps, dates=opts.dates, times=opts.times,
                                zone=opts.zone, date_mode=opts.date_mode)
+    if opts.mode not in ("cdc_schemaless", "schemaless"):
+        raise ValueError(f"unknown changelog mode {opts.mode!r}")
     cdc = opts.mode == "cdc_schemaless"
     decoded = decode_schemaless(raw, cdc=cdc)
     if not cdc:
