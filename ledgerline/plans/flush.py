@@ -64,6 +64,7 @@ class SinkOptions:
     retention: str = LANDING_RETENTION
     reload_gap_seconds: int | None = None
     keep: Sequence[str] = ()
+    final_buckets: int = 64
 
     @property
     def final_cols(self) -> list[str]:
@@ -107,7 +108,7 @@ def process_block(spark: SparkSession, raw: DataFrame, batch_id: int, opts: Sink
     if not (metrics["has_inserts"] or metrics["has_updates"] or metrics["has_deletes"]):
         return metrics
     keys = _keys(raw, opts)
-    table = SnapshotTable(spark, opts.final_path, keys)
+    table = SnapshotTable(spark, opts.final_path, keys, buckets=opts.final_buckets)
     table.apply(landing.read(block), batch_id + 1, block_rows=metrics["rows"], final_cols=opts.final_cols)
     return metrics
 

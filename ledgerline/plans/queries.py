@@ -54,6 +54,7 @@ LANDING_COLUMNS = (
     "ih_topic", "ih_offset", "ih_partition", "ih_op", "ih_datetime", "ih_blockid",
 )
 N_BLOCKS = 5
+FINAL_BUCKETS = 8
 
 
 def _block(ch: DataFrame) -> DataFrame:
@@ -249,7 +250,7 @@ def _block_number(ch: DataFrame):
 def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ch = changes(spark, sf_dir)
     blk = _block_number(ch)
-    snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"])
+    snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"], buckets=FINAL_BUCKETS)
     snap.initialize(seed(spark, sf_dir))
     for b in range(N_BLOCKS):
         part = ch.where(blk == b)
@@ -267,7 +268,7 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     for b in range(N_BLOCKS):
         ch.where(blk == b).write.mode("overwrite").parquet(f"{source}/part-{b:05d}")
         time.sleep(0.05)
-    snap = SnapshotTable(spark, f"{base}/final", ["id"])
+    snap = SnapshotTable(spark, f"{base}/final", ["id"], buckets=FINAL_BUCKETS)
     snap.initialize(seed(spark, sf_dir))
     stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(source)
     apply_stream(stream, snap, f"{base}/checkpoint", query_name="stream_apply", keys=["id"])

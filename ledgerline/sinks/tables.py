@@ -8,31 +8,34 @@
   the few blocks that straddle the cutoff.
 - ``ChangelogTable``: the append-only changelog, same block layout.
 - ``SnapshotTable``: the current-state table. Parquet has no row-level
-  MERGE, so every applied block writes a new version folder ``v=<n>`` from
-  version ``n-1``; a version is visible once Spark's commit wrote its
-  ``_SUCCESS`` marker. Re-applying block ``n`` rewrites ``v=n`` from
-  ``v=n-1``: retries are idempotent and nothing overwrites a folder being
-  read. Each version is a written table, which also cuts lineage.
-  With a catalog table that supports MERGE, use
-  ``operators.apply.merge_into_table`` instead.
+  MERGE, so each applied block writes a new version: only the key-hash
+  buckets the block touches are rewritten, the rest are referenced from
+  earlier versions through a small manifest written after Spark's commit.
+  Re-applying block ``n`` rewrites version ``n`` from the version below it:
+  retries are idempotent and nothing overwrites a folder being read. Each
+  version is a written table, which also cuts lineage. With a catalog table
+  that supports MERGE, use ``operators.apply.merge_into_table`` instead.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.constants import IH_BLOCKID, IH_DATETIME, LANDING_RETENTION
+from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_DATETIME, LANDING_RETENTION
 from ledgerline.operators.apply import apply_block
 from ledgerline.operators.maintain import parse_interval
 from ledgerline.sinks import fs
 
 _VERSION = re.compile(r"^v=(\d+)$")
+_MANIFEST = re.compile(r"/v=(\d+)\.json$")
+_BUCKET = "bucket"
 
 
 class LandingTable:
@@ -122,53 +125,140 @@ class ChangelogTable(LandingTable):
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+    """Versioned current-state table on Parquet, hash-bucketed by key.
+
+    Layout: ``v=<n>/bucket=<b>/`` holds the buckets version ``n`` rewrote;
+    ``_manifests/v=<n>.json`` maps every non-empty bucket to the version that
+    holds it (plus the schema). A version is visible once its manifest exists,
+    which is written after Spark committed the data. Applying a block reads
+    and rewrites only the buckets the block's keys hash to; the other buckets
+    are carried over by reference, so the cost of a block follows the block,
+    not the table. Size ``buckets`` so a bucket is about one file (~1 GB);
+    ``buckets=1`` rewrites the whole table per block.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 1):
+        if buckets < 1:
+            raise ValueError("buckets must be >= 1")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
+        self.buckets = buckets
+
+    # -- layout --------------------------------------------------------------
+
+    def _dir(self, version: int, bucket: int | None = None) -> str:
+        base = f"{self.path}/v={version}"
+        return base if bucket is None else f"{base}/{_BUCKET}={bucket}"
 
-    def _dir(self, version: int) -> str:
-        return f"{self.path}/v={version}"
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/_manifests/v={version}.json"
+
+    def _manifest(self, version: int) -> dict:
+        text = fs.read_text(self.spark, self._manifest_path(version))
+        if text is None:
+            raise ValueError(f"version {version} of {self.path} is not committed")
+        m = json.loads(text)
+        m["buckets"] = {int(b): v for b, v in m["buckets"].items()}
+        return m
+
+    def _bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets))
 
     def versions(self) -> list[int]:
-        found = []
-        for d in fs.list_dirs(self.spark, self.path):
-            m = _VERSION.match(d)
-            if m and fs.exists(self.spark, f"{self.path}/{d}/_SUCCESS"):
-                found.append(int(m.group(1)))
-        return sorted(found)
+        names = fs.list_files(self.spark, f"{self.path}/_manifests")
+        found = [_MANIFEST.search(n) for n in names]
+        return sorted(int(m.group(1)) for m in found if m)
 
     def latest(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
-    def read(self, version: int | None = None) -> DataFrame:
+    # -- read / write --------------------------------------------------------
+
+    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
         version = self.latest() if version is None else version
         if version is None:
             raise ValueError(f"no committed version under {self.path}")
-        return self.spark.read.parquet(self._dir(version))
+        m = self._manifest(version)
+        chosen = m["buckets"] if buckets is None else {b: m["buckets"][b] for b in buckets if b in m["buckets"]}
+        schema = T.StructType.fromJson(json.loads(m["schema"]))
+        paths = [self._dir(v, b) for b, v in sorted(chosen.items())]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
-    def write_version(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(self._dir(version))
+    def _write(self, df: DataFrame, version: int, base: dict, touched: Sequence[int] | None) -> None:
+        schema = df.schema
+        if self.buckets == 1:
+            df.write.mode("overwrite").parquet(self._dir(version, 0))
+        else:
+            (
+                df.withColumn(_BUCKET, self._bucket_of())
+                .repartition(F.col(_BUCKET))
+                .write.mode("overwrite")
+                .partitionBy(_BUCKET)
+                .parquet(self._dir(version))
+            )
+        prefix = f"{_BUCKET}="
+        written = {int(d[len(prefix):]) for d in fs.list_dirs(self.spark, self._dir(version)) if d.startswith(prefix)}
+        mapping = dict(base)
+        for b in touched if touched is not None else list(mapping):
+            mapping.pop(b, None)
+        mapping.update({b: version for b in written})
+        manifest = {"version": version, "buckets": {str(b): v for b, v in sorted(mapping.items())},
+                    "n_buckets": self.buckets, "keys": self.keys, "schema": schema.json()}
+        fs.write_text(self.spark, self._manifest_path(version), json.dumps(manifest))
 
     def initialize(self, df: DataFrame) -> None:
-        """Version 0 from a seed (overwrites an earlier version 0)."""
-        self.write_version(df, 0)
+        """Version 0 from a seed (replaces an earlier version 0)."""
+        self._write(df, 0, {}, None)
 
     def apply(self, block: DataFrame, version: int, block_rows: int | None = None, final_cols: Sequence[str] | None = None) -> None:
-        """Write version ``version`` = version ``version-1`` with ``block`` applied."""
+        """Write version ``version`` = the newest version below it with ``block`` applied.
+
+        Only buckets hashed from the block's keys are read and rewritten; the
+        distinct touched buckets (at most ``buckets`` small ints) are the only
+        thing collected to the driver.
+        """
         if version < 1:
             raise ValueError("versions of applied blocks start at 1")
-        committed = self.versions()
-        base = max((v for v in committed if v < version), default=None)
-        if base is None:
-            raise ValueError(f"no version below {version} to apply the block to")
-        new = apply_block(self.read(base), block, self.keys, final_cols=final_cols, block_rows=block_rows)
-        self.write_version(new, version)
+        earlier = [v for v in self.versions() if v < version]
+        if earlier:
+            m = self._manifest(earlier[-1])
+            self.buckets = int(m.get("n_buckets", self.buckets))  # the table's layout wins
+            base_map = m["buckets"]
+            schema = T.StructType.fromJson(json.loads(m["schema"]))
+        else:
+            base_map, schema = {}, None
+        if schema is None:
+            cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
+            empty = block.select(*[F.col(f"`{c}`") for c in cols]).limit(0)
+            schema = empty.schema
+        key_types = {f.name: f.dataType for f in schema.fields}
+        keyed = block.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
+        if self.buckets == 1:
+            touched = [0]
+        else:
+            touched = sorted(r[0] for r in keyed.select(self._bucket_of().alias("b")).distinct().collect())
+        base = self.read(earlier[-1], touched) if earlier else self.spark.createDataFrame([], schema)
+        new = apply_block(base, block, self.keys, final_cols=final_cols, block_rows=block_rows)
+        self._write(new, version, base_map, touched)
 
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
-        old = self.versions()[:-keep] if keep > 0 else self.versions()
-        for v in old:
-            fs.delete(self.spark, self._dir(v))
-        return old
+        """Drop manifests older than the newest ``keep`` and unreferenced data."""
+        versions = self.versions()
+        kept = versions[-keep:] if keep > 0 else []
+        referenced = set()
+        for v in kept:
+            referenced.update(self._manifest(v)["buckets"].values())
+        dropped = []
+        for v in versions:
+            if v not in kept:
+                fs.delete(self.spark, self._manifest_path(v))
+                dropped.append(v)
+        for d in fs.list_dirs(self.spark, self.path):
+            m = _VERSION.match(d)
+            if m and int(m.group(1)) not in referenced and int(m.group(1)) not in kept:
+                fs.delete(self.spark, f"{self.path}/{d}")
+        return dropped

@@ -70,6 +70,25 @@ def test_snapshot_versions_are_idempotent(spark, workdir):
     assert sorted(snap.read().collect()) == [(1, "A")]
 
 
+def test_bucketed_snapshot_rewrites_only_touched_buckets(spark, workdir):
+    snap = SnapshotTable(spark, f"{workdir}/bucketed", ["id"], buckets=8)
+    snap.initialize(spark.range(0, 200).selectExpr("id", "cast(id as string) as v"))
+    before = snap._manifest(0)["buckets"]
+    assert len(before) == 8 and set(before.values()) == {0}
+    block = spark.createDataFrame([(3, "three", "u"), (500, "new", "c"), (7, None, "d")], "id bigint, v string, ih_op string")
+    snap.apply(block, 1)
+    after = snap._manifest(1)["buckets"]
+    rewritten = {b for b, v in after.items() if v == 1}
+    assert 1 <= len(rewritten) <= 3 and all(before[b] == 0 for b in after if b not in rewritten)
+    rows = {r.id: r.v for r in snap.read().collect()}
+    assert len(rows) == 200 and rows[3] == "three" and rows[500] == "new" and 7 not in rows
+    snap.apply(block, 1)
+    assert {r.id: r.v for r in snap.read().collect()} == rows
+    snap.apply(spark.createDataFrame([(500, None, "d")], "id bigint, v string, ih_op string"), 2)
+    snap.vacuum(keep=1)
+    assert snap.versions() == [2] and snap.read().count() == 199
+
+
 def test_gap_reloader_truncates_after_quiet_period(spark, workdir):
     t = ChangelogTable(spark, f"{workdir}/log")
     g = GapReloader(spark, t, 1800)
