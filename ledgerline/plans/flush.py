@@ -34,6 +34,7 @@ from ledgerline.operators.conflate import conflate_latest, observed_block
 from ledgerline.operators.provenance import add_provenance
 from ledgerline.operators.route import IH_KEY, plain_records, route_image
 from ledgerline.operators.validate import fail_on_invalid
+from ledgerline.sinks.staging import copy_into_landing, stage_csv
 from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
 from ledgerline.sources.catalog import final_columns, require_columns
 from ledgerline.sources.decode import decode_envelope, decode_schemaless, primary_key
@@ -65,6 +66,7 @@ class SinkOptions:
     reload_gap_seconds: int | None = None
     keep: Sequence[str] = ()
     final_buckets: int = 64
+    stage_path: str | None = None  # stage each block as gzip CSV and load it from there
 
     @property
     def final_cols(self) -> list[str]:
@@ -100,7 +102,12 @@ def process_block(spark: SparkSession, raw: DataFrame, batch_id: int, opts: Sink
     aligned = prepare_block(raw, opts, block, now)
     observed, obs = observed_block(aligned, f"block_{block}")
     landing = LandingTable(spark, opts.landing_path)
-    landing.land(observed)
+    if opts.stage_path is None:
+        landing.land(observed)
+    else:
+        stage = f"{opts.stage_path.rstrip('/')}/{block}"
+        stage_csv(observed, stage, [f.name for f in opts.landing_schema.fields])
+        copy_into_landing(spark, stage, landing, opts.landing_schema, purge=not opts.copy_only)
     metrics = dict(obs.get)
     metrics["block_id"] = block
     if opts.copy_only or opts.final_path is None:

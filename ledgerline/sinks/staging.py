@@ -70,3 +70,20 @@ def load_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 def purge_stage(spark: SparkSession, path: str) -> bool:
     """Remove a stage folder (call after the load is committed)."""
     return fs.delete(spark, path)
+
+
+def copy_into_landing(
+    spark: SparkSession,
+    stage_path: str,
+    landing,
+    schema: T.StructType,
+    purge: bool = True,
+) -> None:
+    """Load staged files into a landing table (one block), then purge the stage.
+
+    ``landing`` is a ``sinks.tables.LandingTable``; the rows must carry their
+    ``ih_blockid``. The purge runs only after the landing write committed.
+    """
+    landing.land(load_staged(spark, stage_path, schema))
+    if purge:
+        purge_stage(spark, stage_path)

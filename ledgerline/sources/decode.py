@@ -45,14 +45,46 @@ def _parse(df: DataFrame, col: str, schema: T.StructType, fmt: str) -> tuple[Col
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.StructType):
         return F.col(f"`{col}`"), None
+    if fmt == "avro":
+        return _from_avro(F.col(f"`{col}`"), schema), None
     if fmt != "json":
-        raise ValueError(f"unsupported payload format {fmt!r}; Avro needs the spark-avro module and from_avro")
+        raise ValueError(f"unsupported payload format {fmt!r}")
     text = F.col(f"`{col}`").cast("string") if isinstance(dtype, T.BinaryType) else F.col(f"`{col}`")
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType(), True)])
     parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     return parsed, text
 
 
+def avro_schema(schema: T.StructType, name: str = "record") -> str:
+    """Avro schema JSON for a Spark struct of flat, nullable primitive fields."""
+    import json
+
+    kinds = {
+        T.StringType: "string", T.LongType: "long", T.IntegerType: "int", T.DoubleType: "double",
+        T.FloatType: "float", T.BooleanType: "boolean", T.BinaryType: "bytes",
+    }
+
+    def field_type(dt, path):
+        if isinstance(dt, T.StructType):
+            return json.loads(avro_schema(dt, path))
+        for cls, kind in kinds.items():
+            if isinstance(dt, cls):
+                return kind
+        raise ValueError(f"no Avro mapping for {dt}")
+
+    fields = [{"name": f.name, "type": ["null", field_type(f.dataType, f"{name}_{f.name}")], "default": None} for f in schema.fields]
+    return json.dumps({"type": "record", "name": name, "fields": fields})
+
+
+def _from_avro(col: Column, schema: T.StructType) -> Column:
+    """Avro binary payload -> struct; needs the external spark-avro module."""
+    try:
+        from pyspark.sql.avro.functions import from_avro
+    except ImportError as exc:  # pragma: no cover - depends on deployment
+        raise RuntimeError("Avro payloads need the spark-avro module on the classpath") from exc
+    return from_avro(col, avro_schema(schema), {"mode": "PERMISSIVE"})
+
+
 def _rebuild(raw: str, schema: T.StructType, text_col: str | None) -> Column:
     """Null for missing or malformed payloads, else the struct without the corrupt field."""
     if text_col is None:

@@ -139,6 +139,20 @@ def test_process_block_lands_and_applies(spark, workdir):
     assert SnapshotTable(spark, opts.final_path, ["id"]).read().count() == 2
 
 
+def test_staged_flush_loads_through_csv_and_purges(spark, workdir):
+    opts = SinkOptions(
+        landing_schema=LANDING, landing_path=f"{workdir}/g_INGEST", final_path=f"{workdir}/g", stage_path=f"{workdir}/stage",
+        row_schema=ROW, key_schema=KEY, timestamps=["ts"], query_name="g", final_buckets=4,
+    )
+    m = process_block(spark, raw_records(spark, [("c", 1, 'quote " comma , newline \n'), ("c", 2, "")]), 0, opts)
+    assert m["rows"] == 2
+    final = {r.id: r.name for r in SnapshotTable(spark, opts.final_path, ["id"]).read().collect()}
+    assert final == {1: 'quote " comma , newline \n', 2: ""}
+    assert not fs.exists(spark, f"{workdir}/stage/{m['block_id']}")
+    landed = LandingTable(spark, opts.landing_path).read(m["block_id"]).collect()
+    assert sorted(r.ts for r in landed) == [dt.datetime(2018, 1, 10, 10, 30, 40)] * 2
+
+
 def test_copy_only_skips_the_final_table(spark, workdir):
     opts = SinkOptions(landing_schema=LANDING, landing_path=f"{workdir}/c_INGEST", final_path=f"{workdir}/c",
                        row_schema=ROW, key_schema=KEY, timestamps=["ts"], copy_only=True, query_name="c")
