@@ -87,8 +87,8 @@ def reload_on_gap(
     first/last times (partial aggregate; a gap of 31+ minutes cannot hide
     inside one minute), the previous busy minute is found with a window
     partitioned by day, and the first minute of each day looks back through a
-    one-row-per-day table. The reload point is then a scalar filter on the
-    full data, which reaches the scan.
+    one-row-per-day table. The reload point (one value) is read back and
+    applied as a literal filter, which reaches the scan.
     """
     limit_minutes = gap_seconds // 60
     ts = F.col(ts_col).cast("timestamp_ntz")
@@ -109,6 +109,8 @@ def reload_on_gap(
         "__before", F.coalesce("__prev_last", "__prev_day_last")
     )
     minutes = F.timestamp_diff("MINUTE", F.col("__before"), F.col("__first"))
-    reload_at = gaps.where(minutes > F.lit(limit_minutes)).agg(F.max("__first").alias("__reload_at"))
-    start = reload_at.scalar()
-    return df.where(F.coalesce(ts >= start, F.lit(True)))
+    start = gaps.where(minutes > F.lit(limit_minutes)).agg(F.max("__first")).first()[0]
+    if start is None:
+        return df
+    # one value read back; as a literal the filter reaches the Parquet scan
+    return df.where((ts >= ntz_literal(start)) | F.col(ts_col).isNull())
