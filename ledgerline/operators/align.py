@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.names import name_in, resolve
 from ledgerline.functions.temporal import days_to_date, millis_to_local_datetime, nanos_to_time_text
-from ledgerline.sources.decode import map_lookup
+from ledgerline.sources.decode import entry_lookup, lowered_entries
 
 log = logging.getLogger(__name__)
 
@@ -108,14 +108,19 @@ def align_to_target(
         raise ValueError("target has no columns")
     df, physical = _positional(df)
     available = [c for c in physical if c != map_col]
+    entries = None
+    if map_col is not None:
+        # lower-case the map's keys once per row, not once per target column
+        entries = "__entries"
+        df = df.withColumn(entries, lowered_entries(physical.get(map_col, map_col)))
     dup = on_duplicate or ("last" if map_col else "first")
     out = []
     for field in fields:
         source = resolve(field.name, available, dup)
         if source is not None:
             value = F.col(f"`{physical[source]}`")
-        elif map_col is not None:
-            value = map_lookup(map_col, field.name)
+        elif entries is not None:
+            value = entry_lookup(entries, field.name)
         else:
             log.warning("column %s not found in records; filled with null", field.name)
             value = F.lit(None)

@@ -233,8 +233,7 @@ class SnapshotTable:
             base_map, schema = {}, None
         if schema is None:
             cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
-            empty = block.select(*[F.col(f"`{c}`") for c in cols]).limit(0)
-            schema = empty.schema
+            schema = block.select(*[F.col(f"`{c}`") for c in cols]).schema
         key_types = {f.name: f.dataType for f in schema.fields}
         keyed = block.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
         if self.buckets == 1:

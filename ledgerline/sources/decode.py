@@ -166,13 +166,24 @@ def decode_schemaless(df: DataFrame, cdc: bool = True, value_col: str = "value")
     )
 
 
-def map_lookup(map_col, name: str) -> Column:
-    """Value of ``name`` in a text map, ignoring case; the last match wins."""
+def lowered_entries(map_col) -> Column:
+    """``array<struct<key, value>>`` of a text map with lower-cased keys, in order."""
     m = F.col(map_col) if isinstance(map_col, str) else map_col
-    hits = F.filter(F.map_entries(m), lambda e: F.lower(e["key"]) == F.lit(name.strip().lower()))
+    return F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+
+
+def entry_lookup(entries_col, name: str) -> Column:
+    """Value of ``name`` among lowered entries; the last match wins."""
+    e = F.col(entries_col) if isinstance(entries_col, str) else entries_col
+    hits = F.filter(e, lambda x: x["key"] == F.lit(name.strip().lower()))
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def map_lookup(map_col, name: str) -> Column:
+    """Value of ``name`` in a text map, ignoring case; the last match wins."""
+    return entry_lookup(lowered_entries(map_col), name)
+
+
 def lower_keys(map_col) -> Column:
     """The map with lower-cased keys; a later key wins over an earlier one.
 
