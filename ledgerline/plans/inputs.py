@@ -14,13 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.changes import ensure_parallelism
+
 TOPIC = "cdc.test.events"
 SEED_EXCLUDED_SEGMENT = "AUTOMOBILE"
 FINAL_COLUMNS = ("id", "type", "value", "props")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table. ``spread=True`` for queries with heavy per-row work
+    before their first shuffle: see ``ensure_parallelism``."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def op_of(event_type) -> F.Column:
@@ -33,8 +38,8 @@ def op_of(event_type) -> F.Column:
     )
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def changes(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events", spread)
     return ev.select(
         F.lit(TOPIC).alias("ih_topic"),
         (F.col("user_id") % 6).cast("int").alias("ih_partition"),
@@ -64,12 +69,12 @@ def image(prefix_type: str | None = None) -> F.Column:
     return F.struct(F.col("id").alias("id"), t.alias("type"), F.col("value").alias("value"), F.col("props").alias("props"))
 
 
-def envelopes(spark: SparkSession, sf_dir: str, before_prefix: str | None = None) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str, before_prefix: str | None = None, spread: bool = False) -> DataFrame:
     """Changes as records: position, key struct, and a before/after/op envelope.
 
     Creates and snapshot reads have no ``before``; deletes have no ``after``.
     """
-    ch = changes(spark, sf_dir)
+    ch = changes(spark, sf_dir, spread)
     op = F.col("ih_op")
     return ch.select(
         F.col("ih_topic").alias("topic"),

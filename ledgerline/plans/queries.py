@@ -8,7 +8,6 @@ work folder and return a DataFrame read back from what they wrote.
 from __future__ import annotations
 
 import datetime as _dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +64,7 @@ def _block(ch: DataFrame) -> DataFrame:
 
 
 def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = envelopes(spark, sf_dir)
+    env = envelopes(spark, sf_dir, spread=True)
     raw = env.select(
         "topic", "partition", "offset",
         F.to_json("key").alias("key"),
@@ -76,7 +75,7 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir)
+    ch = changes(spark, sf_dir, spread=True)
     img = F.struct(
         F.col("id").alias("ID"), F.col("type").alias("Type"), F.col("value").alias("VALUE"), F.col("props").alias("props")
     )
@@ -128,7 +127,7 @@ def add_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def align_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir)
+    ch = changes(spark, sf_dir, spread=True)
     src = ch.select(
         "*",
         F.floor(micros_of_ntz("ih_datetime") / 1000).cast("bigint").alias("event_time"),
@@ -142,7 +141,7 @@ def align_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir)
+    ch = changes(spark, sf_dir, spread=True)
     r = F.col("ih_offset") % 97
     op = F.col("ih_op")
     img = inputs.image()
@@ -188,7 +187,7 @@ def convert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landing_rows(spark: SparkSession, sf_dir: str, block: str) -> DataFrame:
-    ch = changes(spark, sf_dir)
+    ch = changes(spark, sf_dir, spread=True)
     return align_to_target(ch.withColumn("ih_blockid", F.lit(block)), list(LANDING_COLUMNS))
 
 
@@ -259,19 +258,22 @@ def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks arrive as new files over time; each availableNow run of the same
+    checkpointed query picks up exactly the block that arrived since the last
+    run, so arrival order never depends on file timestamps. Within a block the
+    rows of a key sit in one file (hash-partitioned by key)."""
     from ledgerline.streaming.runner import apply_stream
 
     ch = changes(spark, sf_dir)
     blk = _block_number(ch)
     base = work_dir(spark, "stream")
     source = f"{base}/source"
-    for b in range(N_BLOCKS):
-        ch.where(blk == b).write.mode("overwrite").parquet(f"{source}/part-{b:05d}")
-        time.sleep(0.05)
     snap = SnapshotTable(spark, f"{base}/final", ["id"], buckets=FINAL_BUCKETS)
     snap.initialize(seed(spark, sf_dir))
-    stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(source)
-    apply_stream(stream, snap, f"{base}/checkpoint", query_name="stream_apply", keys=["id"])
+    for b in range(N_BLOCKS):
+        ch.where(blk == b).repartition("id").write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
+        stream = spark.readStream.schema(ch.schema).option("recursiveFileLookup", "true").parquet(source)
+        apply_stream(stream, snap, f"{base}/checkpoint", query_name="stream_apply", keys=["id"])
     return snap.read()
 
 
