@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_DATETIME, LANDING_RETENTION
 from ledgerline.operators.apply import apply_block
+from ledgerline.functions.temporal import ntz_literal
 from ledgerline.operators.maintain import parse_interval
 from ledgerline.sinks import fs
 
@@ -102,7 +103,7 @@ class LandingTable:
             else:
                 staging = f"{self.path}/_expire_{row[IH_BLOCKID]}"
                 part = self.spark.read.parquet(folder)
-                kept = part.where((F.col(IH_DATETIME) >= F.lit(cutoff).cast("timestamp_ntz")) | F.col(IH_DATETIME).isNull())
+                kept = part.where((F.col(IH_DATETIME) >= ntz_literal(cutoff)) | F.col(IH_DATETIME).isNull())
                 kept.write.mode("overwrite").parquet(staging)
                 fs.delete(self.spark, folder)
                 fs.rename(self.spark, staging, folder)

@@ -61,3 +61,17 @@ def test_changelog_stream_with_gap_reload(spark, workdir):
     run_changelog_stream(spark, stream, opts, f"{workdir}/log_ckpt", clock=lambda: next(clock))
     rows = ChangelogTable(spark, opts.landing_path).read().select("id", "name", "ih_offset", "ih_op").collect()
     assert [tuple(r) for r in rows] == [(3, "c", "20", "c")]
+
+
+def test_maintenance_runs_once_per_interval_and_swallows_errors(spark, workdir):
+    from ledgerline.streaming.runner import Maintenance
+
+    landing = LandingTable(spark, f"{workdir}/m_INGEST")
+    now = dt.datetime(2024, 1, 15, 12, 0)
+    old = spark.createDataFrame([(1, now - dt.timedelta(hours=5))], "id int, ih_datetime timestamp_ntz")
+    landing.land(old, "m-000000000000")
+    upkeep = Maintenance(landing, "PT3M")
+    assert upkeep.maybe_run(now) == {"dropped": ["m-000000000000"], "rewritten": []}
+    assert upkeep.maybe_run(now + dt.timedelta(minutes=2)) is None
+    broken = Maintenance(LandingTable(spark, "/nonexistent\u0000path"), "PT1S")
+    assert broken.maybe_run(now) is None
