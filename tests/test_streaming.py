@@ -73,5 +73,6 @@ def test_maintenance_runs_once_per_interval_and_swallows_errors(spark, workdir):
     upkeep = Maintenance(landing, "PT3M")
     assert upkeep.maybe_run(now) == {"dropped": ["m-000000000000"], "rewritten": []}
     assert upkeep.maybe_run(now + dt.timedelta(minutes=2)) is None
-    broken = Maintenance(LandingTable(spark, "/nonexistent\u0000path"), "PT1S")
-    assert broken.maybe_run(now) is None
+    failing = LandingTable(spark, f"{workdir}/m_INGEST")
+    failing.expire = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("storage unavailable"))
+    assert Maintenance(failing, "PT1S").maybe_run(now) is None
