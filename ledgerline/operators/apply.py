@@ -17,17 +17,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.constants import DELETE_OPS, IH_COLUMNS, IH_OP, KNOWN_OPS, UPSERT_OPS
 from ledgerline.functions.names import norm, resolve
 
-# Largest block (rows) broadcast without measuring; above it AQE decides.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest block side (estimated bytes) hinted for broadcast; above it, or when
+# the block's row count is unknown, AQE decides from measured shuffle sizes.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Hash-relation overhead per row on top of the key bytes.
+_ROW_OVERHEAD = 32
 
 
-def bounded_broadcast(df: DataFrame, known_rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the row count is known to be small."""
-    if known_rows is not None and known_rows <= max_rows:
+def _width(dtype: T.DataType) -> int:
+    """Bytes per value: exact for fixed-width types, a generous guess otherwise."""
+    fixed = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4, T.DoubleType: 8,
+             T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
+    for cls, size in fixed.items():
+        if isinstance(dtype, cls):
+            return size
+    if isinstance(dtype, T.DecimalType):
+        return 16
+    if isinstance(dtype, T.StructType):
+        return sum(_width(f.dataType) for f in dtype.fields)
+    return 64  # strings, binary, nested collections
+
+
+def estimated_bytes(df: DataFrame, rows: int) -> int:
+    """Rows x (value widths + hash-relation row overhead)."""
+    return rows * (sum(_width(f.dataType) for f in df.schema.fields) + _ROW_OVERHEAD)
+
+
+def bounded_broadcast(df: DataFrame, known_rows: int | None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the row count is known and the side is small."""
+    if known_rows is not None and estimated_bytes(df, known_rows) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -37,12 +37,19 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The cluster's shared checkpoint folder.
+
+    Read from the session. Only a local-mode session (tests) without one gets
+    a folder of its own; on a cluster an unset folder is an error, because a
+    driver-local folder is invisible to executors and lost with the driver.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

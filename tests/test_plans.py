@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.apply import BROADCAST_MAX_ROWS, apply_block
+from ledgerline.operators.apply import BROADCAST_MAX_BYTES, apply_block
 from ledgerline.operators.conflate import conflate_latest
 from ledgerline.operators.maintain import compact_latest, expire_landing, reload_on_gap
 from ledgerline.plans import queries as q
@@ -37,7 +37,7 @@ def test_apply_broadcasts_only_a_known_small_block(spark):
     try:
         unknown = apply_block(final, block, ["id"])
         assert "BroadcastHashJoin" not in plan(unknown)
-        big = apply_block(final, block, ["id"], block_rows=BROADCAST_MAX_ROWS + 1)
+        big = apply_block(final, block, ["id"], block_rows=BROADCAST_MAX_BYTES // 8)
         assert "BroadcastHashJoin" not in plan(big)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
