@@ -36,7 +36,7 @@ from ledgerline.operators.route import IH_KEY, plain_records, route_image
 from ledgerline.operators.validate import fail_on_invalid
 from ledgerline.sinks.staging import copy_into_landing, stage_csv
 from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
-from ledgerline.sources.catalog import final_columns, require_columns
+from ledgerline.sources.catalog import final_columns, require_columns, target_columns, target_schema
 from ledgerline.sources.decode import decode_envelope, decode_schemaless, primary_key
 
 log = logging.getLogger(__name__)
@@ -68,10 +68,37 @@ class SinkOptions:
     final_buckets: int = 64
     stage_path: str | None = None  # stage each block as gzip CSV and load it from there
 
+    ignore_columns: Sequence[str] = ()
+
+    def __post_init__(self):
+        if self.ignore_columns:
+            kept = set(target_columns(None, self.landing_schema, ignore=self.ignore_columns))
+            self.landing_schema = T.StructType([f for f in self.landing_schema.fields if f.name in kept])
+
     @property
     def final_cols(self) -> list[str]:
         return final_columns([f.name for f in self.landing_schema.fields], self.exclude)
 
+    @classmethod
+    def discover(
+        cls,
+        spark: SparkSession,
+        landing_table: str,
+        landing_path: str,
+        ignore_columns: Sequence[str] = (),
+        distinct: bool = False,
+        **options,
+    ) -> "SinkOptions":
+        """Options whose landing columns come from a catalog table, read once.
+
+        The ordered column list is the landing table's, minus ``ignore_columns``
+        (exact case), optionally de-duplicated; an empty list is an error.
+        """
+        schema = target_schema(spark, landing_table)
+        names = target_columns(spark, schema, ignore=ignore_columns, distinct=distinct)
+        by_name = {f.name: f for f in schema.fields}
+        return cls(landing_schema=T.StructType([by_name[n] for n in names]), landing_path=landing_path, **options)
+
 
 def prepare_block(raw: DataFrame, opts: SinkOptions, block: str, now=None) -> DataFrame:
     """Decode, validate, route, stamp and conflate; aligned to the landing columns."""

@@ -166,3 +166,12 @@ def test_invalid_record_stops_the_flush(spark, workdir):
     bad = raw_records(spark, [("c", 1, "a")]).withColumn("topic", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="topic_null"):
         process_block(spark, bad, 0, opts)
+
+
+def test_options_discover_landing_columns_from_the_catalog(spark, workdir):
+    wider = T.StructType(list(LANDING.fields) + [T.StructField("COL2", T.StringType())])
+    spark.createDataFrame([], wider).createOrReplaceTempView("events_INGEST")
+    opts = SinkOptions.discover(spark, "events_INGEST", f"{workdir}/d_INGEST", ignore_columns=["COL2"], row_schema=ROW, key_schema=KEY)
+    assert [f.name for f in opts.landing_schema.fields] == [f.name for f in LANDING.fields]
+    assert opts.final_cols == ["id", "name", "ts"]
+    assert SinkOptions(landing_schema=LANDING, landing_path="x", ignore_columns=["name"]).final_cols == ["id", "ts"]
