@@ -66,3 +66,33 @@ def fail_on_invalid(df: DataFrame, key_col: str = "key") -> DataFrame:
         F.raise_error(F.concat(F.lit("invalid change record: "), F.array_join(errs, ","))),
     )
     return df.filter(guard.isNull())
+
+
+def schemaless_reasons(df: DataFrame, cdc: bool = True) -> Column:
+    """Reasons a decoded schemaless record (``fields`` map, ``op``) is invalid.
+
+    The payload must be a JSON object; with ``cdc`` its op must be set and the
+    image the op needs (``before`` for deletes, else ``after``) must be an
+    object too. Topic and partition must be set.
+    """
+    checks: list[tuple[Column, str]] = []
+    if TOPIC in df.columns:
+        checks.append((F.col(TOPIC).isNull(), TOPIC_NULL))
+    if PARTITION in df.columns:
+        checks.append((F.col(PARTITION).isNull(), PARTITION_NULL))
+    if cdc:
+        checks.append((F.col(OP).isNull(), OP_NULL))
+        checks.append((F.col(OP).isNotNull() & F.col("fields").isNull(), IMAGE_NULL))
+    else:
+        checks.append((F.col("fields").isNull(), VALUE_NOT_STRUCT))
+    return F.filter(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]), lambda x: x.isNotNull())
+
+
+def fail_on_invalid_schemaless(df: DataFrame, cdc: bool = True) -> DataFrame:
+    """Pass valid schemaless rows through; fail the job on the first invalid one."""
+    errs = schemaless_reasons(df, cdc)
+    guard = F.when(
+        F.size(errs) > 0,
+        F.raise_error(F.concat(F.lit("invalid change record: "), F.array_join(errs, ","))),
+    )
+    return df.filter(guard.isNull())

@@ -33,7 +33,7 @@ from ledgerline.operators.align import align_to_target
 from ledgerline.operators.conflate import conflate_latest, observed_block
 from ledgerline.operators.provenance import add_provenance
 from ledgerline.operators.route import IH_KEY, plain_records, route_image
-from ledgerline.operators.validate import fail_on_invalid
+from ledgerline.operators.validate import fail_on_invalid, fail_on_invalid_schemaless
 from ledgerline.sinks.staging import copy_into_landing, stage_csv
 from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
 from ledgerline.sources.catalog import final_columns, require_columns, target_columns, target_schema
@@ -165,7 +165,7 @@ def prepare_changelog(raw: DataFrame, opts: SinkOptions) -> DataFrame:
     if opts.mode not in ("cdc_schemaless", "schemaless"):
         raise ValueError(f"unknown changelog mode {opts.mode!r}")
     cdc = opts.mode == "cdc_schemaless"
-    decoded = decode_schemaless(raw, cdc=cdc)
+    decoded = fail_on_invalid_schemaless(decode_schemaless(raw, cdc=cdc), cdc)
     if not cdc:
         decoded = decoded.withColumn("op", F.lit("c"))
     meta = {"topic": "ih_topic", "partition": "ih_partition", "offset": "ih_offset", "op": "ih_op"}

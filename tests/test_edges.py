@@ -133,3 +133,20 @@ def test_reload_gap_across_days_and_within_minute(spark):
 
 def test_block_id_is_deterministic():
     assert block_id("orders sink", 7) == block_id("orders sink", 7) == "orders_sink-000000000007"
+
+
+def test_schemaless_cdc_validation(spark):
+    from ledgerline.operators.validate import schemaless_reasons
+
+    raw = spark.createDataFrame(
+        [
+            ("t", 0, '{"op": "c", "after": {"id": 1}}'),
+            ("t", 0, '{"after": {"id": 1}}'),
+            ("t", 0, '{"op": "d", "after": {"id": 1}}'),
+            (None, 0, '{"op": "u", "after": {"id": 1}}'),
+        ],
+        "topic string, partition int, value string",
+    )
+    dec = decode_schemaless(raw, cdc=True)
+    out = [r[0] for r in dec.select(schemaless_reasons(dec)).collect()]
+    assert out == [[], ["op_null"], ["image_null"], ["topic_null"]]
