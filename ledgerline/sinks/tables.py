@@ -24,11 +24,11 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_DATETIME, LANDING_RETENTION
+from ledgerline.constants import DELETE_OPS, IH_BLOCKID, IH_COLUMNS, IH_DATETIME, IH_OP, KNOWN_OPS, LANDING_RETENTION
 from ledgerline.operators.apply import apply_block
 from ledgerline.functions.temporal import ntz_literal
 from ledgerline.operators.maintain import parse_interval
@@ -36,7 +36,7 @@ from ledgerline.sinks import fs
 
 _VERSION = re.compile(r"^v=(\d+)$")
 _MANIFEST = re.compile(r"/v=(\d+)\.json$")
-_BUCKET = "bucket"
+_BUCKET = "ll_bucket"
 
 
 class LandingTable:
@@ -189,18 +189,20 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def _write(self, df: DataFrame, version: int, base: dict, touched: Sequence[int] | None) -> None:
-        schema = df.schema
+    def _write(self, df: DataFrame, version: int, base: dict, touched: Sequence[int] | None, laid_out: bool = False) -> None:
+        """Write ``df`` as version ``version`` and publish its manifest.
+
+        ``laid_out`` means ``df`` already carries the bucket column and is
+        partitioned by it (the merge's exchange), so no further shuffle.
+        """
         if self.buckets == 1:
             df.write.mode("overwrite").parquet(self._dir(version, 0))
+            schema = df.schema
         else:
-            (
-                df.withColumn(_BUCKET, self._bucket_of())
-                .repartition(F.col(_BUCKET))
-                .write.mode("overwrite")
-                .partitionBy(_BUCKET)
-                .parquet(self._dir(version))
-            )
+            if not laid_out:
+                df = df.withColumn(_BUCKET, self._bucket_of()).repartition(F.col(_BUCKET))
+            schema = df.drop(_BUCKET).schema
+            df.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._dir(version))
         prefix = f"{_BUCKET}="
         written = {int(d[len(prefix):]) for d in fs.list_dirs(self.spark, self._dir(version)) if d.startswith(prefix)}
         mapping = dict(base)
@@ -215,12 +217,45 @@ class SnapshotTable:
         """Version 0 from a seed (replaces an earlier version 0)."""
         self._write(df, 0, {}, None)
 
-    def apply(self, block: DataFrame, version: int, block_rows: int | None = None, final_cols: Sequence[str] | None = None) -> None:
+    def _merge_by_bucket(self, base: DataFrame, block: DataFrame, cols: Sequence[str], op_col: str) -> DataFrame:
+        """Apply ``block`` to ``base`` with a single exchange, by bucket.
+
+        Base rows and the block's known-op rows are unioned and hash-partitioned
+        by bucket; per key the block row wins over the base row; deletes then
+        drop out. The result stays partitioned (and sorted) by bucket and key,
+        which is exactly the layout the write needs. Rows with a null key never
+        match anything and are all kept, as in a MERGE.
+        """
+        types = {f.name: f.dataType for f in base.schema.fields}
+        names = {c.lower(): c for c in block.columns}
+
+        def from_block(c: str):
+            src = names.get(c.lower())
+            value = F.col(f"`{src}`") if src is not None else F.lit(None)
+            return value.cast(types[c]).alias(c)
+
+        base_rows = base.select(*[F.col(f"`{c}`") for c in cols], F.lit(0).alias("__prio"), F.lit(None).cast("string").alias("__op"))
+        block_rows = block.where(F.col(op_col).isin(*KNOWN_OPS)).select(
+            *[from_block(c) for c in cols], F.lit(1).alias("__prio"), F.col(op_col).alias("__op")
+        )
+        both = base_rows.unionByName(block_rows).withColumn(_BUCKET, self._bucket_of())
+        w = Window.partitionBy(_BUCKET, *[F.col(f"`{k}`") for k in self.keys]).orderBy(F.col("__prio").desc())
+        ranked = both.repartition(F.col(_BUCKET)).withColumn("__rn", F.row_number().over(w))
+        null_key = F.lit(False)
+        for k in self.keys:
+            null_key = null_key | F.col(f"`{k}`").isNull()
+        keep = ((F.col("__rn") == 1) | null_key) & ~F.coalesce(F.col("__op").isin(*DELETE_OPS), F.lit(False))
+        return ranked.where(keep).select(*[F.col(f"`{c}`") for c in cols], F.col(_BUCKET))
+
+    def apply(self, block: DataFrame, version: int, block_rows: int | None = None, final_cols: Sequence[str] | None = None,
+              op_col: str = IH_OP) -> None:
         """Write version ``version`` = the newest version below it with ``block`` applied.
 
         Only buckets hashed from the block's keys are read and rewritten; the
         distinct touched buckets (at most ``buckets`` small ints) are the only
-        thing collected to the driver.
+        thing collected to the driver. With one bucket the table is rewritten
+        through ``apply_block`` (anti join with a size-checked broadcast);
+        with more, through one bucket-aligned exchange.
         """
         if version < 1:
             raise ValueError("versions of applied blocks start at 1")
@@ -237,13 +272,19 @@ class SnapshotTable:
             schema = block.select(*[F.col(f"`{c}`") for c in cols]).schema
         key_types = {f.name: f.dataType for f in schema.fields}
         keyed = block.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
+        base_empty = self.spark.createDataFrame([], schema)
         if self.buckets == 1:
-            touched = [0]
-        else:
-            touched = sorted(r[0] for r in keyed.select(self._bucket_of().alias("b")).distinct().collect())
-        base = self.read(earlier[-1], touched) if earlier else self.spark.createDataFrame([], schema)
-        new = apply_block(base, block, self.keys, final_cols=final_cols, block_rows=block_rows)
-        self._write(new, version, base_map, touched)
+            base = self.read(earlier[-1]) if earlier else base_empty
+            new = apply_block(base, block, self.keys, final_cols=final_cols, op_col=op_col, block_rows=block_rows)
+            self._write(new, version, base_map, [0])
+            return
+        touched = sorted(r[0] for r in keyed.select(self._bucket_of().alias("b")).distinct().collect())
+        base = self.read(earlier[-1], touched) if earlier else base_empty
+        cols = [f.name for f in schema.fields]
+        if final_cols is not None:
+            cols = [c for c in cols if c.lower() in {x.lower() for x in final_cols}]
+        merged = self._merge_by_bucket(base.select(*[F.col(f"`{c}`") for c in cols]), block, cols, op_col)
+        self._write(merged, version, base_map, touched, laid_out=True)
 
     def vacuum(self, keep: int = 2) -> list[int]:
         """Drop manifests older than the newest ``keep`` and unreferenced data."""
