@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.constants import DELETE_OPS, IH_BLOCKID, IH_COLUMNS, IH_DATETIME, IH_OP, KNOWN_OPS, LANDING_RETENTION
-from ledgerline.operators.apply import apply_block
+from ledgerline.operators.apply import BROADCAST_MAX_BYTES, apply_block, estimated_bytes
 from ledgerline.functions.temporal import ntz_literal
 from ledgerline.operators.maintain import parse_interval
 from ledgerline.sinks import fs
@@ -253,9 +253,9 @@ class SnapshotTable:
 
         Only buckets hashed from the block's keys are read and rewritten; the
         distinct touched buckets (at most ``buckets`` small ints) are the only
-        thing collected to the driver. With one bucket the table is rewritten
-        through ``apply_block`` (anti join with a size-checked broadcast);
-        with more, through one bucket-aligned exchange.
+        thing collected to the driver, with their row counts. A block whose
+        key side is provably small is applied with a broadcast anti join; a
+        larger one meets the base in a single bucket-aligned exchange.
         """
         if version < 1:
             raise ValueError("versions of applied blocks start at 1")
@@ -278,13 +278,22 @@ class SnapshotTable:
             new = apply_block(base, block, self.keys, final_cols=final_cols, op_col=op_col, block_rows=block_rows)
             self._write(new, version, base_map, [0])
             return
-        touched = sorted(r[0] for r in keyed.select(self._bucket_of().alias("b")).distinct().collect())
+        # one small job: touched buckets and the block's size (<= buckets rows)
+        counts = {r[0]: r[1] for r in keyed.groupBy(self._bucket_of().alias("b")).count().collect()}
+        touched = sorted(counts)
+        rows = block_rows if block_rows is not None else sum(counts.values())
         base = self.read(earlier[-1], touched) if earlier else base_empty
         cols = [f.name for f in schema.fields]
         if final_cols is not None:
             cols = [c for c in cols if c.lower() in {x.lower() for x in final_cols}]
-        merged = self._merge_by_bucket(base.select(*[F.col(f"`{c}`") for c in cols]), block, cols, op_col)
-        self._write(merged, version, base_map, touched, laid_out=True)
+        base = base.select(*[F.col(f"`{c}`") for c in cols])
+        if estimated_bytes(keyed, rows) <= BROADCAST_MAX_BYTES:
+            # small block: broadcast anti join, then one exchange by bucket
+            new = apply_block(base, block, self.keys, final_cols=cols, op_col=op_col, block_rows=rows)
+            self._write(new, version, base_map, touched)
+        else:
+            # large block: base and block meet in a single bucket-aligned exchange
+            self._write(self._merge_by_bucket(base, block, cols, op_col), version, base_map, touched, laid_out=True)
 
     def vacuum(self, keep: int = 2) -> list[int]:
         """Drop manifests older than the newest ``keep`` and unreferenced data."""

@@ -89,6 +89,21 @@ def test_bucketed_snapshot_rewrites_only_touched_buckets(spark, workdir):
     assert snap.versions() == [2] and snap.read().count() == 199
 
 
+def test_large_block_path_matches_small_block_path(spark, workdir, monkeypatch):
+    import ledgerline.sinks.tables as tables
+
+    seed = spark.range(0, 300).selectExpr("id", "cast(id as string) as v")
+    block = spark.range(0, 600, 3).selectExpr("id", "'b' as v", "case when id % 2 = 0 then 'd' else 'u' end as ih_op")
+    results = []
+    for limit in (tables.BROADCAST_MAX_BYTES, 0):
+        monkeypatch.setattr(tables, "BROADCAST_MAX_BYTES", limit)
+        snap = SnapshotTable(spark, f"{workdir}/paths-{limit}", ["id"], buckets=4)
+        snap.initialize(seed)
+        snap.apply(block, 1)
+        results.append(sorted(tuple(r) for r in snap.read().collect()))
+    assert results[0] == results[1] and len(results[0]) == 300 - 50 + 50
+
+
 def test_gap_reloader_truncates_after_quiet_period(spark, workdir):
     t = ChangelogTable(spark, f"{workdir}/log")
     g = GapReloader(spark, t, 1800)
