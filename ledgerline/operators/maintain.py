@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.constants import IH_DATETIME, IH_OFFSET, LANDING_RETENTION, RELOAD_GAP_SECONDS
 from ledgerline.functions.temporal import ntz_literal
@@ -69,9 +70,14 @@ def compact_latest(df: DataFrame, keys: Sequence[str], offset_col: str = IH_OFFS
     hot key's whole history in one task.
     """
     keys = list(keys)
-    maxes = df.groupBy(*keys).agg(F.max(offset_col).alias("__max_offset"))
-    joined = df.join(maxes, on=keys, how="left")
-    below = F.col(offset_col) < F.col("__max_offset")
+    offset = F.col(offset_col)
+    if isinstance(df.schema[offset_col].dataType, T.StringType):
+        # changelog offsets are stored as text: compare them as numbers
+        offset = F.expr(f"try_cast(`{offset_col}` AS BIGINT)")
+    with_num = df.withColumn("__offset_num", offset)
+    maxes = with_num.groupBy(*keys).agg(F.max("__offset_num").alias("__max_offset"))
+    joined = with_num.join(maxes, on=keys, how="left")
+    below = F.col("__offset_num") < F.col("__max_offset")
     return joined.filter(~F.coalesce(below, F.lit(False))).select(*df.columns)
 
 

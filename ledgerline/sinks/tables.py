@@ -59,10 +59,13 @@ class LandingTable:
         return fs.exists(self.spark, self.path)
 
     def read(self, block_id: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.parquet(self.path)
+        if schema is None:
+            # block ids stay text even when they look numeric (no type inference)
+            inferred = self.spark.read.parquet(self.path).schema
+            schema = T.StructType(
+                [T.StructField(f.name, T.StringType(), True) if f.name == IH_BLOCKID else f for f in inferred.fields]
+            )
+        df = self.spark.read.schema(schema).parquet(self.path)
         if block_id is not None:
             df = df.where(F.col(IH_BLOCKID) == F.lit(block_id))
         return df

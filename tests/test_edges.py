@@ -150,3 +150,8 @@ def test_schemaless_cdc_validation(spark):
     dec = decode_schemaless(raw, cdc=True)
     out = [r[0] for r in dec.select(schemaless_reasons(dec)).collect()]
     assert out == [[], ["op_null"], ["image_null"], ["topic_null"]]
+
+
+def test_compaction_of_text_offsets_is_numeric(spark):
+    df = spark.createDataFrame([(1, "9", "u"), (1, "10", "d"), (2, "x", "c")], "id bigint, ih_offset string, ih_op string")
+    assert sorted(tuple(r) for r in compact_latest(df, ["id"]).collect()) == [(1, "10", "d"), (2, "x", "c")]

@@ -56,6 +56,14 @@ def test_landing_is_idempotent_per_block_and_expires_by_folder(spark, workdir):
     assert t.blocks() == ["q-000000000002", "q-000000000003"]
 
 
+def test_numeric_looking_block_ids_stay_text(spark, workdir):
+    t = LandingTable(spark, f"{workdir}/numeric")
+    t.land(spark.createDataFrame([(1,)], "id int"), "111")
+    t.land(spark.createDataFrame([(2,)], "id int"), "0112")
+    assert dict(t.read().dtypes)["ih_blockid"] == "string"
+    assert [r.id for r in t.read("0112").collect()] == [2]
+
+
 def test_snapshot_versions_are_idempotent(spark, workdir):
     snap = SnapshotTable(spark, f"{workdir}/final", ["id"])
     snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
