@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 
 from ledgerline.constants import IH_COLUMNS, IH_OFFSET, LANDING_RETENTION, RELOAD_GAP_SECONDS
 from ledgerline.functions.ids import block_id as make_block_id
-from ledgerline.functions.temporal import whole_minutes_between
 from ledgerline.operators.align import align_to_target
 from ledgerline.operators.conflate import conflate_latest, observed_block
 from ledgerline.operators.provenance import add_provenance
@@ -214,11 +213,4 @@ class GapReloader:
         return reloaded
 
 
-__all__ = [
-    "GapReloader",
-    "SinkOptions",
-    "prepare_block",
-    "prepare_changelog",
-    "process_block",
-    "whole_minutes_between",
-]
+__all__ = ["GapReloader", "SinkOptions", "prepare_block", "prepare_changelog", "process_block"]

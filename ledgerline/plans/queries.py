@@ -27,14 +27,13 @@ from ledgerline.operators.route import plain_records as _plain_records
 from ledgerline.operators.route import route_image as _route_image
 from ledgerline.operators.validate import ERRORS, validate_changes as _validate_changes
 from ledgerline.plans import inputs
-from ledgerline.plans.inputs import FINAL_COLUMNS, changes, envelopes, seed, table
+from ledgerline.plans.inputs import changes, envelopes, seed, table
 from ledgerline.session import work_dir
 from ledgerline.functions.text import csv_line
 from ledgerline.sinks.staging import load_staged, stage_csv
 from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
 from ledgerline.sources.decode import decode_envelope as _decode_envelope
 from ledgerline.sources.decode import decode_schemaless as _decode_schemaless
-from ledgerline.sources.decode import map_lookup
 
 FIXED_NOW = "2024-02-01 00:00:00"
 EXPIRE_NOW = "2024-01-15 00:00:00"
