@@ -129,7 +129,7 @@ def process_block(spark: SparkSession, raw: DataFrame, batch_id: int, opts: Sink
     observed, obs = observed_block(aligned, f"block_{block}")
     landing = LandingTable(spark, opts.landing_path)
     if opts.stage_path is None:
-        landing.land(observed)
+        landing.land(observed, block)
     else:
         stage = f"{opts.stage_path.rstrip('/')}/{block}"
         stage_csv(observed, stage, [f.name for f in opts.landing_schema.fields])
