@@ -52,6 +52,7 @@ class SinkOptions:
     key_schema: T.StructType | None = None
     keys: Sequence[str] | None = None
     order_by: Sequence[str] = (IH_OFFSET,)
+    strict_order: bool = False  # fail the batch if the last change of a key is tied or unordered
     timestamps: Sequence[str] = ()
     dates: Sequence[str] = ()
     times: Sequence[str] = ()
@@ -106,10 +107,8 @@ def prepare_block(raw: DataFrame, opts: SinkOptions, block: str, now=None) -> Da
     decoded = decode_envelope(raw, opts.row_schema, opts.key_schema)
     checked = fail_on_invalid(decoded)
     routed = add_provenance(route_image(checked, keep=opts.keep), block_id=block, now=now)
-    if IH_KEY in routed.columns:
-        conflated = conflate_latest(routed, [IH_KEY], order_by=opts.order_by)
-    else:
-        conflated = conflate_latest(routed, list(opts.keys or []), order_by=opts.order_by)
+    keys = [IH_KEY] if IH_KEY in routed.columns else list(opts.keys or [])
+    conflated = conflate_latest(routed, keys, order_by=opts.order_by, strict=opts.strict_order)
     return align_to_target(
         conflated,
         opts.landing_schema,

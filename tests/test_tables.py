@@ -176,6 +176,14 @@ def test_staged_flush_loads_through_csv_and_purges(spark, workdir):
     assert sorted(r.ts for r in landed) == [dt.datetime(2018, 1, 10, 10, 30, 40)] * 2
 
 
+def test_strict_order_rejects_ties(spark, workdir):
+    opts = SinkOptions(landing_schema=LANDING, landing_path=f"{workdir}/s_INGEST", final_path=None, row_schema=ROW,
+                       key_schema=KEY, timestamps=["ts"], strict_order=True, query_name="s")
+    tied = raw_records(spark, [("c", 1, "a"), ("u", 1, "b")]).withColumn("offset", F.lit(7).cast("bigint"))
+    with pytest.raises(Exception, match="tied"):
+        process_block(spark, tied, 0, opts)
+
+
 def test_copy_only_skips_the_final_table(spark, workdir):
     opts = SinkOptions(landing_schema=LANDING, landing_path=f"{workdir}/c_INGEST", final_path=f"{workdir}/c",
                        row_schema=ROW, key_schema=KEY, timestamps=["ts"], copy_only=True, query_name="c")
