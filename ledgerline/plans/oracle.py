@@ -129,6 +129,7 @@ WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.id = s.id AND b.ih_op = 'd')""",
     "apply_block": APPLY,
     "replay_blocks": APPLY,
     "stream_apply": APPLY,
+    "stream_flush": APPLY,
     "land_block_copy_only": _with(CHANGES, BLOCK)
     + """SELECT id, type, value, props, ih_topic, ih_offset, ih_partition, ih_op,
        TIMESTAMP '2024-02-01 00:00:00' AS ih_datetime, 'land-000000000000' AS ih_blockid FROM block""",

@@ -238,11 +238,11 @@ def apply_block_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_block(seed(spark, sf_dir), _block(changes(spark, sf_dir)), ["id"])
 
 
-def _block_number(ch: DataFrame):
-    """Cut the changes into ``N_BLOCKS`` consecutive offset ranges."""
-    lo, hi = ch.agg(F.min("ih_offset"), F.max("ih_offset")).first()
+def _block_number(df: DataFrame, col: str = "ih_offset"):
+    """Cut ``df`` into ``N_BLOCKS`` consecutive ranges of ``col`` (one small job for the bounds)."""
+    lo, hi = df.agg(F.min(col), F.max(col)).first()
     width = (hi - lo + 1) * 1.0
-    return F.floor((F.col("ih_offset") - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
+    return F.floor((F.col(col) - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
 
 
 def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +276,46 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap.read()
 
 
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole typed-CDC flush, streamed: JSON envelope records arrive in
+    blocks; each micro-batch is decoded, validated, routed, conflated,
+    aligned, staged as gzip CSV, loaded into the landing table (stage purged)
+    and applied to the current-state table."""
+    from ledgerline.plans.flush import SinkOptions
+    from ledgerline.streaming.runner import run_stream
+
+    env = envelopes(spark, sf_dir)
+    raw = env.select(
+        "topic", "partition", "offset",
+        F.to_json("key").alias("key"),
+        F.to_json(F.struct("before", "after", "op")).alias("value"),
+    )
+    blk = _block_number(raw, "offset")
+    base = work_dir(spark, "flush")
+    landing_schema = T.StructType(
+        list(FINAL_SCHEMA.fields)
+        + [
+            T.StructField("ih_topic", T.StringType()), T.StructField("ih_offset", T.LongType()),
+            T.StructField("ih_partition", T.IntegerType()), T.StructField("ih_op", T.StringType()),
+            T.StructField("ih_datetime", T.TimestampNTZType()), T.StructField("ih_blockid", T.StringType()),
+        ]
+    )
+    opts = SinkOptions(
+        landing_schema=landing_schema, landing_path=f"{base}/events_INGEST", final_path=f"{base}/events",
+        stage_path=f"{base}/stage", row_schema=ROW_SCHEMA, key_schema=KEY_SCHEMA,
+        query_name="stream_flush", final_buckets=FINAL_BUCKETS,
+    )
+    SnapshotTable(spark, opts.final_path, ["id"], buckets=FINAL_BUCKETS).initialize(seed(spark, sf_dir))
+    source = f"{base}/source"
+    for b in range(N_BLOCKS):
+        raw.where(blk == b).repartition("key").write.mode("overwrite").parquet(
+            f"{source}/block-{b:05d}"
+        )
+        stream = spark.readStream.schema(raw.schema).option("recursiveFileLookup", "true").parquet(source)
+        run_stream(spark, stream, opts, f"{base}/checkpoint")
+    return SnapshotTable(spark, opts.final_path, ["id"]).read()
+
+
 # --- sinks -----------------------------------------------------------------------
 
 
@@ -335,6 +375,7 @@ QUERIES = {
     "apply_block": apply_block_q,
     "replay_blocks": replay_blocks,
     "stream_apply": stream_apply,
+    "stream_flush": stream_flush,
     "land_block_copy_only": land_block_copy_only,
     "append_changelog": append_changelog,
     "expire_landing": expire_landing,
