@@ -58,14 +58,26 @@ def validate_changes(df: DataFrame, key_col: str = "key") -> DataFrame:
     return df.withColumn(ERRORS, reasons(df, key_col))
 
 
-def fail_on_invalid(df: DataFrame, key_col: str = "key") -> DataFrame:
-    """Pass valid rows through; fail the job on the first invalid one."""
-    errs = reasons(df, key_col)
+def _guarded(df: DataFrame, errs: Column) -> DataFrame:
+    """Filter that raises on the first row with reasons, evaluated once per row.
+
+    The reasons are computed in a projection that also carries a
+    non-deterministic marker (the partition id) referenced by the filter. That
+    keeps Catalyst from pushing the filter below the projection, which would
+    inline the payload parsing (``from_json``) into every reference of the
+    condition and parse each record many times.
+    """
+    marked = df.withColumns({"__errors": errs, "__barrier": F.spark_partition_id()})
     guard = F.when(
-        F.size(errs) > 0,
-        F.raise_error(F.concat(F.lit("invalid change record: "), F.array_join(errs, ","))),
+        F.size("__errors") > 0,
+        F.raise_error(F.concat(F.lit("invalid change record: "), F.array_join("__errors", ","))),
     )
-    return df.filter(guard.isNull())
+    return marked.filter(guard.isNull() & (F.col("__barrier") >= 0)).drop("__errors", "__barrier")
+
+
+def fail_on_invalid(df: DataFrame, key_col: str = "key") -> DataFrame:
+    """Pass valid rows through; fail the job on the first invalid one."""
+    return _guarded(df, reasons(df, key_col))
 
 
 def schemaless_reasons(df: DataFrame, cdc: bool = True) -> Column:
@@ -90,9 +102,4 @@ def schemaless_reasons(df: DataFrame, cdc: bool = True) -> Column:
 
 def fail_on_invalid_schemaless(df: DataFrame, cdc: bool = True) -> DataFrame:
     """Pass valid schemaless rows through; fail the job on the first invalid one."""
-    errs = schemaless_reasons(df, cdc)
-    guard = F.when(
-        F.size(errs) > 0,
-        F.raise_error(F.concat(F.lit("invalid change record: "), F.array_join(errs, ","))),
-    )
-    return df.filter(guard.isNull())
+    return _guarded(df, schemaless_reasons(df, cdc))

@@ -67,3 +67,15 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert compact_latest(rows, ["k"]).where("k = 0").count() == 1
     final = spark.createDataFrame([(0, "old")], "k bigint, v string")
     assert apply_block(final, latest, ["k"]).where("k = 0").count() == 0
+
+
+def test_validation_does_not_reparse_payloads(spark):
+    from ledgerline.operators.validate import fail_on_invalid
+    from ledgerline.sources.decode import decode_envelope
+
+    raw = q.envelopes(spark, SF001).select(
+        "topic", "partition", "offset", F.to_json("key").alias("key"), F.to_json(F.struct("before", "after", "op")).alias("value")
+    )
+    checked = fail_on_invalid(decode_envelope(raw, q.ROW_SCHEMA, q.KEY_SCHEMA))
+    optimized = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json(") == 2  # one parse of the value, one of the key
