@@ -66,6 +66,7 @@ class SinkOptions:
     reload_gap_seconds: int | None = None
     keep: Sequence[str] = ()
     final_buckets: int = 64
+    keep_versions: int = 10  # snapshot versions kept by maintenance (older data is vacuumed)
     stage_path: str | None = None  # stage each block as gzip CSV and load it from there
 
     ignore_columns: Sequence[str] = ()

@@ -82,7 +82,7 @@ class LandingTable:
         block reaches the driver. Fully expired blocks are removed as folders;
         straddling blocks are rewritten through a staging folder.
         """
-        if not self.exists():
+        if not self.exists() or not self.blocks():
             return {"dropped": [], "rewritten": []}
         cutoff = now - parse_interval(keep)
         stats = (
