@@ -54,6 +54,11 @@ UNION ALL
 SELECT id, type, value, props FROM block WHERE ih_op IN ('c', 'r', 'u')"""
 
 
+CHANGELOG = _with(CHANGES) + """SELECT ih_topic, ih_partition, CAST(ih_offset AS VARCHAR) AS ih_offset, ih_op,
+       id, type, value, props
+FROM changes"""
+
+
 SQL = {
     "decode_envelope": _with(CHANGES) + "SELECT ih_topic, ih_partition, ih_offset, ih_op, id, type, value, props FROM changes",
     "decode_schemaless": _with(CHANGES)
@@ -133,9 +138,8 @@ WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.id = s.id AND b.ih_op = 'd')""",
     "land_block_copy_only": _with(CHANGES, BLOCK)
     + """SELECT id, type, value, props, ih_topic, ih_offset, ih_partition, ih_op,
        TIMESTAMP '2024-02-01 00:00:00' AS ih_datetime, 'land-000000000000' AS ih_blockid FROM block""",
-    "append_changelog": _with(CHANGES)
-    + """SELECT ih_topic, ih_partition, CAST(ih_offset AS VARCHAR) AS ih_offset, ih_op, id, type, value, props
-FROM changes""",
+    "append_changelog": CHANGELOG,
+    "stream_changelog": CHANGELOG,
     "expire_landing": _with(CHANGES)
     + """SELECT * FROM changes
 WHERE NOT (ih_datetime + INTERVAL 4 HOUR < TIMESTAMP '2024-01-15 00:00:00') OR ih_datetime IS NULL""",

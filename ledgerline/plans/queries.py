@@ -316,6 +316,38 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SnapshotTable(spark, opts.final_path, ["id"]).read()
 
 
+def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog flush, streamed: schemaless CDC JSON (field names in mixed
+    case) arrives in blocks; each micro-batch is decoded into a text map,
+    validated, stamped (offset as text), aligned to the changelog columns
+    ignoring case, and appended under its batch's block id."""
+    from ledgerline.plans.flush import SinkOptions
+    from ledgerline.streaming.runner import run_changelog_stream
+
+    ch = changes(spark, sf_dir)
+    img = F.struct(F.col("id").alias("ID"), F.col("type").alias("Type"), F.col("value").alias("VALUE"), F.col("props").alias("props"))
+    op = F.col("ih_op")
+    raw = ch.select(
+        F.col("ih_topic").alias("topic"),
+        F.col("ih_partition").alias("partition"),
+        F.col("ih_offset").alias("offset"),
+        F.to_json(F.struct(op.alias("op"), F.when(op.isin("u", "d"), img).alias("before"), F.when(op != "d", img).alias("after"))).alias("value"),
+    )
+    blk = _block_number(raw, "offset")
+    base = work_dir(spark, "changelog_stream")
+    schema = T.StructType(
+        list(FINAL_SCHEMA.fields)
+        + [T.StructField("ih_topic", T.StringType()), T.StructField("ih_partition", T.IntegerType()),
+           T.StructField("ih_offset", T.StringType()), T.StructField("ih_op", T.StringType())]
+    )
+    opts = SinkOptions(landing_schema=schema, landing_path=f"{base}/events_log", mode="cdc_schemaless", query_name="stream_changelog")
+    for b in range(N_BLOCKS):
+        raw.where(blk == b).write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
+        stream = spark.readStream.schema(raw.schema).option("recursiveFileLookup", "true").parquet(f"{base}/source")
+        run_changelog_stream(spark, stream, opts, f"{base}/checkpoint")
+    return ChangelogTable(spark, opts.landing_path).read().drop("ih_blockid")
+
+
 # --- sinks -----------------------------------------------------------------------
 
 
@@ -376,6 +408,7 @@ QUERIES = {
     "replay_blocks": replay_blocks,
     "stream_apply": stream_apply,
     "stream_flush": stream_flush,
+    "stream_changelog": stream_changelog,
     "land_block_copy_only": land_block_copy_only,
     "append_changelog": append_changelog,
     "expire_landing": expire_landing,
