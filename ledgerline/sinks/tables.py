@@ -131,7 +131,8 @@ class ChangelogTable(LandingTable):
 class SnapshotTable:
     """Versioned current-state table on Parquet, hash-bucketed by key.
 
-    Layout: ``v=<n>/bucket=<b>/`` holds the buckets version ``n`` rewrote;
+    Layout: ``v=<n>/ll_bucket=<b>/`` holds the buckets version ``n`` rewrote
+    (``b = pmod(xxhash64(keys), buckets)``);
     ``_manifests/v=<n>.json`` maps every non-empty bucket to the version that
     holds it (plus the schema). A version is visible once its manifest exists,
     which is written after Spark committed the data. Applying a block reads
