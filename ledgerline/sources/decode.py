@@ -146,24 +146,32 @@ def decode_envelope(
     )
 
 
+SCHEMALESS_ENVELOPE = T.StructType(
+    [
+        T.StructField(OP, T.StringType(), True),
+        T.StructField(BEFORE, MAP_OF_TEXT, True),
+        T.StructField(AFTER, MAP_OF_TEXT, True),
+    ]
+)
+
+
 def decode_schemaless(df: DataFrame, cdc: bool = True, value_col: str = "value") -> DataFrame:
-    """Parse a schemaless JSON payload into a ``fields`` map (and ``op``).
+    """Parse a schemaless JSON payload into a ``fields`` text map (and ``op``).
 
-    With ``cdc=True`` the payload is ``{op, before, after}`` and ``fields`` is
-    ``before`` for deletes, else ``after``. Plain records get op ``c`` later.
+    With ``cdc=True`` the payload is ``{op, before, after}``: its shape is
+    fixed even though the row's fields are not, so one ``from_json`` into
+    ``struct<op, before: map, after: map>`` parses each record once, and
+    ``fields`` is ``before`` for deletes, else ``after``. Plain records get op
+    ``c`` later. Nested values stay JSON text.
     """
-    payload = F.from_json(F.col(value_col), MAP_OF_TEXT, {"mode": "PERMISSIVE"})
     cols = [F.col(f"`{c}`") for c in df.columns if c != value_col]
     if not cdc:
+        payload = F.from_json(F.col(value_col), MAP_OF_TEXT, {"mode": "PERMISSIVE"})
         return df.select(*cols, payload.alias("fields"))
-    parsed = df.select(*cols, payload.alias("__payload"))
-    op = F.lower(map_lookup("__payload", OP))
-    image_text = F.when(op == "d", map_lookup("__payload", BEFORE)).otherwise(map_lookup("__payload", AFTER))
-    return parsed.select(
-        *[F.col(f"`{c}`") for c in df.columns if c != value_col],
-        F.from_json(image_text, MAP_OF_TEXT, {"mode": "PERMISSIVE"}).alias("fields"),
-        op.alias(OP),
-    )
+    parsed = df.select(*cols, F.from_json(F.col(value_col), SCHEMALESS_ENVELOPE, {"mode": "PERMISSIVE"}).alias("__payload"))
+    op = F.lower(F.col("__payload")[OP])
+    image = F.when(op == "d", F.col("__payload")[BEFORE]).otherwise(F.col("__payload")[AFTER])
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns if c != value_col], image.alias("fields"), op.alias(OP))
 
 
 def lowered_entries(map_col) -> Column:
