@@ -274,7 +274,12 @@ class SnapshotTable:
         if schema is None:
             cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
             schema = block.select(*[F.col(f"`{c}`") for c in cols]).schema
-        key_types = {f.name: f.dataType for f in schema.fields}
+        by_lower = {f.name.lower(): f for f in schema.fields}
+        missing = [k for k in self.keys if k.lower() not in by_lower]
+        if missing:
+            raise ValueError(f"key columns {missing} are not columns of {self.path}")
+        self.keys = [by_lower[k.lower()].name for k in self.keys]  # the table's spelling
+        key_types = {k: by_lower[k.lower()].dataType for k in self.keys}
         keyed = block.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
         base_empty = self.spark.createDataFrame([], schema)
         if self.buckets == 1:

@@ -112,6 +112,13 @@ def test_large_block_path_matches_small_block_path(spark, workdir, monkeypatch):
     assert results[0] == results[1] and len(results[0]) == 300 - 50 + 50
 
 
+def test_snapshot_keys_match_columns_ignoring_case(spark, workdir):
+    snap = SnapshotTable(spark, f"{workdir}/case", ["ID"], buckets=4)
+    snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
+    snap.apply(spark.createDataFrame([(2, None, "d"), (3, "c", "c")], "Id bigint, V string, ih_op string"), 1)
+    assert sorted(tuple(r) for r in snap.read().collect()) == [(1, "a"), (3, "c")]
+
+
 def test_gap_reloader_truncates_after_quiet_period(spark, workdir):
     t = ChangelogTable(spark, f"{workdir}/log")
     g = GapReloader(spark, t, 1800)
