@@ -252,7 +252,7 @@ def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap.initialize(seed(spark, sf_dir))
     for b in range(N_BLOCKS):
         part = ch.where(blk == b)
-        snap.apply(_block(part), b + 1)
+        snap.apply(_block(part), b + 1, keys_from=part)
     return snap.read()
 
 

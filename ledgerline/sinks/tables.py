@@ -252,12 +252,13 @@ class SnapshotTable:
         return ranked.where(keep).select(*[F.col(f"`{c}`") for c in cols], F.col(_BUCKET))
 
     def apply(self, block: DataFrame, version: int, block_rows: int | None = None, final_cols: Sequence[str] | None = None,
-              op_col: str = IH_OP) -> None:
+              op_col: str = IH_OP, keys_from: DataFrame | None = None) -> None:
         """Write version ``version`` = the newest version below it with ``block`` applied.
 
         Only buckets hashed from the block's keys are read and rewritten; the
         distinct touched buckets (at most ``buckets`` small ints) are the only
-        thing collected to the driver, with their row counts. A block whose
+        thing collected to the driver, with their row counts (taken from
+        ``keys_from`` when given: any frame holding the block's keys). A block whose
         key side is provably small is applied with a broadcast anti join; a
         larger one meets the base in a single bucket-aligned exchange.
         """
@@ -280,7 +281,10 @@ class SnapshotTable:
             raise ValueError(f"key columns {missing} are not columns of {self.path}")
         self.keys = [by_lower[k.lower()].name for k in self.keys]  # the table's spelling
         key_types = {k: by_lower[k.lower()].dataType for k in self.keys}
-        keyed = block.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
+        # ``keys_from``: a cheaper frame with (at least) the block's keys, e.g. the
+        # records before conflation; its row count bounds the block's size
+        source = keys_from if keys_from is not None else block
+        keyed = source.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
         base_empty = self.spark.createDataFrame([], schema)
         if self.buckets == 1:
             base = self.read(earlier[-1]) if earlier else base_empty
