@@ -213,3 +213,23 @@ def test_options_discover_landing_columns_from_the_catalog(spark, workdir):
     assert [f.name for f in opts.landing_schema.fields] == [f.name for f in LANDING.fields]
     assert opts.final_cols == ["id", "name", "ts"]
     assert SinkOptions(landing_schema=LANDING, landing_path="x", ignore_columns=["name"]).final_cols == ["id", "ts"]
+
+
+def test_plain_records_changelog_path(spark):
+    from ledgerline.plans.flush import prepare_changelog
+
+    raw = spark.createDataFrame(
+        [("t", 1, 41, 7, "seven", 1515580240000), ("t", 1, 42, 8, "eight", None)],
+        "topic string, partition int, offset bigint, ID bigint, Name string, ts bigint",
+    )
+    schema = T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
+         T.StructField("ih_topic", T.StringType()), T.StructField("ih_partition", T.IntegerType()),
+         T.StructField("ih_offset", T.StringType()), T.StructField("ih_op", T.StringType())]
+    )
+    opts = SinkOptions(landing_schema=schema, landing_path="unused", mode="plain", timestamps=["ts"])
+    rows = sorted(tuple(r) for r in prepare_changelog(raw, opts).collect())
+    assert rows == [
+        (7, "seven", dt.datetime(2018, 1, 10, 10, 30, 40), "t", 1, "41", "c"),
+        (8, "eight", None, "t", 1, "42", "c"),
+    ]
