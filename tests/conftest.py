@@ -15,7 +15,14 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from ledgerline.session import get_session
 
-    session = get_session(master="local[*]", shuffle_partitions=8, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ll-test-ckpt-")})
+    session = get_session(
+        master="local[*]",
+        shuffle_partitions=8,
+        **{
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ll-test-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ll-test-wh-"),
+        },
+    )
     yield session
     session.stop()
 

@@ -155,3 +155,12 @@ def test_schemaless_cdc_validation(spark):
 def test_compaction_of_text_offsets_is_numeric(spark):
     df = spark.createDataFrame([(1, "9", "u"), (1, "10", "d"), (2, "x", "c")], "id bigint, ih_offset string, ih_op string")
     assert sorted(tuple(r) for r in compact_latest(df, ["id"]).collect()) == [(1, "10", "d"), (2, "x", "c")]
+
+
+def test_merge_into_table_is_well_formed_and_needs_a_row_level_table(spark):
+    from ledgerline.operators.apply import merge_into_table
+
+    spark.createDataFrame([(1, "a")], "id bigint, v string").write.mode("overwrite").saveAsTable("merge_target")
+    block = spark.createDataFrame([(1, "b", "u"), (2, "c", "c"), (3, None, "d")], "id bigint, v string, ih_op string")
+    with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+        merge_into_table(block, "merge_target", ["id"], ["id", "v"])
