@@ -83,3 +83,19 @@ def test_maintenance_runs_once_per_interval_and_swallows_errors(spark, workdir):
     failing = LandingTable(spark, f"{workdir}/m_INGEST")
     failing.expire = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("storage unavailable"))
     assert Maintenance(failing, "PT1S").maybe_run(now) is None
+
+
+def test_read_changes_batch_and_stream_with_trigger_limit(spark, workdir):
+    from ledgerline.sources.changes import read_changes
+
+    src = f"{workdir}/rc"
+    _write_batches(spark, src, [[("c", 1, "a")], [("c", 2, "b")], [("c", 3, "c")]])
+    batch = read_changes(spark, "json", src, RAW_SCHEMA, options={"recursiveFileLookup": "true"})
+    assert batch.count() == 3 and batch.columns == ["topic", "partition", "offset", "key", "value"]
+    seen = []
+    stream = read_changes(spark, "json", src, RAW_SCHEMA, streaming=True, max_per_trigger=1,
+                          options={"recursiveFileLookup": "true"})
+    q = (stream.writeStream.option("checkpointLocation", f"{workdir}/rc_ckpt")
+         .foreachBatch(lambda df, i: seen.append(df.count())).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert seen == [1, 1, 1]
