@@ -32,6 +32,14 @@ def _key_names(keys: Sequence) -> list[str]:
     return names
 
 
+def _group_limit_enabled(df: DataFrame) -> bool:
+    """Does the session plan a partial top-k (``WindowGroupLimit``) for windows?"""
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) >= 1
+    except Exception:
+        return True
+
+
 def conflate_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,6 +63,10 @@ def conflate_latest(
     payload = [c for c in df.columns if c not in keys]
     if strict:
         return _conflate_strict(df, keys, order, payload)
+    if method == "window" and not _group_limit_enabled(df):
+        # without the partial group limit every row of a hot key would reach one
+        # reducer; the aggregate is always partial before the shuffle
+        method = "aggregate"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

@@ -79,3 +79,12 @@ def test_validation_does_not_reparse_payloads(spark):
     checked = fail_on_invalid(decode_envelope(raw, q.ROW_SCHEMA, q.KEY_SCHEMA))
     optimized = checked._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("from_json(") == 2  # one parse of the value, one of the key
+
+
+def test_conflation_falls_back_to_partial_aggregate_without_group_limit(spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+    try:
+        p = plan(q.conflate_composite(spark, SF001))
+        assert "Window" not in p and "partial_max_by" in p
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
