@@ -77,10 +77,16 @@ def conflate_latest(
 
 
 def _conflate_strict(df: DataFrame, keys: list[str], order: list[str], payload: list[str]) -> DataFrame:
+    """Top-1 per key that fails on ties: keep the top two rows per key (a
+    partial group limit before the shuffle, so skew-safe), then compare them."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
     order_struct = F.struct(*_cols(order))
-    ranked = df.withColumns({"__rn": F.row_number().over(w), "__next": F.lead(order_struct).over(w)})
-    tied = (F.col("__next") == order_struct) | F.exists(F.array(*_cols(order)), lambda x: x.isNull())
+    top2 = df.withColumn("__rn", F.row_number().over(w)).filter("__rn <= 2")
+    ranked = top2.withColumn("__next", F.lead(order_struct).over(w))
+    any_null = F.lit(False)
+    for c in _cols(order):
+        any_null = any_null | c.isNull()
+    tied = (F.col("__next") == order_struct) | any_null
     guard = F.when(tied, F.raise_error(F.lit("conflation order is tied or null within a key")))
     return ranked.filter("__rn = 1").filter(guard.isNull()).drop("__rn", "__next")
 

@@ -88,3 +88,10 @@ def test_conflation_falls_back_to_partial_aggregate_without_group_limit(spark):
         assert "Window" not in p and "partial_max_by" in p
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_strict_conflation_is_also_limited_before_the_shuffle(spark):
+    li = q.table(spark, SF001, "lineitem")
+    p = plan(conflate_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"], strict=True))
+    assert "WindowGroupLimit" in p and "Partial" in p
+    assert p.count("Exchange hashpartitioning") == 1
