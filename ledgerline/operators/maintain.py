@@ -92,9 +92,11 @@ def reload_on_gap(
     Scales without a global sort: arrivals are first reduced to per-minute
     first/last times (partial aggregate; a gap of 31+ minutes cannot hide
     inside one minute), the previous busy minute is found with a window
-    partitioned by day, and the first minute of each day looks back through a
-    one-row-per-day table. The reload point (one value) is read back and
-    applied as a literal filter, which reaches the scan.
+    partitioned by day, and the first minute of each day looks back at the
+    previous calendar day through an equi-join on ``day - 1`` (an empty
+    previous day means a quiet spell of more than a day). No step orders the
+    whole input or funnels it into one task. The reload point (one value) is
+    read back and applied as a literal filter, which reaches the scan.
     """
     limit_minutes = gap_seconds // 60
     ts = F.col(ts_col).cast("timestamp_ntz")
@@ -108,14 +110,18 @@ def reload_on_gap(
     in_day = Window.partitionBy("__day").orderBy("__minute")
     with_prev = per_minute.withColumn("__prev_last", F.lag("__last").over(in_day))
     per_day = per_minute.groupBy("__day").agg(F.max("__last").alias("__day_last"))
-    prev_day = per_day.withColumn("__prev_day_last", F.lag("__day_last").over(Window.orderBy("__day"))).select(
-        "__day", "__prev_day_last"
-    )
+    # the day before, by an equi-join on day - 1 (no global ordering needed)
+    prev_day = per_day.select(F.date_add("__day", 1).alias("__day"), F.col("__day_last").alias("__prev_day_last"))
+    first_day = per_day.agg(F.min("__day")).first()[0]
+    if first_day is None:
+        return df
     gaps = with_prev.join(prev_day, on="__day", how="left").withColumn(
         "__before", F.coalesce("__prev_last", "__prev_day_last")
     )
     minutes = F.timestamp_diff("MINUTE", F.col("__before"), F.col("__first"))
-    start = gaps.where(minutes > F.lit(limit_minutes)).agg(F.max("__first")).first()[0]
+    # no arrival on the previous calendar day: the quiet spell exceeds a day
+    whole_day_gap = F.col("__before").isNull() & (F.col("__day") > F.lit(first_day))
+    start = gaps.where((minutes > F.lit(limit_minutes)) | whole_day_gap).agg(F.max("__first")).first()[0]
     if start is None:
         return df
     # one value read back; as a literal the filter reaches the Parquet scan

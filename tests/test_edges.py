@@ -131,6 +131,14 @@ def test_reload_gap_across_days_and_within_minute(spark):
     assert sorted(r[0] for r in reload_on_gap(df, "ts").collect()) == [2, 3]
 
 
+def test_reload_gap_over_an_empty_calendar_day(spark):
+    rows = [(1, dt.datetime(2024, 1, 1, 10, 0)), (2, dt.datetime(2024, 1, 3, 9, 0)), (3, dt.datetime(2024, 1, 3, 9, 5))]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    assert sorted(r[0] for r in reload_on_gap(df, "ts").collect()) == [2, 3]
+    single = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0)), (2, dt.datetime(2024, 1, 1, 10, 20))], "id int, ts timestamp_ntz")
+    assert sorted(r[0] for r in reload_on_gap(single, "ts").collect()) == [1, 2]
+
+
 def test_block_id_is_deterministic():
     assert block_id("orders sink", 7) == block_id("orders sink", 7) == "orders_sink-000000000007"
 
