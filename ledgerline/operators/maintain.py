@@ -112,16 +112,14 @@ def reload_on_gap(
     per_day = per_minute.groupBy("__day").agg(F.max("__last").alias("__day_last"))
     # the day before, by an equi-join on day - 1 (no global ordering needed)
     prev_day = per_day.select(F.date_add("__day", 1).alias("__day"), F.col("__day_last").alias("__prev_day_last"))
-    first_day = per_day.agg(F.min("__day")).first()[0]
-    if first_day is None:
-        return df
     gaps = with_prev.join(prev_day, on="__day", how="left").withColumn(
         "__before", F.coalesce("__prev_last", "__prev_day_last")
     )
     minutes = F.timestamp_diff("MINUTE", F.col("__before"), F.col("__first"))
-    # no arrival on the previous calendar day: the quiet spell exceeds a day
-    whole_day_gap = F.col("__before").isNull() & (F.col("__day") > F.lit(first_day))
-    start = gaps.where((minutes > F.lit(limit_minutes)) | whole_day_gap).agg(F.max("__first")).first()[0]
+    # No arrival on the previous calendar day: the quiet spell exceeds a day.
+    # The very first arrival also has none; as a reload point it keeps every
+    # row, so it needs no special case.
+    start = gaps.where((minutes > F.lit(limit_minutes)) | F.col("__before").isNull()).agg(F.max("__first")).first()[0]
     if start is None:
         return df
     # one value read back; as a literal the filter reaches the Parquet scan
