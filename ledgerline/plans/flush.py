@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.constants import IH_COLUMNS, IH_OFFSET, LANDING_RETENTION, RELOAD_GAP_SECONDS
+from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_OFFSET, LANDING_RETENTION, RELOAD_GAP_SECONDS
 from ledgerline.functions.ids import block_id as make_block_id
 from ledgerline.operators.align import align_to_target
 from ledgerline.operators.conflate import conflate_latest, observed_block
@@ -142,10 +142,17 @@ def process_block(spark: SparkSession, raw: DataFrame, batch_id: int, opts: Sink
         return metrics
     keys = _keys(raw, opts)
     table = SnapshotTable(spark, opts.final_path, keys, buckets=opts.final_buckets)
-    table.apply(landing.read(block), batch_id + 1, block_rows=metrics["rows"], final_cols=opts.final_cols)
+    landed = landing.read(block, schema=_landing_read_schema(opts.landing_schema))
+    table.apply(landed, batch_id + 1, block_rows=metrics["rows"], final_cols=opts.final_cols)
     return metrics
 
 
+def _landing_read_schema(schema: T.StructType) -> T.StructType:
+    """The landing schema as stored: ``ih_blockid`` is the (text) partition column, last."""
+    fields = [f for f in schema.fields if f.name != IH_BLOCKID]
+    return T.StructType(fields + [T.StructField(IH_BLOCKID, T.StringType(), True)])
+
+
 def _keys(raw: DataFrame, opts: SinkOptions) -> list[str]:
     if opts.keys:
         return list(opts.keys)
