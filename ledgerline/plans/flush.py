@@ -6,9 +6,13 @@ Typed CDC records::
     -> align to the landing columns -> land the block (idempotent)
     -> apply the landed block to the current-state table (unless copy_only)
 
+With ``stage_path`` the block is staged as gzip CSV, loaded from there into
+the landing table and the stage purged (kept in copy-only mode).
+
 Changelog records (schemaless or plain)::
 
-    decode -> provenance (offset as text) -> align -> gap check -> append
+    decode -> fail on invalid -> provenance (offset as text) -> align
+    -> gap check (truncate after a quiet spell) -> append
 
 Every write is keyed by the batch id, so a replayed batch converges to the
 same tables. Block flags and row counts come from an ``Observation`` on the
