@@ -58,7 +58,8 @@ def route_image(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     record = _record_columns(df, keep)
     fields = _image_fields(image_type, list(record) + list(IH_COLUMNS))
     routed = df.select(*record.values(), image.alias("__image"))
-    return routed.select(*[c for c in routed.columns if c != "__image"], *[F.col("__image")[f].alias(f) for f in fields])
+    kept = [F.col(f"`{c}`") for c in routed.columns if c != "__image"]
+    return routed.select(*kept, *[F.col("__image")[f].alias(f) for f in fields])
 
 
 def plain_records(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
