@@ -20,7 +20,7 @@ from ledgerline.constants import IH_OFFSET, IH_OP, OP_CREATE, OP_DELETE, OP_READ
 
 
 def _cols(names) -> list[Column]:
-    return [F.col(n) if isinstance(n, str) else n for n in names]
+    return [F.col(f"`{n}`") if isinstance(n, str) else n for n in names]
 
 
 def _key_names(keys: Sequence) -> list[str]:
@@ -68,18 +68,18 @@ def conflate_latest(
         # reducer; the aggregate is always partial before the shuffle
         method = "aggregate"
     if method == "window":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
+        w = Window.partitionBy(*_cols(keys)).orderBy(*[c.desc() for c in _cols(order)])
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
     if method != "aggregate":
         raise ValueError(f"unknown conflation method {method!r}")
     latest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), F.struct(*_cols(order)))
-    return df.groupBy(*keys).agg(latest.alias("__row")).select(*keys, *[F.col("__row")[c].alias(c) for c in payload])
+    return df.groupBy(*_cols(keys)).agg(latest.alias("__row")).select(*_cols(keys), *[F.col("__row")[c].alias(c) for c in payload])
 
 
 def _conflate_strict(df: DataFrame, keys: list[str], order: list[str], payload: list[str]) -> DataFrame:
     """Top-1 per key that fails on ties: keep the top two rows per key (a
     partial group limit before the shuffle, so skew-safe), then compare them."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
+    w = Window.partitionBy(*_cols(keys)).orderBy(*[c.desc() for c in _cols(order)])
     order_struct = F.struct(*_cols(order))
     top2 = df.withColumn("__rn", F.row_number().over(w)).filter("__rn <= 2")
     ranked = top2.withColumn("__next", F.lead(order_struct).over(w))

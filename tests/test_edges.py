@@ -172,3 +172,9 @@ def test_merge_into_table_is_well_formed_and_needs_a_row_level_table(spark):
     block = spark.createDataFrame([(1, "b", "u"), (2, "c", "c"), (3, None, "d")], "id bigint, v string, ih_op string")
     with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
         merge_into_table(block, "merge_target", ["id"], ["id", "v"])
+
+
+def test_conflation_with_dotted_column_names(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "`k.id` int, `ih.offset` bigint, v string")
+    for m in ("window", "aggregate"):
+        assert [r["v"] for r in conflate_latest(df, ["k.id"], order_by=["ih.offset"], method=m).collect()] == ["b"]
