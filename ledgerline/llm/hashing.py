@@ -1,7 +1,8 @@
 """Vectorised word and shingle hashing over Arrow string batches.
 
-Words are maximal runs of bytes other than space and ``\\t``..``\\r`` (the
-ASCII white space), after lower-casing ``A``-``Z``. Both are byte-wise rules,
+Words are maximal runs of bytes outside a set of separators: by default space
+and ``\\t``..``\\r`` (the ASCII white space), or every ASCII character but
+letters and digits, after lower-casing ``A``-``Z``. All are byte-wise rules,
 so UTF-8 text needs no decoding. A word's hash is a polynomial over its bytes
 modulo 2^64 taken from prefix sums, so one pass of array operations hashes
 every word of a batch; shingle hashes combine five word hashes.
@@ -19,10 +20,11 @@ SPAN_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NOT_WORD = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _LANES = np.random.default_rng(20240117).integers(1, 1 << 63, size=SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -76,9 +78,9 @@ def spans_of_rows(starts: np.ndarray, limit: int = SPAN_BYTES) -> Iterator[tuple
         row = end
 
 
-def word_bounds(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and words before each row."""
-    inside = ~_SPACE[raw]
+    inside = ~between[raw]
     edge = np.zeros(raw.size + 1, dtype=bool)
     edge[starts] = True
     before = np.zeros(raw.size, dtype=bool)
@@ -90,12 +92,12 @@ def word_bounds(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return first, last, np.searchsorted(first, starts)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """A hash per word in order, and words before each row."""
-    first, last, rows = word_bounds(raw, starts)
+    first, last, rows = word_bounds(raw, starts, between)
     power, inverse = _powers(raw.size + 1)
     sums = np.zeros(raw.size + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[: raw.size], out=sums[1:])
+    np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[: raw.size], out=sums[1:])
     return mix64((sums[last] - sums[first]) * inverse[first]), rows
 
 

@@ -9,17 +9,82 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm.common import table
-from ledgerline.llm.near_dup import near_duplicates
+from ledgerline.llm import chat, decontaminate, langid, licenses, near_dup, packing, quality, secrets, sharding, token_files
+from ledgerline.llm.common import Scratch, table
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.compression_bands(table(spark, sf_dir, "documents"))
+
+
+def op3_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = [f"shard-{k:05d}" for k in range(sharding.SHARDS)]
+    placed = sharding.place(spark, table(spark, sf_dir, "documents"), ["doc_id"], shards)
+    return placed.select("doc_id", "slot", "shard")
+
+
+def op4_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op5_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(spark, table(spark, sf_dir, "documents"))
+
+
+def op7_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quoted = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", quoted), (-1, 1, "assistant", quoted)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = chat.format_conversations(turns)
+    read = chat.read_turns(F.col("formatted"))
+    said = F.array_join(F.transform(read, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = chat.learned_text(F.col("formatted"), F.col("loss_spans"))
+    return out.select(
+        "conv_id", F.size(read).cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark, table(spark, sf_dir, "documents"), percent=85)
+    return near_dup.near_duplicates(spark, table(spark, sf_dir, "documents"), percent=85)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = langid.predict(held, model)
+    return named.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Scratch(spark, 'token-files').root}/tokens"
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_token_files(spark, path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_compression_bands": op2_compression_bands,
+    "op3_permutation_sharding": op3_permutation_sharding,
+    "op4_bounded_packing": op4_bounded_packing,
+    "op5_simhash_decontamination": op5_simhash_decontamination,
+    "op6_license_diagonals": op6_license_diagonals,
+    "op7_chat_parts": op7_chat_parts,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_token_files": op10_token_files,
 }
 
 SQL: dict[str, str] = {}
