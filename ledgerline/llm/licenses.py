@@ -7,8 +7,9 @@ copy puts all its votes on one diagonal, an insertion or deletion moves the
 rest to a neighbouring one. Votes are aggregated by diagonal, diagonals of a
 notice that lie within ``SLACK`` are merged, and a span is verified on the
 words themselves: the share of the template's words that stand where the
-diagonals say, at least ``COVER`` for notices and all of them for the three
-base phrases, whose diagonals are never merged.
+diagonals say, at least ``COVER`` for notices of ``LONG`` words or more, and
+all of them for shorter notices (which differ from each other in a word) and
+for the three base phrases, whose diagonals are never merged.
 
 Words are runs of letters, digits and non-ASCII characters of the lower-cased
 text. A null or empty text has no words, no places, empty labels and score 0.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SLACK, COVER = 3, 0.8
+SLACK, COVER, LONG = 3, 0.8, 12
 # The base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 # Notices as their publishers word them.
@@ -88,7 +89,8 @@ def license_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     cover = F.col("stand") / F.col("length")
     fits = F.col("last") - F.col("first") < F.col("length") + 2 * SLACK
-    return merged.withColumn("cover", cover).where(F.when(F.col("exact"), F.col("stand") == F.col("length")).otherwise((cover >= COVER) & fits)).select(
+    least = F.when(F.col("exact") | (F.col("length") < LONG), F.lit(1.0)).otherwise(F.lit(COVER))
+    return merged.withColumn("cover", cover).where((cover >= least) & fits).select(
         "doc_id", "text_hash", "label", "exact", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "cover"
     )
 

@@ -40,8 +40,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 VALUE_CHARS = 6
 MIN_CHARS, MIN_BITS, Q = 20, 80, 0.05
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % MIN_CHARS
-KINDS = ("assign", "access", "hex", "random")
+CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}+={0,2}" % MIN_CHARS
+PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
+KINDS = tuple(PATTERNS)
 LENGTH_BANDS = (28, 40, 64, 128)
 _DIGITS, _LOW, _UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = (
@@ -61,20 +62,25 @@ def _tail(z: Column) -> Column:
     return F.greatest(F.when(z >= 0, tail).otherwise(1 - tail), F.lit(1e-40))
 
 
-def matches(df: DataFrame, kind: str, pattern: str) -> DataFrame:
-    """Rows ``doc_id, text_hash, kind, start, stop, found`` of all matches.
+def matches(df: DataFrame) -> DataFrame:
+    """Rows ``doc_id, text_hash, kind, start, stop, found`` of all matches of
+    all patterns, from one reading of the texts.
 
-    A text is split at the pattern; a match starts after all pieces and
-    matches before it. Sums run over one document's matches only.
+    A text is split at a pattern; a match starts after all pieces and matches
+    before it. Sums run over one document's matches only.
     """
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    some = df.select("doc_id", "text_hash", "text", found.alias("found")).where(F.size("found") > 0)
-    gaps = F.split("text", pattern)
-    rows = some.select("doc_id", "text_hash", F.posexplode(F.transform("found", lambda m, k: F.struct(m.alias("found"), F.length(F.get(gaps, k)).alias("gap")))).alias("nth", "m"))
-    rows = rows.groupBy("doc_id", "text_hash", "nth").agg(F.first("m").alias("m"))
-    upto = Window.partitionBy("doc_id", "text_hash").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    stop = F.sum(F.col("m.gap") + F.length("m.found")).over(upto)
-    rows = rows.select("doc_id", "text_hash", F.lit(kind).alias("kind"), stop.alias("stop"), F.col("m.found").alias("found"))
+    found = {kind: F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) for kind, pattern in PATTERNS.items()}
+    some = df.where(F.greatest(*[F.size(x) for x in found.values()]) > 0)
+    each = [
+        F.when(F.size(found[kind]) > 0, F.struct(F.lit(kind).alias("kind"), F.arrays_zip(found[kind].alias("found"), F.split("text", pattern).alias("gap")).alias("cuts")))
+        for kind, pattern in PATTERNS.items()
+    ]
+    rows = some.select("doc_id", "text_hash", F.explode(F.array_compact(F.array(*each))).alias("own"))
+    rows = rows.select("doc_id", "text_hash", F.col("own.kind").alias("kind"), F.posexplode("own.cuts").alias("nth", "cut")).where("cut.found is not null")
+    rows = rows.groupBy("doc_id", "text_hash", "kind", "nth").agg(F.first("cut.found").alias("found"), F.first(F.length("cut.gap")).alias("gap"))
+    upto = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.col("gap") + F.length("found")).over(upto)
+    rows = rows.select("doc_id", "text_hash", "kind", stop.alias("stop"), "found")
     return rows.select("doc_id", "text_hash", "kind", (F.col("stop") - F.length("found")).alias("start"), "stop", "found")
 
 
@@ -141,10 +147,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 def find_secrets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """All spans: ``doc_id, text_hash, kind, start, stop, found``."""
     scratch = Scratch(spark, "secrets")
-    df = keyed(docs)
-    assign = matches(df, "assign", ASSIGN).where(F.length(F.regexp_extract("found", ASSIGN, 2)) >= VALUE_CHARS)
-    base = assign.unionByName(matches(df, "access", ACCESS)).unionByName(matches(df, "hex", HEX))
-    tested = battery(matches(df, "random", CANDIDATE)).where("alphabet is not null")
+    found = scratch.keep(matches(keyed(docs)), "found")
+    value = F.length(F.regexp_extract("found", ASSIGN, 2))
+    base = found.where(F.col("kind") != "random").where((F.col("kind") != "assign") | (value >= VALUE_CHARS))
+    tested = battery(found.where(F.col("kind") == "random")).where("alphabet is not null")
     tested = scratch.keep(tested.select("doc_id", "text_hash", "kind", "start", "stop", "found", "n", "bits", "p"), "tested")
     return base.unionByName(control(tested).select("doc_id", "text_hash", "kind", "start", "stop", "found"))
 
