@@ -47,5 +47,6 @@ RELOAD_GAP_SECONDS = 1800
 TOPIC = "topic"
 PARTITION = "partition"
 OFFSET = "offset"
+TIMESTAMP = "timestamp"
 KEY = "key"
 VALUE = "value"

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.names import name_in, resolve
+from ledgerline.constants import IH_COLUMNS
+from ledgerline.functions.names import name_in, norm, resolve
 from ledgerline.functions.temporal import days_to_date, millis_to_local_datetime, nanos_to_time_text
 from ledgerline.sources.decode import entry_lookup, lowered_entries
 
@@ -100,14 +101,15 @@ def align_to_target(
 
     ``target`` is a schema, a DataFrame, or a list of names / ``(name, type)``.
     Untyped targets keep the source type. With ``map_col`` the record's fields
-    are looked up in that text map (schemaless records) unless a top-level
-    column of that name exists (provenance columns).
+    are looked up in that text map (schemaless records); of the top-level
+    columns only the provenance columns (``ih_*``) win over the map.
     """
     fields = _as_fields(target)
     if not fields:
         raise ValueError("target has no columns")
     df, physical = _positional(df)
-    available = [c for c in physical if c != map_col]
+    own = {norm(c) for c in IH_COLUMNS}
+    available = [c for c in physical if c != map_col and (map_col is None or norm(c) in own)]
     entries = None
     if map_col is not None:
         # lower-case the map's keys once per row, not once per target column

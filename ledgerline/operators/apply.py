@@ -5,10 +5,12 @@ Upsert (ops c, r, u) replaces the whole row of its key or inserts it; delete
 pass: drop every key the block names (any known op), then add the block's
 upsert rows. Unknown ops are landed but change nothing. Null keys never match.
 
-Plan shape: ``final LEFT ANTI JOIN block_keys`` then ``UNION ALL`` upserts.
-The block side is broadcast only when its row count is known and below a
-bound; otherwise AQE picks the join from measured shuffle sizes. The anti join
-has the table on the streamed side, so no key of the table is ever gathered.
+Plan shape: ``final LEFT ANTI JOIN block_keys`` then ``UNION ALL`` upserts. The
+block is read twice, so pass a stored one (``store_block``, or a landed block)
+rather than a pending conflation: its two reads are then scans of its own rows,
+and its size on disk is known to the planner, which broadcasts the keys only
+when they are measured to be small. The anti join has the table on the streamed
+side, so no key of the table is ever gathered.
 """
 
 from __future__ import annotations
@@ -17,42 +19,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.constants import DELETE_OPS, IH_COLUMNS, IH_OP, KNOWN_OPS, UPSERT_OPS
 from ledgerline.functions.names import norm, resolve
+from ledgerline.session import work_dir
 
-# Largest block side (estimated bytes) hinted for broadcast; above it, or when
-# the block's row count is unknown, AQE decides from measured shuffle sizes.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Hash-relation overhead per row on top of the key bytes.
-_ROW_OVERHEAD = 32
 
-
-def _width(dtype: T.DataType) -> int:
-    """Bytes per value: exact for fixed-width types, a generous guess otherwise."""
-    fixed = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4, T.DoubleType: 8,
-             T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
-    for cls, size in fixed.items():
-        if isinstance(dtype, cls):
-            return size
-    if isinstance(dtype, T.DecimalType):
-        return 16
-    if isinstance(dtype, T.StructType):
-        return sum(_width(f.dataType) for f in dtype.fields)
-    return 64  # strings, binary, nested collections
-
-
-def estimated_bytes(df: DataFrame, rows: int) -> int:
-    """Rows x (value widths + hash-relation row overhead)."""
-    return rows * (sum(_width(f.dataType) for f in df.schema.fields) + _ROW_OVERHEAD)
-
-
-def bounded_broadcast(df: DataFrame, known_rows: int | None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only when the row count is known and the side is small."""
-    if known_rows is not None and estimated_bytes(df, known_rows) <= max_bytes:
-        return F.broadcast(df)
-    return df
+def store_block(block: DataFrame) -> DataFrame:
+    """The block, evaluated once and written under the shared work folder."""
+    spark = block.sparkSession
+    path = f"{work_dir(spark, 'block')}/rows"
+    block.write.parquet(path)
+    return spark.read.schema(block.schema).parquet(path)
 
 
 def _final_cols(final: DataFrame, block: DataFrame, final_cols: Sequence[str] | None) -> list[str]:
@@ -77,56 +55,34 @@ def _block_keys(block: DataFrame, keys: Sequence[str], ops: Sequence[str], op_co
     return block.filter(F.col(op_col).isin(*ops)).select(*[F.col(f"`{s}`").alias(k) for s, k in zip(srcs, keys)])
 
 
-def _anti(final: DataFrame, keys_df: DataFrame, keys: Sequence[str], block_rows: int | None) -> DataFrame:
-    return final.join(bounded_broadcast(keys_df, block_rows), on=list(keys), how="left_anti")
-
-
-def merge_upsert(
-    final: DataFrame,
-    block: DataFrame,
-    keys: Sequence[str],
-    final_cols: Sequence[str] | None = None,
-    op_col: str = IH_OP,
-    block_rows: int | None = None,
-) -> DataFrame:
+def merge_upsert(final: DataFrame, block: DataFrame, keys: Sequence[str], final_cols: Sequence[str] | None = None, op_col: str = IH_OP) -> DataFrame:
     """Upsert the block's c/r/u rows: replace matched keys, insert the rest."""
-    cols = _final_cols(final, block, final_cols)
-    upserts = _block_rows(final, block, cols, UPSERT_OPS, op_col)
-    kept = _anti(final.select(*cols), _block_keys(block, keys, UPSERT_OPS, op_col), keys, block_rows)
-    return kept.unionByName(upserts)
+    return _apply(final, block, keys, final_cols, op_col, UPSERT_OPS)
 
 
-def delete_by_key(
-    final: DataFrame,
-    block: DataFrame,
-    keys: Sequence[str],
-    op_col: str = IH_OP,
-    block_rows: int | None = None,
-) -> DataFrame:
+def delete_by_key(final: DataFrame, block: DataFrame, keys: Sequence[str], op_col: str = IH_OP) -> DataFrame:
     """Remove the keys whose last op in the block is a delete."""
-    return _anti(final, _block_keys(block, keys, DELETE_OPS, op_col), keys, block_rows)
+    return final.join(_block_keys(block, keys, DELETE_OPS, op_col), on=list(keys), how="left_anti")
 
 
-def apply_block(
-    final: DataFrame,
-    block: DataFrame,
-    keys: Sequence[str],
-    final_cols: Sequence[str] | None = None,
-    op_col: str = IH_OP,
-    block_rows: int | None = None,
-) -> DataFrame:
+def apply_block(final: DataFrame, block: DataFrame, keys: Sequence[str], final_cols: Sequence[str] | None = None, op_col: str = IH_OP) -> DataFrame:
     """New current state = rows of keys the block does not touch + its upserts."""
+    return _apply(final, block, keys, final_cols, op_col, KNOWN_OPS)
+
+
+def _apply(final: DataFrame, block: DataFrame, keys: Sequence[str], final_cols: Sequence[str] | None, op_col: str, ops: Sequence[str]) -> DataFrame:
     cols = _final_cols(final, block, final_cols)
     upserts = _block_rows(final, block, cols, UPSERT_OPS, op_col)
-    kept = _anti(final.select(*cols), _block_keys(block, keys, KNOWN_OPS, op_col), keys, block_rows)
+    kept = final.select(*cols).join(_block_keys(block, keys, ops, op_col), on=list(keys), how="left_anti")
     return kept.unionByName(upserts)
 
 
 def merge_into_table(block: DataFrame, table: str, keys: Sequence[str], final_cols: Sequence[str], op_col: str = IH_OP) -> None:
     """Row-level MERGE into a catalog table that supports it (DSv2 formats).
 
-    Deletes, upserts and inserts in one statement. Plain Parquet tables reject
-    MERGE; use ``sinks.tables.SnapshotTable`` for those.
+    Deletes, upserts and inserts in one statement: the intended path on a
+    cluster. No such format is installed where this library is tested, so it
+    has only been seen to be well-formed. Plain Parquet tables reject MERGE; use ``sinks.tables.SnapshotTable`` for those.
     """
     target = table.split(".")[-1]
     cond = " AND ".join(f"{target}.`{k}` = s.`{k}`" for k in keys)

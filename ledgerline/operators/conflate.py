@@ -1,7 +1,9 @@
 """Conflation: the last change per primary key within a block.
 
 "Last" is the greatest ``order_by`` tuple (default the source offset, a total
-order per key when a key stays in one partition). Keys are grouped as real
+order per key when a key stays in one partition). Rows tied on it are ordered
+by partition and offset if the rows have them and by a hash of the row, so the
+winner is the same however often the plan is evaluated. Keys are grouped as real
 composite keys, never joined into one string.
 
 Plan shape: a partial top-1 per key runs before the shuffle, so each map task
@@ -16,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.constants import IH_OFFSET, IH_OP, OP_CREATE, OP_DELETE, OP_READ, OP_UPDATE
+from ledgerline.constants import IH_OFFSET, IH_OP, IH_PARTITION, OP_CREATE, OP_DELETE, OP_READ, OP_UPDATE
 
 
 def _cols(names) -> list[Column]:
@@ -32,6 +34,16 @@ def _key_names(keys: Sequence) -> list[str]:
     return names
 
 
+def _ties(df: DataFrame, order: Sequence, desc: bool = True) -> list[Column]:
+    """What orders rows that ``order`` leaves tied."""
+    position = [c for c in (IH_PARTITION, IH_OFFSET) if c in df.columns]
+    more = [F.col(f"`{c}`") for c in position if c not in order]
+    if len(position) < 2:
+        hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        more.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
+    return [c.desc() for c in more] if desc else more
+
+
 def _group_limit_enabled(df: DataFrame) -> bool:
     """Does the session plan a partial top-k (``WindowGroupLimit``) for windows?"""
     try:
@@ -68,11 +80,11 @@ def conflate_latest(
         # reducer; the aggregate is always partial before the shuffle
         method = "aggregate"
     if method == "window":
-        w = Window.partitionBy(*_cols(keys)).orderBy(*[c.desc() for c in _cols(order)])
+        w = Window.partitionBy(*_cols(keys)).orderBy(*[c.desc() for c in _cols(order)], *_ties(df, order))
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
     if method != "aggregate":
         raise ValueError(f"unknown conflation method {method!r}")
-    latest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), F.struct(*_cols(order)))
+    latest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), F.struct(*_cols(order), *_ties(df, order, desc=False)))
     return df.groupBy(*_cols(keys)).agg(latest.alias("__row")).select(*_cols(keys), *[F.col("__row")[c].alias(c) for c in payload])
 
 
@@ -133,3 +145,11 @@ def observed_block(df: DataFrame, name: str, op_col: str = IH_OP):
         F.coalesce(F.bool_or(op == OP_DELETE), F.lit(False)).alias("has_deletes"),
     )
     return observed, obs
+
+
+def observed_rows(df: DataFrame, name: str):
+    """Attach a row count (``rows``) to ``df``; read it after its action."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

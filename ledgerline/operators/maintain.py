@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.constants import IH_DATETIME, IH_OFFSET, LANDING_RETENTION, RELOAD_GAP_SECONDS
-from ledgerline.functions.temporal import ntz_literal
+from ledgerline.functions.temporal import ntz_literal, whole_minutes_between
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -92,11 +92,10 @@ def reload_on_gap(
     Scales without a global sort: arrivals are first reduced to per-minute
     first/last times (partial aggregate; a gap of 31+ minutes cannot hide
     inside one minute), the previous busy minute is found with a window
-    partitioned by day, and the first minute of each day looks back at the
-    previous calendar day through an equi-join on ``day - 1`` (an empty
-    previous day means a quiet spell of more than a day). No step orders the
-    whole input or funnels it into one task. The reload point (one value) is
-    read back and applied as a literal filter, which reaches the scan.
+    partitioned by day, and the first minute of a day looks back at the last
+    busy day before it, from a table of one row per busy day (a few tens of
+    thousands for a century, whatever the input). The reload point (one value)
+    is read back and applied as a literal filter, which reaches the scan.
     """
     limit_minutes = gap_seconds // 60
     ts = F.col(ts_col).cast("timestamp_ntz")
@@ -110,16 +109,13 @@ def reload_on_gap(
     in_day = Window.partitionBy("__day").orderBy("__minute")
     with_prev = per_minute.withColumn("__prev_last", F.lag("__last").over(in_day))
     per_day = per_minute.groupBy("__day").agg(F.max("__last").alias("__day_last"))
-    # the day before, by an equi-join on day - 1 (no global ordering needed)
-    prev_day = per_day.select(F.date_add("__day", 1).alias("__day"), F.col("__day_last").alias("__prev_day_last"))
-    gaps = with_prev.join(prev_day, on="__day", how="left").withColumn(
+    days = Window.orderBy("__day")
+    last_busy_day = per_day.select("__day", F.lag("__day_last").over(days).alias("__prev_day_last"))
+    gaps = with_prev.join(last_busy_day, on="__day", how="left").withColumn(
         "__before", F.coalesce("__prev_last", "__prev_day_last")
     )
-    minutes = F.timestamp_diff("MINUTE", F.col("__before"), F.col("__first"))
-    # No arrival on the previous calendar day: the quiet spell exceeds a day.
-    # The very first arrival also has none; as a reload point it keeps every
-    # row, so it needs no special case.
-    start = gaps.where((minutes > F.lit(limit_minutes)) | F.col("__before").isNull()).agg(F.max("__first")).first()[0]
+    minutes = whole_minutes_between("__before", "__first")
+    start = gaps.where(minutes > F.lit(limit_minutes)).agg(F.max("__first")).first()[0]
     if start is None:
         return df
     # one value read back; as a literal the filter reaches the Parquet scan

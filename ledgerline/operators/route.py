@@ -28,12 +28,15 @@ from ledgerline.constants import (
     OP_DELETE,
     PARTITION,
     PLAIN_OP,
+    TIMESTAMP,
     TOPIC,
 )
 from ledgerline.functions.names import norm
 
 IH_KEY = "ih_key"
-_RECORD_TO_IH = {TOPIC: IH_TOPIC, PARTITION: IH_PARTITION, OFFSET: IH_OFFSET, OP: IH_OP, "key": IH_KEY}
+# The record's own time, if the source has one: it orders a key's changes across partitions.
+RECORD_TIME = "ih_record_time"
+_RECORD_TO_IH = {TOPIC: IH_TOPIC, PARTITION: IH_PARTITION, OFFSET: IH_OFFSET, OP: IH_OP, "key": IH_KEY, TIMESTAMP: RECORD_TIME}
 
 
 def _record_columns(df: DataFrame, keep: Sequence[str]) -> dict:

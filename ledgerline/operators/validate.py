@@ -103,3 +103,9 @@ def schemaless_reasons(df: DataFrame, cdc: bool = True) -> Column:
 def fail_on_invalid_schemaless(df: DataFrame, cdc: bool = True) -> DataFrame:
     """Pass valid schemaless rows through; fail the job on the first invalid one."""
     return _guarded(df, schemaless_reasons(df, cdc))
+
+
+def fail_on_invalid_plain(df: DataFrame) -> DataFrame:
+    """Pass plain records through; fail the job on one without topic or partition."""
+    checks = [(F.col(c).isNull(), code) for c, code in ((TOPIC, TOPIC_NULL), (PARTITION, PARTITION_NULL)) if c in df.columns]
+    return _guarded(df, F.filter(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]), lambda x: x.isNotNull()))

@@ -5,8 +5,10 @@ stays in one partition (``user_id % 6``); the event id is the offset, unique
 and in time order; the event type decides the op (signup creates, view is a
 snapshot read, error deletes, the rest update).
 
-``seed``: the current-state table before the changes: every customer outside
-the AUTOMOBILE segment, so that the changes both hit and miss it.
+``shifted`` changes move the key of every fifth user past all customers, so
+that a block applied to the seed also inserts, and deletes what is not there.
+
+``seed``: the current-state table before the changes, every customer.
 """
 
 from __future__ import annotations
@@ -14,18 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.changes import ensure_parallelism
-
 TOPIC = "cdc.test.events"
-SEED_EXCLUDED_SEGMENT = "AUTOMOBILE"
+SHIFT = 1_000_000_000_000
 FINAL_COLUMNS = ("id", "type", "value", "props")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table. ``spread=True`` for queries with heavy per-row work
-    before their first shuffle: see ``ensure_parallelism``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op_of(event_type) -> F.Column:
@@ -38,15 +35,17 @@ def op_of(event_type) -> F.Column:
     )
 
 
-def changes(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    ev = table(spark, sf_dir, "events", spread)
+def changes(spark: SparkSession, sf_dir: str, shifted: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    user = F.col("user_id")
+    key = F.when(user % 5 == 0, user + SHIFT).otherwise(user) if shifted else user
     return ev.select(
         F.lit(TOPIC).alias("ih_topic"),
         (F.col("user_id") % 6).cast("int").alias("ih_partition"),
         F.col("event_id").alias("ih_offset"),
         op_of("event_type").alias("ih_op"),
         F.col("ts").alias("ih_datetime"),
-        F.col("user_id").alias("id"),
+        key.alias("id"),
         F.col("event_type").alias("type"),
         F.col("value"),
         F.col("props"),
@@ -55,7 +54,7 @@ def changes(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame
 
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
-    return cust.where(F.col("c_mktsegment") != SEED_EXCLUDED_SEGMENT).select(
+    return cust.select(
         F.col("c_custkey").alias("id"),
         F.col("c_mktsegment").alias("type"),
         F.col("c_acctbal").alias("value"),
@@ -69,12 +68,12 @@ def image(prefix_type: str | None = None) -> F.Column:
     return F.struct(F.col("id").alias("id"), t.alias("type"), F.col("value").alias("value"), F.col("props").alias("props"))
 
 
-def envelopes(spark: SparkSession, sf_dir: str, before_prefix: str | None = None, spread: bool = False) -> DataFrame:
+def envelopes(spark: SparkSession, sf_dir: str, before_prefix: str | None = None, shifted: bool = False) -> DataFrame:
     """Changes as records: position, key struct, and a before/after/op envelope.
 
     Creates and snapshot reads have no ``before``; deletes have no ``after``.
     """
-    ch = changes(spark, sf_dir, spread)
+    ch = changes(spark, sf_dir, shifted)
     op = F.col("ih_op")
     return ch.select(
         F.col("ih_topic").alias("topic"),

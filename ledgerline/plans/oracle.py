@@ -14,7 +14,10 @@ CHANGES = """changes AS (
 
 SEED = """seed AS (
   SELECT c_custkey AS id, c_mktsegment AS type, c_acctbal AS value, CAST(NULL AS VARCHAR) AS props
-  FROM customer WHERE c_mktsegment <> 'AUTOMOBILE')"""
+  FROM customer)"""
+
+# Every fifth user's key lies past all customers.
+SHIFTED = CHANGES.replace("user_id AS id", "CASE WHEN user_id % 5 = 0 THEN user_id + 1000000000000 ELSE user_id END AS id")
 
 BLOCK = """block AS (
   SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY id ORDER BY ih_offset DESC) = 1)"""
@@ -47,7 +50,7 @@ def _q(expr: str) -> str:
     return f"""coalesce('"' || replace(CAST({expr} AS VARCHAR), '"', '""') || '"', '')"""
 
 
-APPLY = _with(CHANGES, SEED, BLOCK) + """
+APPLY = _with(SHIFTED, SEED, BLOCK) + """
 SELECT id, type, value, props FROM seed s
 WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.id = s.id AND b.ih_op IN ('c', 'r', 'u', 'd'))
 UNION ALL
@@ -108,7 +111,17 @@ FROM events""",
 FROM changes""",
     "stage_and_load": _with(CHANGES)
     + """SELECT id, type, value, props, ih_topic, ih_offset, ih_partition, ih_op, ih_datetime,
-       'stage-000000000000' AS ih_blockid FROM changes""",
+       'stage-000000000000' AS ih_blockid,
+       CASE ih_offset % 4 WHEN 0 THEN NULL WHEN 1 THEN chr(1) WHEN 2 THEN 'a' || chr(13) || chr(10) || 'b' ELSE '' END AS note
+FROM changes""",
+    "stage_purge": _with(CHANGES)
+    + """SELECT id, type, value, props, ih_topic, ih_offset, ih_partition, ih_op, ih_datetime,
+       'purge-000000000000' AS ih_blockid, false AS stage_left FROM changes""",
+    "conflate_arrival": _with(CHANGES, """moved AS (
+  SELECT id, ih_op, type, value, CAST(ih_offset % 3 AS INTEGER) AS ih_partition,
+         (ih_offset // 3) % 500 AS ih_offset, ih_datetime AS ih_record_time FROM changes)""")
+    + """SELECT * FROM moved
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY ih_record_time DESC, ih_partition DESC, ih_offset DESC) = 1""",
     "conflate_latest": _with(CHANGES, BLOCK) + "SELECT * FROM block",
     "conflate_composite": """
 SELECT * FROM lineitem
@@ -123,18 +136,33 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   SELECT ih_op, 1 AS n_in, 0 AS n_out FROM changes
   UNION ALL SELECT ih_op, 0 AS n_in, 1 AS n_out FROM block) t
 GROUP BY ih_op""",
-    "merge_upsert": _with(CHANGES, SEED, BLOCK)
+    "merge_upsert": _with(SHIFTED, SEED, BLOCK)
     + """SELECT id, type, value, props FROM seed s
 WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.id = s.id AND b.ih_op IN ('c', 'r', 'u'))
 UNION ALL
 SELECT id, type, value, props FROM block WHERE ih_op IN ('c', 'r', 'u')""",
-    "delete_by_key": _with(CHANGES, SEED, BLOCK)
+    "delete_by_key": _with(SHIFTED, SEED, BLOCK)
     + """SELECT id, type, value, props FROM seed s
 WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.id = s.id AND b.ih_op = 'd')""",
     "apply_block": APPLY,
     "replay_blocks": APPLY,
     "stream_apply": APPLY,
+    "stream_restart": APPLY,
     "stream_flush": APPLY,
+    "flush_counters": _with(SHIFTED, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""", """numbered AS (
+  SELECT c.*, CAST(((ih_offset - lo) * 5) // (hi - lo + 1) AS INTEGER) AS block FROM changes c, bounds)""", """last AS (
+  SELECT * FROM numbered QUALIFY row_number() OVER (PARTITION BY block, id ORDER BY ih_offset DESC) = 1)""")
+    + """SELECT n.block, n.records, l.rows, l.has_inserts, l.has_updates, l.has_deletes
+FROM (SELECT block, count(*) AS records FROM numbered GROUP BY block) n
+JOIN (SELECT block, count(*) AS rows, bool_or(ih_op IN ('c', 'r')) AS has_inserts, bool_or(ih_op = 'u') AS has_updates,
+             bool_or(ih_op = 'd') AS has_deletes FROM last GROUP BY block) l ON n.block = l.block""",
+    "schemaless_timestamp": _with(CHANGES)
+    + """SELECT id, make_timestamp((epoch_us(ih_datetime) // 1000) * 1000) AS timestamp, type AS topic, ih_topic,
+       CAST(ih_offset AS VARCHAR) AS ih_offset FROM changes""",
+    "discover_columns": _with(CHANGES) + "SELECT id, value, type, ih_offset FROM changes",
+    "truncate_changelog": _with(CHANGES, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""")
+    + """SELECT ih_topic, ih_partition, CAST(ih_offset AS VARCHAR) AS ih_offset, ih_op, id, type, value, props
+FROM changes, bounds WHERE (ih_offset - lo) * 2 >= hi - lo + 1""",
     "land_block_copy_only": _with(CHANGES, BLOCK)
     + """SELECT id, type, value, props, ih_topic, ih_offset, ih_partition, ih_op,
        TIMESTAMP '2024-02-01 00:00:00' AS ih_datetime, 'land-000000000000' AS ih_blockid FROM block""",
@@ -154,4 +182,14 @@ WITH g AS (
   FROM events),
 s AS (SELECT *, sum(reload) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sess FROM g)
 SELECT event_id, ts, user_id, event_type, value, props FROM s WHERE sess = (SELECT max(sess) FROM s)""",
+    "reload_on_gap_days": """
+WITH e AS (SELECT event_id, user_id, ts - to_days(CAST((30 - day(ts)) * (30 - day(ts)) AS INTEGER)) AS moved_ts FROM events),
+g AS (
+  SELECT *, CASE WHEN (epoch_us(moved_ts) - epoch_us(lag(moved_ts) OVER (ORDER BY moved_ts, event_id))) // 60000000 > 20 * 1440
+                 THEN 1 ELSE 0 END AS reload
+  FROM e),
+s AS (SELECT *, sum(reload) OVER (ORDER BY moved_ts, event_id ROWS UNBOUNDED PRECEDING) AS sess FROM g)
+SELECT event_id, user_id, moved_ts FROM s WHERE sess = (SELECT max(sess) FROM s)""",
 }
+SQL["expire_table"] = SQL["expire_landing"]
+SQL["compact_table"] = SQL["compact_latest"]

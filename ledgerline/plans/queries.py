@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.temporal import micros_of_ntz, millis_to_local_datetime, days_to_date, nanos_to_time_text
 from ledgerline.operators.align import align_to_target
-from ledgerline.operators.apply import apply_block, delete_by_key, merge_upsert
+from ledgerline.operators.apply import apply_block, delete_by_key, merge_upsert, store_block
 from ledgerline.operators.conflate import block_flags as _block_flags
 from ledgerline.operators.conflate import block_metrics as _block_metrics
 from ledgerline.operators.conflate import conflate_latest as _conflate_latest
@@ -30,8 +30,10 @@ from ledgerline.plans import inputs
 from ledgerline.plans.inputs import changes, envelopes, seed, table
 from ledgerline.session import work_dir
 from ledgerline.functions.text import csv_line
-from ledgerline.sinks.staging import load_staged, stage_csv
+from ledgerline.sinks import fs
+from ledgerline.sinks.staging import copy_into_landing, load_staged, stage_csv
 from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sources.changes import read_changes
 from ledgerline.sources.decode import decode_envelope as _decode_envelope
 from ledgerline.sources.decode import decode_schemaless as _decode_schemaless
 
@@ -52,7 +54,7 @@ LANDING_COLUMNS = (
     "ih_topic", "ih_offset", "ih_partition", "ih_op", "ih_datetime", "ih_blockid",
 )
 N_BLOCKS = 5
-FINAL_BUCKETS = 8
+GAP_DAYS = 20
 
 
 def _block(ch: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def _block(ch: DataFrame) -> DataFrame:
 
 
 def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = envelopes(spark, sf_dir, spread=True)
+    env = envelopes(spark, sf_dir)
     raw = env.select(
         "topic", "partition", "offset",
         F.to_json("key").alias("key"),
@@ -74,7 +76,7 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir, spread=True)
+    ch = changes(spark, sf_dir)
     img = F.struct(
         F.col("id").alias("ID"), F.col("type").alias("Type"), F.col("value").alias("VALUE"), F.col("props").alias("props")
     )
@@ -126,7 +128,7 @@ def add_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def align_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir, spread=True)
+    ch = changes(spark, sf_dir)
     src = ch.select(
         "*",
         F.floor(micros_of_ntz("ih_datetime") / 1000).cast("bigint").alias("event_time"),
@@ -140,7 +142,7 @@ def align_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir, spread=True)
+    ch = changes(spark, sf_dir)
     r = F.col("ih_offset") % 97
     op = F.col("ih_op")
     img = inputs.image()
@@ -186,7 +188,7 @@ def convert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landing_rows(spark: SparkSession, sf_dir: str, block: str) -> DataFrame:
-    ch = changes(spark, sf_dir, spread=True)
+    ch = changes(spark, sf_dir)
     return align_to_target(ch.withColumn("ih_blockid", F.lit(block)), list(LANDING_COLUMNS))
 
 
@@ -196,12 +198,27 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a text column of the values a CSV round trip likes to lose."""
     rows = _landing_rows(spark, sf_dir, "stage-000000000000")
+    kind = F.col("ih_offset") % 4
+    note = F.when(kind == 0, F.lit(None)).when(kind == 1, F.lit("\u0001")).when(kind == 2, F.lit("a\r\nb")).otherwise(F.lit(""))
+    rows = rows.withColumn("note", note)
     path = work_dir(spark, "stage") + "/block"
-    stage_csv(rows, path, list(LANDING_COLUMNS))
+    stage_csv(rows, path)
     return load_staged(spark, path, rows.schema)
 
 
+def stage_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged block loaded into the landing table; the stage is gone after."""
+    block = "purge-000000000000"
+    rows = _landing_rows(spark, sf_dir, block)
+    base = work_dir(spark, "purge")
+    stage_csv(rows, f"{base}/stage/{block}", list(LANDING_COLUMNS))
+    landing = LandingTable(spark, f"{base}/events_INGEST")
+    copy_into_landing(spark, f"{base}/stage/{block}", landing, rows.schema, block_id=block)
+    return landing.read(block).withColumn("stage_left", F.lit(fs.exists(spark, f"{base}/stage/{block}")))
+
+
 # --- conflation ----------------------------------------------------------------
 
 
@@ -223,39 +240,61 @@ def block_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _block_metrics(ch, _block(ch))
 
 
+def conflate_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a key that moves between partitions whose offsets restart:
+    the record's time, then partition and offset, say which came last."""
+    from ledgerline.plans.flush import ORDER
+
+    moved = changes(spark, sf_dir).select(
+        "id", "ih_op", "type", "value",
+        (F.col("ih_offset") % 3).cast("int").alias("ih_partition"),
+        F.floor(F.col("ih_offset") / 3 % 500).cast("long").alias("ih_offset"),
+        F.col("ih_datetime").alias(ORDER[0]),
+    )
+    return _conflate_latest(moved, ["id"], order_by=ORDER)
+
+
 # --- applying blocks -------------------------------------------------------------
 
 
+def _stored_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_block(_block(changes(spark, sf_dir, shifted=True)))
+
+
 def merge_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_upsert(seed(spark, sf_dir), _block(changes(spark, sf_dir)), ["id"])
+    return merge_upsert(seed(spark, sf_dir), _stored_block(spark, sf_dir), ["id"])
 
 
 def delete_by_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delete_by_key(seed(spark, sf_dir), _block(changes(spark, sf_dir)), ["id"])
+    return delete_by_key(seed(spark, sf_dir), _stored_block(spark, sf_dir), ["id"])
 
 
 def apply_block_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_block(seed(spark, sf_dir), _block(changes(spark, sf_dir)), ["id"])
+    return apply_block(seed(spark, sf_dir), _stored_block(spark, sf_dir), ["id"])
 
 
-def _block_number(df: DataFrame, col: str = "ih_offset"):
-    """Cut ``df`` into ``N_BLOCKS`` consecutive ranges of ``col`` (one small job for the bounds)."""
+def _blocks(df: DataFrame, col: str = "ih_offset", n: int = N_BLOCKS) -> list[DataFrame]:
+    """``df`` cut into ``n`` consecutive ranges of ``col`` (one small job for
+    the bounds; the ranges are literals, which reach the scan)."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()
-    width = (hi - lo + 1) * 1.0
-    return F.floor((F.col(col) - F.lit(lo)) * F.lit(N_BLOCKS) / F.lit(width)).cast("int")
+    if lo is None:
+        return [df] * n
+    cuts = [lo + -(-(hi - lo + 1) * b // n) for b in range(n + 1)]
+    return [df.where((F.col(col) >= a) & (F.col(col) < b)) for a, b in zip(cuts, cuts[1:])]
 
 
 def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ch = changes(spark, sf_dir)
-    blk = _block_number(ch)
-    snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"], buckets=FINAL_BUCKETS)
+    snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
-    for b in range(N_BLOCKS):
-        part = ch.where(blk == b)
-        snap.apply(_block(part), b + 1, keys_from=part)
+    for part in _blocks(changes(spark, sf_dir, shifted=True)):
+        snap.apply(_block(part))
     return snap.read()
 
 
+def _file_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return read_changes(spark, "parquet", path, schema, streaming=True, max_per_trigger=1_000, options={"recursiveFileLookup": "true"})
+
+
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks arrive as new files over time; each availableNow run of the same
     checkpointed query picks up exactly the block that arrived since the last
@@ -263,20 +302,43 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows of a key sit in one file (hash-partitioned by key)."""
     from ledgerline.streaming.runner import apply_stream
 
-    ch = changes(spark, sf_dir)
-    blk = _block_number(ch)
+    ch = changes(spark, sf_dir, shifted=True)
     base = work_dir(spark, "stream")
     source = f"{base}/source"
-    snap = SnapshotTable(spark, f"{base}/final", ["id"], buckets=FINAL_BUCKETS)
+    snap = SnapshotTable(spark, f"{base}/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
-    for b in range(N_BLOCKS):
-        ch.where(blk == b).repartition("id").write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
-        stream = spark.readStream.schema(ch.schema).option("recursiveFileLookup", "true").parquet(source)
-        apply_stream(stream, snap, f"{base}/checkpoint", query_name="stream_apply", keys=["id"])
+    for b, part in enumerate(_blocks(ch)):
+        part.repartition("id").write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
+        apply_stream(_file_stream(spark, source, ch.schema), snap, f"{base}/checkpoint", query_name="stream_apply", keys=["id"])
     return snap.read()
 
 
-def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three blocks by one checkpoint, the last of them first with rows that a
+    retry no longer has, then as it is, then once more; a fold of the deltas;
+    two more blocks by a new checkpoint, whose batch ids start over."""
+    from ledgerline.streaming.runner import apply_stream, query_id
+
+    ch = changes(spark, sf_dir, shifted=True)
+    base = work_dir(spark, "restart")
+    snap = SnapshotTable(spark, f"{base}/final", ["id"])
+    snap.initialize(seed(spark, sf_dir))
+    parts = _blocks(ch)
+    for b, part in enumerate(parts):
+        source, checkpoint = (f"{base}/a", f"{base}/checkpoint-a") if b < 3 else (f"{base}/b", f"{base}/checkpoint-b")
+        extra = F.when(F.col("id") % 7 == 0, F.lit("d")).otherwise(F.lit("u"))
+        first = part.unionByName(part.select(*[(F.col("ih_offset") + 1 if c == "ih_offset" else extra if c == "ih_op" else F.col(c)).alias(c) for c in part.columns])) if b == 2 else part
+        first.write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
+        apply_stream(_file_stream(spark, source, ch.schema), snap, checkpoint, query_name="stream_restart", keys=["id"])
+        if b == 2:
+            for _ in range(2):
+                snap.apply(_block(part), query_id(spark, checkpoint), 2)
+            snap.apply(_block(parts[0]), query_id(spark, checkpoint), 0)
+            snap.compact()
+    return snap.read()
+
+
+def _flush_all(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dict]]:
     """The whole typed-CDC flush, streamed: JSON envelope records arrive in
     blocks; each micro-batch is decoded, validated, routed, conflated,
     aligned, staged as gzip CSV, loaded into the landing table (stage purged)
@@ -284,13 +346,12 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.plans.flush import SinkOptions
     from ledgerline.streaming.runner import run_stream
 
-    env = envelopes(spark, sf_dir)
+    env = envelopes(spark, sf_dir, shifted=True)
     raw = env.select(
         "topic", "partition", "offset",
         F.to_json("key").alias("key"),
         F.to_json(F.struct("before", "after", "op")).alias("value"),
     )
-    blk = _block_number(raw, "offset")
     base = work_dir(spark, "flush")
     landing_schema = T.StructType(
         list(FINAL_SCHEMA.fields)
@@ -303,17 +364,28 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     opts = SinkOptions(
         landing_schema=landing_schema, landing_path=f"{base}/events_INGEST", final_path=f"{base}/events",
         stage_path=f"{base}/stage", row_schema=ROW_SCHEMA, key_schema=KEY_SCHEMA,
-        query_name="stream_flush", final_buckets=FINAL_BUCKETS,
+        query_name="stream_flush",
     )
-    SnapshotTable(spark, opts.final_path, ["id"], buckets=FINAL_BUCKETS).initialize(seed(spark, sf_dir))
+    snap = SnapshotTable(spark, opts.final_path, ["id"])
+    snap.initialize(seed(spark, sf_dir))
     source = f"{base}/source"
-    for b in range(N_BLOCKS):
-        raw.where(blk == b).repartition("key").write.mode("overwrite").parquet(
-            f"{source}/block-{b:05d}"
-        )
-        stream = spark.readStream.schema(raw.schema).option("recursiveFileLookup", "true").parquet(source)
-        run_stream(spark, stream, opts, f"{base}/checkpoint")
-    return SnapshotTable(spark, opts.final_path, ["id"]).read()
+    metrics: list[dict] = []
+    for b, part in enumerate(_blocks(raw, "offset")):
+        part.repartition("key").write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
+        metrics += run_stream(spark, _file_stream(spark, source, raw.schema), opts, f"{base}/checkpoint").block_metrics
+    return snap, metrics
+
+
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after every block has been flushed."""
+    return _flush_all(spark, sf_dir)[0].read()
+
+
+def flush_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of those flushes counted: a row per block."""
+    names = ("records", "rows", "has_inserts", "has_updates", "has_deletes")
+    rows = [(b, *[m[n] for n in names]) for b, m in enumerate(_flush_all(spark, sf_dir)[1])]
+    return spark.createDataFrame(rows, "block int, records bigint, rows bigint, has_inserts boolean, has_updates boolean, has_deletes boolean")
 
 
 def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,7 +405,6 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ih_offset").alias("offset"),
         F.to_json(F.struct(op.alias("op"), F.when(op.isin("u", "d"), img).alias("before"), F.when(op != "d", img).alias("after"))).alias("value"),
     )
-    blk = _block_number(raw, "offset")
     base = work_dir(spark, "changelog_stream")
     schema = T.StructType(
         list(FINAL_SCHEMA.fields)
@@ -341,13 +412,43 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
            T.StructField("ih_offset", T.StringType()), T.StructField("ih_op", T.StringType())]
     )
     opts = SinkOptions(landing_schema=schema, landing_path=f"{base}/events_log", mode="cdc_schemaless", query_name="stream_changelog")
-    for b in range(N_BLOCKS):
-        raw.where(blk == b).write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
-        stream = spark.readStream.schema(raw.schema).option("recursiveFileLookup", "true").parquet(f"{base}/source")
-        run_changelog_stream(spark, stream, opts, f"{base}/checkpoint")
+    for b, part in enumerate(_blocks(raw, "offset")):
+        part.write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
+        run_changelog_stream(spark, _file_stream(spark, f"{base}/source", raw.schema), opts, f"{base}/checkpoint")
     return ChangelogTable(spark, opts.landing_path).read().drop("ih_blockid")
 
 
+def schemaless_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemaless records whose payload has a field named like a column of the
+    record itself: the payload's value is the row's."""
+    from ledgerline.plans.flush import SinkOptions, prepare_changelog
+
+    ch = changes(spark, sf_dir)
+    millis = F.floor(micros_of_ntz("ih_datetime") / 1000).cast("bigint")
+    raw = ch.select(
+        F.col("ih_topic").alias("topic"), F.col("ih_partition").alias("partition"), F.col("ih_offset").alias("offset"),
+        F.lit("1999-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"),
+        F.to_json(F.struct(F.col("id").alias("ID"), millis.alias("timestamp"), F.col("type").alias("topic"))).alias("value"),
+    )
+    schema = T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("timestamp", T.TimestampNTZType()), T.StructField("topic", T.StringType()),
+         T.StructField("ih_topic", T.StringType()), T.StructField("ih_offset", T.StringType())]
+    )
+    opts = SinkOptions(landing_schema=schema, landing_path="", mode="schemaless", timestamps=["timestamp"])
+    return prepare_changelog(raw, opts)
+
+
+def discover_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes aligned to the columns that the catalog lists for a target
+    table, less the ignored ones."""
+    from ledgerline.plans.flush import SinkOptions
+
+    ch = changes(spark, sf_dir)
+    ch.select("id", "value", "props", "type", "ih_offset").limit(0).createOrReplaceTempView("ll_discovered_INGEST")
+    opts = SinkOptions.discover(spark, "ll_discovered_INGEST", landing_path="", ignore_columns=["props", "TYPE"], distinct=True)
+    return align_to_target(ch, opts.landing_schema)
+
+
 # --- sinks -----------------------------------------------------------------------
 
 
@@ -370,9 +471,56 @@ def append_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read().drop("ih_blockid")
 
 
+def truncate_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks appended, the table emptied in between: the last one is left."""
+    log = ChangelogTable(spark, work_dir(spark, "truncate") + "/events")
+    for b, part in enumerate(_blocks(changes(spark, sf_dir), n=2)):
+        if b:
+            log.truncate()
+        log.append(_add_provenance(part.drop("ih_datetime"), variant="changelog"), f"truncate-{b:012d}")
+    return log.read().drop("ih_blockid")
+
+
 # --- maintenance -----------------------------------------------------------------
 
 
+def expire_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retention of a stored table, run by the upkeep between batches."""
+    from ledgerline.streaming.runner import Maintenance
+
+    landing = LandingTable(spark, work_dir(spark, "expire") + "/events_INGEST")
+    for b, part in enumerate(_blocks(changes(spark, sf_dir))):
+        landing.land(part, f"expire-{b:012d}")
+    Maintenance(landing, "PT4H").maybe_run(_dt.datetime.fromisoformat(EXPIRE_NOW))
+    return landing.read().drop("ih_blockid")
+
+
+def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compaction of a stored changelog, run by the upkeep between batches."""
+    from ledgerline.streaming.runner import Maintenance
+
+    log = ChangelogTable(spark, work_dir(spark, "compact") + "/events")
+    for b, part in enumerate(_blocks(changes(spark, sf_dir))):
+        log.append(part, f"compact-{b:012d}")
+    Maintenance(None, "PT4H", changelog=log, keys=["id"]).maybe_run(_dt.datetime.fromisoformat(EXPIRE_NOW))
+    return log.read().drop("ih_blockid")
+
+
+def reload_on_gap_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gap of more than a day: arrivals spread over months, so that quiet
+    days lie between busy ones."""
+    ev = table(spark, sf_dir, "events")
+    ev = ev.select("event_id", "user_id", _spread_out("ts").alias("moved_ts"))
+    return _reload_on_gap(ev, "moved_ts", gap_seconds=GAP_DAYS * 86_400)
+
+
+def _spread_out(ts: str):
+    """Day ``d`` of a month moved back by ``(30 - d)^2`` days: the quiet spells
+    between busy days shrink from weeks to a day."""
+    left = F.lit(30) - F.dayofmonth(ts)
+    return F.timestamp_add("DAY", (-left * left).cast("int"), F.col(ts))
+
+
 def expire_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expire_landing(changes(spark, sf_dir), _dt.datetime.fromisoformat(EXPIRE_NOW))
 
@@ -398,8 +546,10 @@ QUERIES = {
     "convert_time": convert_time,
     "csv_lines": csv_lines,
     "stage_and_load": stage_and_load,
+    "stage_purge": stage_purge,
     "conflate_latest": conflate_latest,
     "conflate_composite": conflate_composite,
+    "conflate_arrival": conflate_arrival,
     "block_flags": block_flags,
     "block_metrics": block_metrics,
     "merge_upsert": merge_upsert_q,
@@ -407,11 +557,19 @@ QUERIES = {
     "apply_block": apply_block_q,
     "replay_blocks": replay_blocks,
     "stream_apply": stream_apply,
+    "stream_restart": stream_restart,
     "stream_flush": stream_flush,
+    "flush_counters": flush_counters,
     "stream_changelog": stream_changelog,
+    "schemaless_timestamp": schemaless_timestamp,
+    "discover_columns": discover_columns,
     "land_block_copy_only": land_block_copy_only,
     "append_changelog": append_changelog,
+    "truncate_changelog": truncate_changelog,
     "expire_landing": expire_landing,
+    "expire_table": expire_table,
     "compact_latest": compact_latest,
+    "compact_table": compact_table,
     "reload_on_gap": reload_on_gap,
-}
+    "reload_on_gap_days": reload_on_gap_days,
+}
\ No newline at end of file

@@ -7,7 +7,7 @@ snapshots, streaming checkpoints) goes under the folder the cluster names in
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -56,10 +56,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A fresh folder under the shared checkpoint folder."""
+    """A fresh folder under the shared checkpoint folder.
+
+    Writers create it; what a session leaves in it goes when the session's
+    driver ends.
+    """
     base = checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     path = f"{base}/ledgerline/{leaf}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+    if unique:
+        atexit.register(_remove, spark, path)
     return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session was stopped before the driver ended
+        return
+    try:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # nothing to do about a lost JVM or store at exit
+        return

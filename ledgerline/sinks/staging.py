@@ -9,6 +9,7 @@ stage happens only after the load has been committed to a table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,14 +19,17 @@ from pyspark.sql import types as T
 from ledgerline.functions.text import csv_line
 from ledgerline.sinks import fs
 
-# A character that never occurs in exported text stands for "null" on read,
-# so a bare empty field (null) and a quoted empty field ('') stay apart.
-_NULL_SENTINEL = "\u0001"
+# A line of one null field would be blank, and blank lines are no rows to a CSV
+# reader: a table of one column is staged with an empty second field.
+_PAD = "ll_pad"
 
 
 def csv_lines(df: DataFrame, columns: Sequence[str] | None = None, name: str = "line") -> DataFrame:
     """One-column DataFrame of CSV lines."""
-    return df.select(csv_line(df, columns).alias(name))
+    line = csv_line(df, columns)
+    if len(columns if columns is not None else df.columns) == 1:
+        line = F.concat(line, F.lit(','))
+    return df.select(line.alias(name))
 
 
 def stage_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, compression: str = "gzip") -> str:
@@ -43,23 +47,30 @@ def _from_text(text: Column, dtype: T.DataType) -> Column:
         return F.from_json(text, dtype)
     if isinstance(dtype, T.BooleanType):
         return F.lower(text).cast("boolean")
+    if isinstance(dtype, T.TimestampType):
+        # staged as UTC wall clock, whatever the session's zone
+        return F.concat(text, F.lit("Z")).cast(dtype)
     return text.cast(dtype)
 
 
 def load_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read staged CSV files back with ``schema``.
 
-    Multi-line quoted fields are allowed, so each (gzip) file is one task:
-    stage with many files for parallel loads.
+    Multi-line quoted fields are allowed, so each (gzip) file is one task; a
+    stage has as many files as the write that made it has tasks. A bare empty
+    field is null and a quoted one is text: null is read as a fresh random
+    word, which no text equals, and line ends inside quotes stay as they are.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    names = [f.name for f in schema.fields] + [_PAD] * (len(schema.fields) == 1)
+    text_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     raw = (
         spark.read.schema(text_schema)
         .option("header", "false")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", "true")
-        .option("nullValue", _NULL_SENTINEL)
+        .option("nullValue", uuid.uuid4().hex)
+        .option("lineSep", "\n")
         .option("emptyValue", "")
         .option("mode", "FAILFAST")
         .csv(path)
@@ -78,12 +89,13 @@ def copy_into_landing(
     landing,
     schema: T.StructType,
     purge: bool = True,
+    block_id: str | None = None,
 ) -> None:
     """Load staged files into a landing table (one block), then purge the stage.
 
-    ``landing`` is a ``sinks.tables.LandingTable``; the rows must carry their
-    ``ih_blockid``. The purge runs only after the landing write committed.
+    ``landing`` is a ``sinks.tables.LandingTable``; without ``block_id`` the
+    rows must carry their ``ih_blockid``. The purge runs only after the landing write committed.
     """
-    landing.land(load_staged(spark, stage_path, schema))
+    landing.land(load_staged(spark, stage_path, schema), block_id)
     if purge:
         purge_stage(spark, stage_path)

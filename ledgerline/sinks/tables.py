@@ -1,42 +1,45 @@
 """Tables on plain Parquet paths: landing, changelog, current state.
 
-- ``LandingTable``: append-only rows of every block, partitioned by
-  ``ih_blockid``. Landing a block overwrites only that block's partition
-  (dynamic partition overwrite), so a retried batch leaves one copy. A block
-  read prunes to one directory. Retention drops whole expired block folders
-  (all rows of a block share the batch's processing time) and rewrites only
-  the few blocks that straddle the cutoff.
-- ``ChangelogTable``: the append-only changelog, same block layout.
-- ``SnapshotTable``: the current-state table. Parquet has no row-level
-  MERGE, so each applied block writes a new version: only the key-hash
-  buckets the block touches are rewritten, the rest are referenced from
-  earlier versions through a small manifest written after Spark's commit.
-  Re-applying block ``n`` rewrites version ``n`` from the version below it:
-  retries are idempotent and nothing overwrites a folder being read. Each
-  version is a written table, which also cuts lineage. With a catalog table
-  that supports MERGE, use ``operators.apply.merge_into_table`` instead.
+- ``LandingTable``: append-only rows of every block, one folder per
+  ``ih_blockid``. Landing a block replaces that folder alone, so a retried
+  batch leaves one copy, whatever it holds the second time. Reading a block
+  opens its folder and nothing else. Retention drops expired block folders.
+- ``ChangelogTable``: the append-only changelog, same layout, with a compaction
+  to the newest row per key.
+- ``SnapshotTable``: the current-state table. Parquet has no row-level MERGE,
+  so a block is stored as a delta (the rows it changes, nothing else) and
+  merged when the table is read; upkeep folds deltas into the base. The
+  intended path on a cluster with a table format that supports MERGE is
+  ``operators.apply.merge_into_table``; this is the fallback for plain files.
+
+Every table has one writer, the driver of its stream. Steps that replace
+folders note what they are about to do in a small file first, and the next
+writer finishes them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import logging
 import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.constants import DELETE_OPS, IH_BLOCKID, IH_COLUMNS, IH_DATETIME, IH_OP, KNOWN_OPS, LANDING_RETENTION
-from ledgerline.operators.apply import BROADCAST_MAX_BYTES, apply_block, estimated_bytes
+from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_DATETIME, IH_OFFSET, IH_OP, KNOWN_OPS, LANDING_RETENTION, UPSERT_OPS
+from ledgerline.functions.names import resolve
 from ledgerline.functions.temporal import ntz_literal
-from ledgerline.operators.maintain import parse_interval
+from ledgerline.operators.maintain import compact_latest, parse_interval
 from ledgerline.sinks import fs
 
-_VERSION = re.compile(r"^v=(\d+)$")
+log = logging.getLogger(__name__)
+
 _MANIFEST = re.compile(r"/v=(\d+)\.json$")
-_BUCKET = "ll_bucket"
+_OP, _SEQ = "ll_op", "ll_seq"
 
 
 class LandingTable:
@@ -44,78 +47,98 @@ class LandingTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def _folder(self, block_id: str) -> str:
+        return f"{self.path}/{IH_BLOCKID}={block_id}"
+
     def land(self, df: DataFrame, block_id: str | None = None) -> None:
-        """Write one block (replacing an earlier copy of the same block)."""
+        """Write one block, replacing an earlier copy of it.
+
+        Without ``block_id`` the rows' own ``ih_blockid`` says where they go.
+        """
+        self.recover()
         if block_id is not None:
-            df = df.withColumn(IH_BLOCKID, F.lit(block_id))
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(IH_BLOCKID)
-            .parquet(self.path)
-        )
+            df.drop(IH_BLOCKID).write.mode("overwrite").parquet(self._folder(block_id))
+            return
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(IH_BLOCKID).parquet(self.path)
 
     def exists(self) -> bool:
         return fs.exists(self.spark, self.path)
 
     def read(self, block_id: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+        """The whole table, or one block (only its folder is listed)."""
+        reader = self.spark.read.option("basePath", self.path)
+        where = self.path if block_id is None else self._folder(block_id)
         if schema is None:
             # block ids stay text even when they look numeric (no type inference)
-            inferred = self.spark.read.parquet(self.path).schema
+            inferred = reader.parquet(where).schema
             schema = T.StructType(
                 [T.StructField(f.name, T.StringType(), True) if f.name == IH_BLOCKID else f for f in inferred.fields]
             )
-        df = self.spark.read.schema(schema).parquet(self.path)
-        if block_id is not None:
-            df = df.where(F.col(IH_BLOCKID) == F.lit(block_id))
-        return df
+        return reader.schema(schema).parquet(where)
 
     def blocks(self) -> list[str]:
         prefix = f"{IH_BLOCKID}="
         return sorted(d[len(prefix):] for d in fs.list_dirs(self.spark, self.path) if d.startswith(prefix))
 
+    # -- replacing folders -----------------------------------------------------
+
+    @property
+    def _plan_path(self) -> str:
+        return f"{self.path}/_replace.json"
+
+    def _replace(self, hidden: str | None, shown: str | None, old: Sequence[str]) -> None:
+        """Put the written folder ``hidden`` in place as block ``shown`` and
+        drop the blocks ``old``: all of it, or none if the plan was not noted."""
+        fs.write_text(self.spark, self._plan_path, json.dumps({"hidden": hidden, "shown": shown, "old": list(old)}))
+        self.recover()
+
+    def recover(self) -> None:
+        """Finish a replacement that a lost driver left half done."""
+        text = fs.read_text(self.spark, self._plan_path) if self.exists() else None
+        if text is None:
+            return
+        plan = json.loads(text)
+        for block in plan["old"]:
+            if block != plan["shown"] or (plan["hidden"] and fs.exists(self.spark, plan["hidden"])):
+                fs.delete(self.spark, self._folder(block))
+        if plan["hidden"] and fs.exists(self.spark, plan["hidden"]):
+            if not fs.rename(self.spark, plan["hidden"], self._folder(plan["shown"])):
+                raise RuntimeError(f"could not move {plan['hidden']} into {self.path}")
+        fs.delete(self.spark, self._plan_path)
+
     def expire(self, now: _dt.datetime, keep: str | _dt.timedelta = LANDING_RETENTION) -> dict:
         """Delete rows with ``ih_datetime < now - keep``; keep null times.
 
-        Per block, only ``min/max(ih_datetime)`` and a null count are
-        aggregated (Parquet footers answer most of it); one small row per
-        block reaches the driver. Fully expired blocks are removed as folders;
-        straddling blocks are rewritten through a staging folder.
+        One aggregate over the time column finds the blocks that hold expired
+        rows; only those reach the driver (what came due since the last run).
+        Blocks that hold nothing else, all of a stream's own, are removed as
+        folders; one with mixed times is rewritten beside the table and put in
+        its place by a noted step.
         """
+        self.recover()
         if not self.exists() or not self.blocks():
             return {"dropped": [], "rewritten": []}
-        cutoff = now - parse_interval(keep)
-        stats = (
-            self.read()
-            .groupBy(IH_BLOCKID)
-            .agg(
-                F.min(IH_DATETIME).alias("lo"),
-                F.max(IH_DATETIME).alias("hi"),
-                F.count_if(F.col(IH_DATETIME).isNull()).alias("nulls"),
-            )
-            .collect()
+        cutoff = ntz_literal(now - parse_interval(keep))
+        expired = F.col(IH_DATETIME) < cutoff
+        due = (
+            self.read().groupBy(IH_BLOCKID)
+            .agg(F.count_if(expired).alias("expired"), F.count(F.lit(1)).alias("rows"))
+            .where("expired > 0").orderBy(IH_BLOCKID).collect()
         )
-        dropped, rewritten = [], []
-        for row in stats:
-            if row["hi"] is None or row["lo"] >= cutoff:
-                continue
-            folder = f"{self.path}/{IH_BLOCKID}={row[IH_BLOCKID]}"
-            if row["hi"] < cutoff and row["nulls"] == 0:
-                fs.delete(self.spark, folder)
-                dropped.append(row[IH_BLOCKID])
-            else:
-                staging = f"{self.path}/_expire_{row[IH_BLOCKID]}"
-                part = self.spark.read.parquet(folder)
-                kept = part.where((F.col(IH_DATETIME) >= ntz_literal(cutoff)) | F.col(IH_DATETIME).isNull())
-                kept.write.mode("overwrite").parquet(staging)
-                fs.delete(self.spark, folder)
-                fs.rename(self.spark, staging, folder)
-                rewritten.append(row[IH_BLOCKID])
+        dropped = [r[IH_BLOCKID] for r in due if r["expired"] == r["rows"]]
+        rewritten = [r[IH_BLOCKID] for r in due if r["expired"] < r["rows"]]
+        if dropped:
+            self._replace(None, None, dropped)
+        for block in rewritten:
+            hidden = f"{self.path}/_kept-{uuid.uuid4().hex}"
+            part = self.spark.read.parquet(self._folder(block))
+            part.where(~F.coalesce(expired, F.lit(False))).write.parquet(hidden)
+            self._replace(hidden, block, [block])
         return {"dropped": dropped, "rewritten": rewritten}
 
 
 class ChangelogTable(LandingTable):
-    """Append-only changelog; each batch is one ``ih_blockid`` partition."""
+    """Append-only changelog; each batch is one ``ih_blockid`` folder."""
 
     def append(self, df: DataFrame, block_id: str) -> None:
         self.land(df, block_id)
@@ -127,34 +150,49 @@ class ChangelogTable(LandingTable):
         for f in fs.list_files(self.spark, self.path):
             fs.delete(self.spark, f)
 
+    def compact(self, keys: Sequence[str], offset_col: str = IH_OFFSET, keep: Sequence[str] = ()) -> dict:
+        """Delete rows whose offset is below their key's greatest and merge the
+        blocks' small files: the table becomes one block. ``keep`` names blocks
+        to leave alone (a stream's newest, which may yet be replayed)."""
+        self.recover()
+        old = [b for b in self.blocks() if b not in set(keep)] if self.exists() else []
+        if not old:
+            return {"merged": []}
+        hidden, shown = f"{self.path}/_compact-{uuid.uuid4().hex}", f"compact-{uuid.uuid4().hex[:12]}"
+        rows = compact_latest(self.read(), keys, offset_col)
+        rows.where(~F.col(IH_BLOCKID).isin(list(keep)) if keep else F.lit(True)).drop(IH_BLOCKID).write.parquet(hidden)
+        self._replace(hidden, shown, old)
+        return {"merged": old, "into": shown}
+
 
 class SnapshotTable:
-    """Versioned current-state table on Parquet, hash-bucketed by key.
-
-    Layout: ``v=<n>/ll_bucket=<b>/`` holds the buckets version ``n`` rewrote
-    (``b = pmod(xxhash64(keys), buckets)``);
-    ``_manifests/v=<n>.json`` maps every non-empty bucket to the version that
-    holds it (plus the schema). A version is visible once its manifest exists,
-    which is written after Spark committed the data. Applying a block reads
-    and rewrites only the buckets the block's keys hash to; the other buckets
-    are carried over by reference, so the cost of a block follows the block,
-    not the table. Size ``buckets`` so a bucket is about one file (~1 GB);
-    ``buckets=1`` rewrites the whole table per block.
+    """Current state on Parquet: a base and the deltas of later blocks.
+
+    ``_manifests/v=<n>.json`` names the folders of version ``n`` (base, then
+    deltas in order), the schema, and the last batch taken from each source.
+    Every write goes to a folder of its own, which a manifest names once the
+    write has committed; no folder is written twice, so earlier versions stay
+    readable until ``vacuum``.
+
+    A delta holds a block's changed rows, so applying costs what the block
+    costs, not what the table does. Reading keeps, per key, what the last delta
+    that names it says: its upserts, or nothing if it deletes the key. Base
+    rows of keys that no delta names pass unchanged, repeated ones included;
+    null keys match nothing and all stay, as in a MERGE. A block that is not
+    conflated adds all its upsert rows, as ``apply_block`` does.
+
+    ``source`` and ``batch_id`` name the batch a block came from (the
+    streaming query's persistent id and the micro-batch). A batch that is
+    repeated replaces its delta, with whatever rows it has now; one older than
+    the last is already in and changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 1):
-        if buckets < 1:
-            raise ValueError("buckets must be >= 1")
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets
 
-    # -- layout --------------------------------------------------------------
-
-    def _dir(self, version: int, bucket: int | None = None) -> str:
-        base = f"{self.path}/v={version}"
-        return base if bucket is None else f"{base}/{_BUCKET}={bucket}"
+    # -- manifests -----------------------------------------------------------
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_manifests/v={version}.json"
@@ -163,12 +201,7 @@ class SnapshotTable:
         text = fs.read_text(self.spark, self._manifest_path(version))
         if text is None:
             raise ValueError(f"version {version} of {self.path} is not committed")
-        m = json.loads(text)
-        m["buckets"] = {int(b): v for b, v in m["buckets"].items()}
-        return m
-
-    def _bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets))
+        return json.loads(text)
 
     def versions(self) -> list[int]:
         names = fs.list_files(self.spark, f"{self.path}/_manifests")
@@ -179,149 +212,121 @@ class SnapshotTable:
         v = self.versions()
         return v[-1] if v else None
 
-    # -- read / write --------------------------------------------------------
-
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+    def _publish(self, manifest: dict) -> int:
+        latest = self.latest()
+        manifest["version"] = 0 if latest is None else latest + 1
+        path = self._manifest_path(manifest["version"])
+        fs.write_text(self.spark, path + ".tmp", json.dumps(manifest))
+        if not fs.rename(self.spark, path + ".tmp", path):
+            raise RuntimeError(f"another writer committed {path}")
+        return manifest["version"]
+
+    def _store(self, df: DataFrame) -> str:
+        name = f"data/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{name}")
+        return name
+
+    # -- read / write ----------------------------------------------------------
+
+    def _merged(self, manifest: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+        base = self.spark.createDataFrame([], schema)
+        if manifest["base"]:
+            base = self.spark.read.schema(schema).parquet(f"{self.path}/{manifest['base']}")
+        if not manifest["deltas"]:
+            return base
+        stored = T.StructType(list(schema.fields) + [T.StructField(_OP, T.StringType()), T.StructField(_SEQ, T.LongType())])
+        deltas = self.spark.read.schema(stored).parquet(*[f"{self.path}/{d['path']}" for d in manifest["deltas"]])
+        keys = [F.col(f"`{k}`") for k in manifest["keys"]]
+        last = deltas.groupBy(*keys).agg(F.max(_SEQ).alias("ll_last"))
+        untouched = base.join(last, on=manifest["keys"], how="left_anti")
+        upserts = deltas.where(F.col(_OP).isin(*UPSERT_OPS)).join(last, on=manifest["keys"], how="left")
+        live = upserts.where(F.col("ll_last").isNull() | (F.col(_SEQ) == F.col("ll_last")))
+        columns = [F.col(f"`{c}`") for c in schema.names]
+        return untouched.select(*columns).unionByName(live.select(*columns))
+
+    def read(self, version: int | None = None) -> DataFrame:
         version = self.latest() if version is None else version
         if version is None:
             raise ValueError(f"no committed version under {self.path}")
-        m = self._manifest(version)
-        chosen = m["buckets"] if buckets is None else {b: m["buckets"][b] for b in buckets if b in m["buckets"]}
-        schema = T.StructType.fromJson(json.loads(m["schema"]))
-        paths = [self._dir(v, b) for b, v in sorted(chosen.items())]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _write(self, df: DataFrame, version: int, base: dict, touched: Sequence[int] | None, laid_out: bool = False) -> None:
-        """Write ``df`` as version ``version`` and publish its manifest.
-
-        ``laid_out`` means ``df`` already carries the bucket column and is
-        partitioned by it (the merge's exchange), so no further shuffle.
-        """
-        if self.buckets == 1:
-            df.write.mode("overwrite").parquet(self._dir(version, 0))
-            schema = df.schema
-        else:
-            if not laid_out:
-                df = df.withColumn(_BUCKET, self._bucket_of()).repartition(F.col(_BUCKET))
-            schema = df.drop(_BUCKET).schema
-            df.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._dir(version))
-        prefix = f"{_BUCKET}="
-        written = {int(d[len(prefix):]) for d in fs.list_dirs(self.spark, self._dir(version)) if d.startswith(prefix)}
-        mapping = dict(base)
-        for b in touched if touched is not None else list(mapping):
-            mapping.pop(b, None)
-        mapping.update({b: version for b in written})
-        manifest = {"version": version, "buckets": {str(b): v for b, v in sorted(mapping.items())},
-                    "n_buckets": self.buckets, "keys": self.keys, "schema": schema.json()}
-        fs.write_text(self.spark, self._manifest_path(version), json.dumps(manifest))
-
-    def initialize(self, df: DataFrame) -> None:
-        """Version 0 from a seed (replaces an earlier version 0)."""
-        self._write(df, 0, {}, None)
-
-    def _merge_by_bucket(self, base: DataFrame, block: DataFrame, cols: Sequence[str], op_col: str) -> DataFrame:
-        """Apply ``block`` to ``base`` with a single exchange, by bucket.
-
-        Base rows and the block's known-op rows are unioned and hash-partitioned
-        by bucket; per key the block row wins over the base row; deletes then
-        drop out. The result stays partitioned (and sorted) by bucket and key,
-        which is exactly the layout the write needs. Rows with a null key never
-        match anything and are all kept, as in a MERGE.
-        """
-        types = {f.name: f.dataType for f in base.schema.fields}
-        names = {c.lower(): c for c in block.columns}
+        return self._merged(self._manifest(version))
 
-        def from_block(c: str):
-            src = names.get(c.lower())
-            value = F.col(f"`{src}`") if src is not None else F.lit(None)
-            return value.cast(types[c]).alias(c)
+    def initialize(self, df: DataFrame) -> int:
+        """Start over from a seed: a new version with nothing applied."""
+        return self._publish(self._empty(df.schema) | {"base": self._store(df)})
 
-        base_rows = base.select(*[F.col(f"`{c}`") for c in cols], F.lit(0).alias("__prio"), F.lit(None).cast("string").alias("__op"))
-        block_rows = block.where(F.col(op_col).isin(*KNOWN_OPS)).select(
-            *[from_block(c) for c in cols], F.lit(1).alias("__prio"), F.col(op_col).alias("__op")
-        )
-        both = base_rows.unionByName(block_rows).withColumn(_BUCKET, self._bucket_of())
-        w = Window.partitionBy(_BUCKET, *[F.col(f"`{k}`") for k in self.keys]).orderBy(F.col("__prio").desc())
-        ranked = both.repartition(F.col(_BUCKET)).withColumn("__rn", F.row_number().over(w))
-        null_key = F.lit(False)
-        for k in self.keys:
-            null_key = null_key | F.col(f"`{k}`").isNull()
-        keep = ((F.col("__rn") == 1) | null_key) & ~F.coalesce(F.col("__op").isin(*DELETE_OPS), F.lit(False))
-        return ranked.where(keep).select(*[F.col(f"`{c}`") for c in cols], F.col(_BUCKET))
-
-    def apply(self, block: DataFrame, version: int, block_rows: int | None = None, final_cols: Sequence[str] | None = None,
-              op_col: str = IH_OP, keys_from: DataFrame | None = None) -> None:
-        """Write version ``version`` = the newest version below it with ``block`` applied.
-
-        Only buckets hashed from the block's keys are read and rewritten; the
-        distinct touched buckets (at most ``buckets`` small ints) are the only
-        thing collected to the driver, with their row counts (taken from
-        ``keys_from`` when given: any frame holding the block's keys). A block whose
-        key side is provably small is applied with a broadcast anti join; a
-        larger one meets the base in a single bucket-aligned exchange.
-        """
-        if version < 1:
-            raise ValueError("versions of applied blocks start at 1")
-        earlier = [v for v in self.versions() if v < version]
-        if earlier:
-            m = self._manifest(earlier[-1])
-            self.buckets = int(m.get("n_buckets", self.buckets))  # the table's layout wins
-            base_map = m["buckets"]
-            schema = T.StructType.fromJson(json.loads(m["schema"]))
-        else:
-            base_map, schema = {}, None
-        if schema is None:
-            cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
-            schema = block.select(*[F.col(f"`{c}`") for c in cols]).schema
-        by_lower = {f.name.lower(): f for f in schema.fields}
-        missing = [k for k in self.keys if k.lower() not in by_lower]
+    def _empty(self, schema: T.StructType) -> dict:
+        missing = [k for k in self.keys if resolve(k, schema.names) is None]
         if missing:
             raise ValueError(f"key columns {missing} are not columns of {self.path}")
-        self.keys = [by_lower[k.lower()].name for k in self.keys]  # the table's spelling
-        key_types = {k: by_lower[k.lower()].dataType for k in self.keys}
-        # ``keys_from``: a cheaper frame with (at least) the block's keys, e.g. the
-        # records before conflation; its row count bounds the block's size
-        source = keys_from if keys_from is not None else block
-        keyed = source.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in self.keys])
-        base_empty = self.spark.createDataFrame([], schema)
-        if self.buckets == 1:
-            base = self.read(earlier[-1]) if earlier else base_empty
-            new = apply_block(base, block, self.keys, final_cols=final_cols, op_col=op_col, block_rows=block_rows)
-            self._write(new, version, base_map, [0])
-            return
-        # one small job: touched buckets and the block's size (<= buckets rows)
-        counts = {r[0]: r[1] for r in keyed.groupBy(self._bucket_of().alias("b")).count().collect()}
-        touched = sorted(counts)
-        rows = block_rows if block_rows is not None else sum(counts.values())
-        base = self.read(earlier[-1], touched) if earlier else base_empty
-        cols = [f.name for f in schema.fields]
-        if final_cols is not None:
-            cols = [c for c in cols if c.lower() in {x.lower() for x in final_cols}]
-        base = base.select(*[F.col(f"`{c}`") for c in cols])
-        if estimated_bytes(keyed, rows) <= BROADCAST_MAX_BYTES:
-            # small block: broadcast anti join, then one exchange by bucket
-            new = apply_block(base, block, self.keys, final_cols=cols, op_col=op_col, block_rows=rows)
-            self._write(new, version, base_map, touched)
+        keys = [resolve(k, schema.names) for k in self.keys]  # the table's spelling
+        return {"base": None, "deltas": [], "batches": {}, "next": 1, "keys": keys, "schema": schema.json()}
+
+    def apply(
+        self, block: DataFrame, source: str | None = None, batch_id: int | None = None, final_cols: Sequence[str] | None = None, op_col: str = IH_OP
+    ) -> int:
+        """Store ``block`` as the delta of a new version (evaluated once)."""
+        latest = self.latest()
+        if latest is None:
+            cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
+            manifest = self._empty(block.select(*[F.col(f"`{c}`") for c in cols]).schema)
         else:
-            # large block: base and block meet in a single bucket-aligned exchange
-            self._write(self._merge_by_bucket(base, block, cols, op_col), version, base_map, touched, laid_out=True)
+            manifest = self._manifest(latest)
+        seen = manifest["batches"].get(source) if source is not None else None
+        if seen is not None and batch_id < seen:
+            log.info("batch %s of %s is already part of %s", batch_id, source, self.path)
+            return latest
+        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+        wanted = {c.lower() for c in final_cols} if final_cols is not None else None
+        row = []
+        for field in schema.fields:
+            name = resolve(field.name, block.columns) if wanted is None or field.name.lower() in wanted else None
+            value = F.col(f"`{name}`") if name is not None else F.lit(None)
+            row.append(value.cast(field.dataType).alias(field.name))
+        again = next((d for d in manifest["deltas"] if source is not None and (d["source"], d["batch"]) == (source, batch_id)), None)
+        seq = again["seq"] if again else manifest["next"]
+        changed = block.where(F.col(op_col).isin(*KNOWN_OPS)).select(*row, F.col(op_col).alias(_OP), F.lit(seq).cast("long").alias(_SEQ))
+        delta = {"path": self._store(changed), "source": source, "batch": batch_id, "seq": seq}
+        manifest["deltas"] = [d for d in manifest["deltas"] if d is not again] + [delta]
+        manifest["deltas"].sort(key=lambda d: d["seq"])
+        manifest["next"] = max(manifest["next"], seq + 1)
+        if source is not None:
+            manifest["batches"][source] = batch_id
+        return self._publish(manifest)
+
+    # -- upkeep ----------------------------------------------------------------
+
+    def deltas(self) -> int:
+        latest = self.latest()
+        return 0 if latest is None else len(self._manifest(latest)["deltas"])
+
+    def compact(self) -> int | None:
+        """Fold deltas into a new base. A source's last batch may be repeated
+        with other rows, so it and what follows it stay deltas."""
+        latest = self.latest()
+        if latest is None:
+            return None
+        manifest = self._manifest(latest)
+        open_ = [k for k, d in enumerate(manifest["deltas"]) if d["source"] is not None and manifest["batches"].get(d["source"]) == d["batch"]]
+        fold = min(open_, default=len(manifest["deltas"]))
+        if not fold:
+            return latest
+        folded = self._merged(manifest | {"deltas": manifest["deltas"][:fold]})
+        return self._publish(manifest | {"base": self._store(folded), "deltas": manifest["deltas"][fold:]})
 
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Drop manifests older than the newest ``keep`` and unreferenced data."""
+        """Drop manifests older than the newest ``keep`` and all folders that
+        no kept manifest names."""
         versions = self.versions()
         kept = versions[-keep:] if keep > 0 else []
-        referenced = set()
+        named = set()
         for v in kept:
-            referenced.update(self._manifest(v)["buckets"].values())
-        dropped = []
-        for v in versions:
-            if v not in kept:
-                fs.delete(self.spark, self._manifest_path(v))
-                dropped.append(v)
-        for d in fs.list_dirs(self.spark, self.path):
-            m = _VERSION.match(d)
-            if m and int(m.group(1)) not in referenced and int(m.group(1)) not in kept:
-                fs.delete(self.spark, f"{self.path}/{d}")
+            manifest = self._manifest(v)
+            named.update([manifest["base"], *[d["path"] for d in manifest["deltas"]]])
+        dropped = [v for v in versions if v not in kept]
+        for v in dropped:
+            fs.delete(self.spark, self._manifest_path(v))
+        for d in fs.list_dirs(self.spark, f"{self.path}/data"):
+            if f"data/{d}" not in named:
+                fs.delete(self.spark, f"{self.path}/data/{d}")
         return dropped

@@ -12,8 +12,6 @@ text. Field lookups on them ignore case and take the last matching key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,35 +185,9 @@ def entry_lookup(entries_col, name: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
-def map_lookup(map_col, name: str) -> Column:
-    """Value of ``name`` in a text map, ignoring case; the last match wins."""
-    return entry_lookup(lowered_entries(map_col), name)
-
-
-def lower_keys(map_col) -> Column:
-    """The map with lower-cased keys; a later key wins over an earlier one.
-
-    Keys that collide only by case are de-duplicated with last-wins semantics
-    by dropping every entry that a later entry overrides.
-    """
-    m = F.col(map_col) if isinstance(map_col, str) else map_col
-    entries = F.map_entries(m)
-    lowered = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    keep = F.filter(
-        lowered,
-        lambda e, i: ~F.exists(F.slice(lowered, i + 2, F.size(lowered)), lambda later: later["key"] == e["key"]),
-    )
-    return F.map_from_entries(keep)
-
-
 def primary_key(schema: T.StructType, key_col: str = "key") -> list[str]:
     """Primary-key field names, in the key schema's order."""
     ktype = schema[key_col].dataType
     if not isinstance(ktype, T.StructType):
         raise ValueError("key must be a struct")
     return [f.name for f in ktype.fields]
-
-
-def key_columns(df: DataFrame, key_col: str = "key") -> Sequence[Column]:
-    """One column per key field, named after the field."""
-    return [F.col(key_col)[n].alias(n) for n in primary_key(df.schema, key_col)]

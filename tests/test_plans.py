@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.apply import BROADCAST_MAX_BYTES, apply_block
+from ledgerline.operators.apply import apply_block
 from ledgerline.operators.conflate import conflate_latest
 from ledgerline.operators.maintain import compact_latest, expire_landing, reload_on_gap
 from ledgerline.plans import queries as q
@@ -27,18 +27,24 @@ def test_compaction_aggregates_partially_and_never_windows(spark):
     assert "partial_max" in p and "Window" not in p
 
 
-def test_apply_broadcasts_only_a_known_small_block(spark):
+def test_applying_a_block_scans_and_conflates_the_changes_once(spark):
+    """The stored block is what the plan reads; the changes were scanned and
+    shuffled by key once, when it was written."""
+    for query in (q.apply_block_q, q.merge_upsert_q):
+        p = plan(query(spark, SF001))
+        assert "events.parquet" not in p and "Window" not in p
+        assert p.count("FileScan parquet") == 3  # the table, the block's keys, the block's rows
+    block = plan(q._block(q.changes(spark, SF001)))
+    assert block.count("FileScan parquet") == 1 and block.count("Exchange hashpartitioning") == 1
+
+
+def test_a_large_block_is_not_broadcast(spark):
     final = spark.range(1000).select(F.col("id"), F.lit("x").alias("v"))
     block = spark.range(10).select(F.col("id"), F.lit("y").alias("v"), F.lit("u").alias("ih_op"))
-    small = apply_block(final, block, ["id"], block_rows=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().sparkPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        unknown = apply_block(final, block, ["id"])
-        assert "BroadcastHashJoin" not in plan(unknown)
-        big = apply_block(final, block, ["id"], block_rows=BROADCAST_MAX_BYTES // 8)
-        assert "BroadcastHashJoin" not in plan(big)
+        assert "BroadcastHashJoin" not in plan(apply_block(final, block, ["id"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")

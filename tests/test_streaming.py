@@ -56,7 +56,7 @@ def test_changelog_stream_with_gap_reload(spark, workdir):
 
     schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in landing])
     opts = SinkOptions(landing_schema=schema, landing_path=f"{workdir}/log", mode="schemaless", reload_gap_seconds=1800, query_name="log")
-    clock = iter([dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 10), dt.datetime(2024, 1, 1, 0, 41)])
+    clock = iter([dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 1, 0, 10), dt.datetime(2024, 1, 1, 0, 41)])
     stream = spark.readStream.schema("topic string, partition int, offset bigint, value string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").json(src)
     run_changelog_stream(spark, stream, opts, f"{workdir}/log_ckpt", clock=lambda: next(clock))
     rows = ChangelogTable(spark, opts.landing_path).read().select("id", "name", "ih_offset", "ih_op").collect()
@@ -72,13 +72,13 @@ def test_maintenance_runs_once_per_interval_and_swallows_errors(spark, workdir):
     landing.land(old, "m-000000000000")
     upkeep = Maintenance(landing, "PT3M")
     assert upkeep.maybe_run(now) == {"dropped": ["m-000000000000"], "rewritten": []}
-    snap = SnapshotTable(spark, f"{workdir}/m_final", ["id"], buckets=2)
+    snap = SnapshotTable(spark, f"{workdir}/m_final", ["id"])
     snap.initialize(spark.createDataFrame([(1, "a")], "id bigint, v string"))
     for v in (1, 2, 3):
-        snap.apply(spark.createDataFrame([(v, "x", "c")], "id bigint, v string, ih_op string"), v)
-    with_vacuum = Maintenance(landing, "PT1M", snapshot=snap, keep_versions=2)
-    assert with_vacuum.maybe_run(now)["vacuumed_versions"] == [0, 1]
-    assert snap.versions() == [2, 3] and snap.read().count() == 3
+        snap.apply(spark.createDataFrame([(v, "x", "c")], "id bigint, v string, ih_op string"))
+    upkept = Maintenance(landing, "PT1M", snapshot=snap, keep_versions=2, fold_deltas=3).maybe_run(now)
+    assert upkept["folded_version"] == 4 and upkept["vacuumed_versions"] == [0, 1, 2]
+    assert snap.versions() == [3, 4] and snap.deltas() == 0 and snap.read().count() == 3
     assert upkeep.maybe_run(now + dt.timedelta(minutes=2)) is None
     failing = LandingTable(spark, f"{workdir}/m_INGEST")
     failing.expire = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("storage unavailable"))
@@ -99,3 +99,30 @@ def test_read_changes_batch_and_stream_with_trigger_limit(spark, workdir):
          .foreachBatch(lambda df, i: seen.append(df.count())).trigger(availableNow=True).start())
     q.awaitTermination()
     assert seen == [1, 1, 1]
+
+
+def test_changelog_stream_is_compacted_between_batches(spark, workdir):
+    from pyspark.sql import types as T
+
+    src = f"{workdir}/up_src"
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ih_offset", T.StringType())])
+    opts = SinkOptions(landing_schema=schema, landing_path=f"{workdir}/up", mode="schemaless", query_name="up", keys=["id"])
+    for i in range(3):
+        rows = [("t", 0, 10 * i + j, json.dumps({"id": j})) for j in range(2)]
+        spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string").coalesce(1).write.json(f"{src}/b{i}")
+        stream = spark.readStream.schema("topic string, partition int, offset bigint, value string").option("recursiveFileLookup", "true").json(src)
+        run_changelog_stream(spark, stream, opts, f"{workdir}/up_ckpt", maintain_every="PT1S")
+    table = ChangelogTable(spark, opts.landing_path)
+    assert len(table.blocks()) == 2  # what was merged, and the newest block
+    assert sorted(r.ih_offset for r in table.read().collect()) == ["20", "21"]
+
+
+def test_two_streams_of_one_name_do_not_share_blocks(spark, workdir):
+    src = f"{workdir}/twin_src"
+    _write_batches(spark, src, [[("c", 1, "a")]])
+    opts = SinkOptions(landing_schema=LANDING, landing_path=f"{workdir}/twin_INGEST", final_path=f"{workdir}/twin", row_schema=ROW, key_schema=KEY, timestamps=["ts"])
+    for k in range(2):
+        stream = spark.readStream.schema(RAW_SCHEMA).option("recursiveFileLookup", "true").json(src)
+        run_stream(spark, stream, opts, f"{workdir}/twin_ckpt{k}")
+    assert len(LandingTable(spark, opts.landing_path).blocks()) == 2
+    assert SnapshotTable(spark, opts.final_path, ["id"]).read().count() == 1

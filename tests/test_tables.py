@@ -64,72 +64,157 @@ def test_numeric_looking_block_ids_stay_text(spark, workdir):
     assert [r.id for r in t.read("0112").collect()] == [2]
 
 
-def test_snapshot_versions_are_idempotent(spark, workdir):
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def block(spark, *rows):
+    return spark.createDataFrame(list(rows), "id bigint, v string, ih_op string")
+
+
+def test_snapshot_repeats_and_new_checkpoints(spark, workdir):
     snap = SnapshotTable(spark, f"{workdir}/final", ["id"])
     snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
-    block = spark.createDataFrame([(1, "A", "u"), (3, "c", "c"), (2, None, "d")], "id bigint, v string, ih_op string")
-    snap.apply(block, 1)
-    first = sorted(snap.read().collect())
-    snap.apply(block, 1)
-    assert sorted(snap.read().collect()) == first == [(1, "A"), (3, "c")]
-    assert snap.versions() == [0, 1]
-    snap.apply(spark.createDataFrame([(3, None, "d")], "id bigint, v string, ih_op string"), 2)
-    assert snap.vacuum(keep=1) == [0, 1]
-    assert sorted(snap.read().collect()) == [(1, "A")]
-
-
-def test_bucketed_snapshot_rewrites_only_touched_buckets(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/bucketed", ["id"], buckets=8)
-    snap.initialize(spark.range(0, 200).selectExpr("id", "cast(id as string) as v"))
-    before = snap._manifest(0)["buckets"]
-    assert len(before) == 8 and set(before.values()) == {0}
-    block = spark.createDataFrame([(3, "three", "u"), (500, "new", "c"), (7, None, "d")], "id bigint, v string, ih_op string")
-    snap.apply(block, 1)
-    after = snap._manifest(1)["buckets"]
-    rewritten = {b for b, v in after.items() if v == 1}
-    assert 1 <= len(rewritten) <= 3 and all(before[b] == 0 for b in after if b not in rewritten)
-    rows = {r.id: r.v for r in snap.read().collect()}
-    assert len(rows) == 200 and rows[3] == "three" and rows[500] == "new" and 7 not in rows
-    snap.apply(block, 1)
-    assert {r.id: r.v for r in snap.read().collect()} == rows
-    snap.apply(spark.createDataFrame([(500, None, "d")], "id bigint, v string, ih_op string"), 2)
-    snap.vacuum(keep=1)
-    assert snap.versions() == [2] and snap.read().count() == 199
-
-
-def test_large_block_path_matches_small_block_path(spark, workdir, monkeypatch):
-    import ledgerline.sinks.tables as tables
-
-    seed = spark.range(0, 300).selectExpr("id", "cast(id as string) as v")
-    block = spark.range(0, 600, 3).selectExpr("id", "'b' as v", "case when id % 2 = 0 then 'd' else 'u' end as ih_op")
-    results = []
-    for limit in (tables.BROADCAST_MAX_BYTES, 0):
-        monkeypatch.setattr(tables, "BROADCAST_MAX_BYTES", limit)
-        snap = SnapshotTable(spark, f"{workdir}/paths-{limit}", ["id"], buckets=4)
+    first = block(spark, (1, "A", "u"), (3, "c", "c"), (2, None, "d"))
+    snap.apply(first, "q1", 0)
+    snap.apply(block(spark, (3, "C", "u"), (4, "d", "c")), "q1", 1)
+    assert rows_of(snap.read()) == [(1, "A"), (3, "C"), (4, "d")]
+    # the last batch again, with fewer rows: what it no longer holds is gone
+    snap.apply(block(spark, (4, "D", "c")), "q1", 1)
+    assert rows_of(snap.read()) == [(1, "A"), (3, "c"), (4, "D")]
+    # an older batch is already in
+    before = snap.versions()
+    snap.apply(first, "q1", 0)
+    assert snap.versions() == before
+    # a new checkpoint starts at batch 0 and only adds
+    snap.apply(block(spark, (5, "e", "c"), (1, None, "d")), "q2", 0)
+    assert rows_of(snap.read()) == [(3, "c"), (4, "D"), (5, "e")]
+    assert rows_of(snap.read(0)) == [(1, "a"), (2, "b")]
+    # starting over does not mix with what was there
+    snap.initialize(spark.createDataFrame([(9, "z")], "id bigint, v string"))
+    assert rows_of(snap.read()) == [(9, "z")]
+
+
+def test_snapshot_semantics_equal_apply_block_at_any_size(spark, workdir):
+    from ledgerline.operators.apply import apply_block
+
+    seed = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (2, "b2"), (None, "n"), (3, "c")], "id bigint, v string")
+    loose = block(spark, (2, "B", "u"), (2, "B2", "u"), (3, None, "d"), (None, "N", "c"), (7, None, "d"), (8, "x", "x"))
+    big = spark.range(10, 60_000).selectExpr("id", "'w' as v", "if(id % 2 = 0, 'd', 'c') as ih_op")
+    for name, changed in (("small", loose), ("large", loose.unionByName(big))):
+        snap = SnapshotTable(spark, f"{workdir}/sem-{name}", ["id"])
         snap.initialize(seed)
-        snap.apply(block, 1)
-        results.append(sorted(tuple(r) for r in snap.read().collect()))
-    assert results[0] == results[1] and len(results[0]) == 300 - 50 + 50
+        snap.apply(changed)
+        assert rows_of(snap.read()) == rows_of(apply_block(seed, changed, ["id"]))
+        kept = {r for r in rows_of(snap.read().where("id < 10 or id is null"))}
+        assert kept == {(1, "a"), (1, "a2"), (2, "B"), (2, "B2"), (None, "n"), (None, "N")}
+        snap.compact()
+        assert snap.deltas() == 0 and rows_of(snap.read()) == rows_of(apply_block(seed, changed, ["id"]))
+
+
+def test_a_block_costs_its_own_rows(spark, workdir):
+    snap = SnapshotTable(spark, f"{workdir}/cost", ["id"])
+    snap.initialize(spark.range(0, 20_000).selectExpr("id", "repeat(cast(id as string), 20) as v"))
+    snap.apply(spark.range(0, 20_000, 100).selectExpr("id", "'new' as v", "'u' as ih_op"))
+    base, delta = snap._manifest(snap.latest())["base"], snap._manifest(snap.latest())["deltas"][0]["path"]
+    assert base == snap._manifest(0)["base"]
+    assert spark.read.parquet(f"{snap.path}/{delta}").count() == 200
+    assert snap.read().where("v = 'new'").count() == 200 and snap.read().count() == 20_000
+
+
+def test_fold_keeps_batches_that_may_repeat_and_vacuum_keeps_what_is_named(spark, workdir):
+    snap = SnapshotTable(spark, f"{workdir}/fold", ["id"])
+    for k in range(4):
+        snap.apply(block(spark, (k, f"v{k}", "c")), "q", k)
+    assert snap.deltas() == 4
+    snap.compact()
+    assert snap.deltas() == 1
+    snap.apply(block(spark, (9, "again", "c")), "q", 3)
+    expected = [(0, "v0"), (1, "v1"), (2, "v2"), (9, "again")]
+    assert rows_of(snap.read()) == expected
+    assert len(snap.vacuum(keep=1)) == 5
+    assert rows_of(snap.read()) == expected
+    assert len(fs.list_dirs(spark, f"{snap.path}/data")) == 2
 
 
 def test_snapshot_keys_match_columns_ignoring_case(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/case", ["ID"], buckets=4)
+    snap = SnapshotTable(spark, f"{workdir}/case", ["ID"])
     snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
-    snap.apply(spark.createDataFrame([(2, None, "d"), (3, "c", "c")], "Id bigint, V string, ih_op string"), 1)
-    assert sorted(tuple(r) for r in snap.read().collect()) == [(1, "a"), (3, "c")]
-
-
-def test_gap_reloader_truncates_after_quiet_period(spark, workdir):
+    snap.apply(spark.createDataFrame([(2, None, "d"), (3, "c", "c")], "Id bigint, V string, ih_op string"))
+    assert rows_of(snap.read()) == [(1, "a"), (3, "c")]
+    with pytest.raises(ValueError, match="key columns"):
+        SnapshotTable(spark, f"{workdir}/nokey", ["other"]).initialize(spark.range(1))
+
+
+def test_a_repeated_block_replaces_its_landing_copy_even_when_empty(spark, workdir):
+    t = LandingTable(spark, f"{workdir}/repeat")
+    t.land(spark.createDataFrame([(1,), (2,)], "id int"), "q-0")
+    t.land(spark.createDataFrame([(3,)], "id int"), "q-1")
+    t.land(spark.createDataFrame([], "id int"), "q-0")
+    assert [r.id for r in t.read().collect()] == [3]
+    scan = t.read("q-1").inputFiles()
+    assert scan and all("ih_blockid=q-1" in f for f in scan)
+
+
+def test_changelog_compaction_merges_and_survives_a_lost_driver(spark, workdir):
+    t = ChangelogTable(spark, f"{workdir}/clog")
+    for b in range(3):
+        t.append(spark.createDataFrame([(1, str(10 + b)), (b + 2, str(b))], "id bigint, ih_offset string"), f"q-{b}")
+    t.append(spark.createDataFrame([(1, "9")], "id bigint, ih_offset string"), "q-3")
+    out = t.compact(["id"], keep=["q-3"])
+    assert out["merged"] == ["q-0", "q-1", "q-2"] and len(t.blocks()) == 2
+    expected = [(1, "12"), (2, "0"), (3, "1"), (4, "2")]
+    assert rows_of(t.read().where("ih_blockid <> 'q-3'").select("id", "ih_offset")) == expected
+    # a driver lost after noting the plan: the next writer finishes it
+    hidden = f"{t.path}/_compact-x"
+    spark.createDataFrame([(1, "12")], "id bigint, ih_offset string").write.parquet(hidden)
+    fs.write_text(spark, t._plan_path, json.dumps({"hidden": hidden, "shown": "compact-x", "old": t.blocks()}))
+    ChangelogTable(spark, t.path).append(spark.createDataFrame([(6, "1")], "id bigint, ih_offset string"), "q-4")
+    assert t.blocks() == ["compact-x", "q-4"]
+    assert rows_of(t.read().select("id", "ih_offset")) == [(1, "12"), (6, "1")]
+
+
+def test_gap_reloader_counts_quiet_time_and_not_outages(spark, workdir):
     t = ChangelogTable(spark, f"{workdir}/log")
-    g = GapReloader(spark, t, 1800)
     base = dt.datetime(2024, 1, 1)
+    at = lambda m, s=0: base + dt.timedelta(minutes=m, seconds=s)
     rows = lambda i: spark.createDataFrame([(i,)], "id int")
-    assert g.flush(rows(1), "b1", base, True) is False
-    assert g.flush(rows(2), "b2", base + dt.timedelta(minutes=30, seconds=59), True) is False
-    assert g.flush(rows(9), "b3", base + dt.timedelta(minutes=70), False) is False
+    g = GapReloader(spark, t, 1800, started=base)
+    assert g.flush(rows(1), "b1", at(5), True) is False
+    assert g.flush(rows(2), "b2", at(35, 59), True) is False
+    assert g.flush(rows(9), "b3", at(70), False) is False
     assert sorted(r["id"] for r in t.read().collect()) == [1, 2]
-    assert g.flush(rows(3), "b4", base + dt.timedelta(minutes=62), True) is True
-    assert [r["id"] for r in t.read().collect()] == [3]
+    # a restart after an hour of downtime starts its own clock
+    assert GapReloader(spark, t, 1800, started=at(100)).flush(rows(3), "b4", at(101), True) is False
+    assert t.read().count() == 3
+    kept = GapReloader(spark, t, 1800, started=at(100), survive_restart=True)
+    assert kept.flush(rows(4), "b5", at(131), True) is True
+    assert [r["id"] for r in t.read().collect()] == [4]
+    assert GapReloader(spark, t, 1800, started=at(300), survive_restart=True).flush(rows(5), "b6", at(301), True) is True
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_stage_round_trip_of_what_csv_likes_to_lose(spark, workdir, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        one = spark.createDataFrame([(None,), ("",), ("\u0001",), ("a\r\nb",), ("x,y",)], "v string").repartition(1)
+        stage_csv(one, f"{workdir}/one-{zone}")
+        assert rows_of(load_staged(spark, f"{workdir}/one-{zone}", one.schema)) == rows_of(one)
+        times = spark.sql("select 1 as id, timestamp_seconds(1700000000.123456) as at, '\\r' as s union all select 2, null, null")
+        stage_csv(times, f"{workdir}/times-{zone}")
+        assert rows_of(load_staged(spark, f"{workdir}/times-{zone}", times.schema)) == rows_of(times)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_plain_records_need_a_topic(spark):
+    from ledgerline.plans.flush import prepare_changelog
+
+    raw = spark.createDataFrame([(None, 1, 41, 7)], "topic string, partition int, offset bigint, id bigint")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ih_topic", T.StringType())])
+    with pytest.raises(Exception, match="topic_null"):
+        prepare_changelog(raw, SinkOptions(landing_schema=schema, landing_path="unused", mode="plain")).collect()
 
 
 ROW = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Name", T.StringType()), T.StructField("ts", T.LongType())])
@@ -157,7 +242,8 @@ def test_process_block_lands_and_applies(spark, workdir):
     )
     SnapshotTable(spark, opts.final_path, ["id"]).initialize(spark.createDataFrame([(1, "one", None), (5, "five", None)], "id bigint, name string, ts timestamp_ntz"))
     m = process_block(spark, raw_records(spark, [("c", 2, "two"), ("u", 1, "uno"), ("u", 2, "dos"), ("d", 5, "five")]), 0, opts)
-    assert (m["rows"], m["has_inserts"], m["has_updates"], m["has_deletes"]) == (3, False, True, True)
+    assert (m["records"], m["rows"], m["has_inserts"], m["has_updates"], m["has_deletes"]) == (4, 3, False, True, True)
+    assert set(m["seconds"]) == {"stage", "land", "apply"}
     final = SnapshotTable(spark, opts.final_path, ["id"]).read()
     assert sorted((r.id, r.name) for r in final.collect()) == [(1, "uno"), (2, "dos")]
     assert final.first()["ts"] == dt.datetime(2018, 1, 10, 10, 30, 40)
@@ -172,7 +258,7 @@ def test_process_block_lands_and_applies(spark, workdir):
 def test_staged_flush_loads_through_csv_and_purges(spark, workdir):
     opts = SinkOptions(
         landing_schema=LANDING, landing_path=f"{workdir}/g_INGEST", final_path=f"{workdir}/g", stage_path=f"{workdir}/stage",
-        row_schema=ROW, key_schema=KEY, timestamps=["ts"], query_name="g", final_buckets=4,
+        row_schema=ROW, key_schema=KEY, timestamps=["ts"], query_name="g",
     )
     m = process_block(spark, raw_records(spark, [("c", 1, 'quote " comma , newline \n'), ("c", 2, "")]), 0, opts)
     assert m["rows"] == 2
