@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,13 +25,12 @@ def texts(docs: DataFrame) -> DataFrame:
 class Scratch:
     """Tables an operator writes to cut lineage, under the shared checkpoint
     folder, so a lost executor never costs more than one step. ``drop`` frees
-    a table no later step reads; what a returned DataFrame still reads goes
-    when the driver's session ends."""
+    a table no later step reads; what a returned DataFrame still reads goes,
+    with its folder, when the session's driver ends (``work_dir``)."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = work_dir(spark, name)
-        atexit.register(self.close)
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         path = f"{self.root}/{label}"
@@ -43,13 +41,6 @@ class Scratch:
         for label in labels:
             fs.delete(self.spark, f"{self.root}/{label}")
 
-    def close(self) -> None:
-        if self.spark.sparkContext._jsc is not None:
-            try:
-                fs.delete(self.spark, self.root)
-            except Exception:  # the JVM may be gone before the driver's Python
-                return
-
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The groups of a stream of batches that is sorted by ``keys``, one at a

@@ -41,13 +41,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS.get("n", np.zeros(0)).size < n:
-        size = max(n, SPAN_BYTES + 1)
+    if _POWERS.get("p", np.zeros(0)).size < n:
         for name, base in (("p", _BASE), ("q", _BASE_INV)):
-            steps = np.full(size, base, dtype=np.uint64)
+            steps = np.full(max(n, SPAN_BYTES + 1), base, dtype=np.uint64)
             steps[0] = 1
             _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-        _POWERS["n"] = _POWERS["p"]
     return _POWERS["p"], _POWERS["q"]
 
 
@@ -92,13 +90,33 @@ def word_bounds(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE
     return first, last, np.searchsorted(first, starts)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per word in order, and words before each row."""
-    first, last, rows = word_bounds(raw, starts, between)
-    power, inverse = _powers(raw.size + 1)
-    sums = np.zeros(raw.size + 1, dtype=np.uint64)
-    np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[: raw.size], out=sums[1:])
-    return mix64((sums[last] - sums[first]) * inverse[first]), rows
+def word_hashes(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word in order (``fold``: of the word in lower case), and
+    words before each row. A long text is hashed in stretches that end between
+    words, so that the working arrays stay small."""
+    found, at = [], []
+    low = 0
+    while low < raw.size:
+        high = low + SPAN_BYTES
+        if high < raw.size:
+            gap = np.flatnonzero(between[raw[high : high + SPAN_BYTES]])
+            high = raw.size if not gap.size and high + SPAN_BYTES >= raw.size else high + (int(gap[0]) if gap.size else SPAN_BYTES)
+            while high < raw.size and not between[raw[high]]:
+                high += 1
+        high = min(high, raw.size)
+        part = raw[low:high]
+        own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high, side="right")] - low
+        first, last, _ = word_bounds(part, np.unique(np.concatenate([[0], own])), between)
+        power, inverse = _powers(part.size + 1)
+        sums = np.zeros(part.size + 1, dtype=np.uint64)
+        letters = LOWER[part] if fold else part
+        np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * power[: part.size], out=sums[1:])
+        found.append(mix64((sums[last] - sums[first]) * inverse[first]))
+        at.append(first + low)
+        low = high
+    if not found:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
+    return np.concatenate(found), np.searchsorted(np.concatenate(at), starts)
 
 
 def shingle_hashes(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.hashing import byte_view, spans_of_rows
+from ledgerline.llm.hashing import byte_view
 
 UNKNOWN = "und"
 HELD_OUT = 2
 DOCS_PER_LANG, LANGS, SNIPPETS, SNIPPET_CHARS = 1500, 64, 3, 96
 HIDDEN, STEPS, PAD = 8, 64, 256
 BATCH, UPDATES, RATE = 192, 260, 0.02
-SPAN = 1 << 18
+ROWS = 4096
 
 
 def held_out() -> F.Column:
@@ -180,32 +180,37 @@ class Model:
                 p -= rate * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-7)
 
 
-def chunk(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(steps, chunks)`` byte codes of all texts, padded, and the text of
-    each chunk."""
-    sizes = np.diff(starts)
-    pieces = -(-sizes // STEPS)
-    owner = np.repeat(np.arange(sizes.size), pieces)
-    at = np.arange(owner.size) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    begin = starts[owner] + at * STEPS
-    index = begin[:, None] + np.arange(STEPS)
-    real = index < starts[owner + 1][:, None]
-    codes = np.full(index.shape, PAD, dtype=np.intp)
-    codes[real] = raw[index[real]]
-    return np.ascontiguousarray(codes.T), owner
+class Chunks:
+    """Texts cut into chunks of ``STEPS`` bytes: ``owner`` is the text of each;
+    ``codes`` builds the padded byte codes of a range of them."""
+
+    def __init__(self, raw: np.ndarray, starts: np.ndarray):
+        self.raw = raw
+        sizes = np.diff(starts)
+        pieces = -(-sizes // STEPS)
+        self.owner = np.repeat(np.arange(sizes.size), pieces)
+        nth = np.arange(self.owner.size) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        self.begin = starts[self.owner] + nth * STEPS
+        self.end = starts[self.owner + 1]
+
+    def codes(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        """``(steps, chunks)``."""
+        index = self.begin[low:high, None] + np.arange(STEPS)
+        real = index < self.end[low:high, None]
+        codes = np.full(index.shape, PAD, dtype=np.intp)
+        codes[real] = self.raw[index[real]]
+        return np.ascontiguousarray(codes.T)
 
 
 def pool(model: Model, column: pa.Array) -> np.ndarray:
     """The mean position distribution of each text (zeros for empty ones)."""
     raw, starts = byte_view(column)
+    chunks = Chunks(raw, starts)
     total = np.zeros((len(starts) - 1, len(model.langs)))
-    for low, high in spans_of_rows(starts, SPAN):
-        part, at = raw[starts[low] : starts[high]], starts[low : high + 1] - starts[low]
-        codes, owner = chunk(part, at)
-        for k in range(0, owner.size, SPAN // STEPS):
-            own = codes[:, k : k + SPAN // STEPS]
-            sums = np.einsum("trl,tr->rl", model.labels(own), (own != PAD).astype(np.float32))
-            np.add.at(total, low + owner[k : k + SPAN // STEPS], sums)
+    for low in range(0, chunks.owner.size, ROWS):
+        codes = chunks.codes(low, low + ROWS)
+        sums = np.einsum("trl,tr->rl", model.labels(codes), (codes != PAD).astype(np.float32))
+        np.add.at(total, chunks.owner[low : low + ROWS], sums)
     return total / np.maximum(np.diff(starts), 1)[:, None]
 
 
@@ -226,10 +231,10 @@ def train(docs: DataFrame) -> Model | None:
     )
     langs = sorted(langs)
     number = {lang: k for k, lang in enumerate(langs)}
-    codes, owner = chunk(*byte_view(sample.column("piece")))
-    lang = np.array([number[x] for x in sample.column("lang").to_pylist()])[owner]
+    chunks = Chunks(*byte_view(sample.column("piece")))
+    lang = np.array([number[x] for x in sample.column("lang").to_pylist()])[chunks.owner]
     model = Model(langs)
-    model.fit(codes, lang)
+    model.fit(chunks.codes(), lang)
     return model
 
 

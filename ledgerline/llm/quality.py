@@ -7,7 +7,8 @@ own, and a document goes when more than ``CHUNK_SHARE`` of them fall outside,
 so a repetitive or incompressible stretch shows in a long text too. The base
 rules count words, symbols, repeated lines and repeated eight-word windows.
 
-Words are runs of bytes other than ASCII white space, as they stand. A null
+Words are runs of bytes other than ASCII white space, as they stand; equal
+words are told by 64-bit hashes, equal lines by themselves. A null
 or empty text has no words and fails the base rules. Rows are judged one by
 one: repeated rows get equal results, an empty table none.
 """
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ledgerline.llm import hashing
 from ledgerline.llm.common import texts
 
 LEVEL, CHUNK, CHUNK_SHARE, CHUNK_BAND = 3, 1024, 0.25, (0.25, 0.85)
@@ -36,36 +38,36 @@ _SCHEMA = (
 )
 
 
-def repeated_words(words: list[bytes]) -> int:
-    """Words inside windows of ``WINDOW`` words that occur twice or more.
-    Windows get exact ranks by doubling: pairs, then fours, then eights."""
-    if len(words) <= WINDOW:
-        return 0
-    number: dict[bytes, int] = {}
-    rank = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
-    if len(number) == len(words):
+def repeated_words(words: np.ndarray) -> int:
+    """Words inside windows of ``WINDOW`` words that occur twice or more, given
+    a hash per word. Windows get exact ranks by doubling: pairs, then fours,
+    then eights."""
+    size = words.size
+    if size <= WINDOW:
         return 0
+    rank, counts = np.unique(words, return_inverse=True, return_counts=True)[1:]
     span = 1
-    while span < WINDOW:
-        _, rank, counts = np.unique(rank[:-span] * (rank.max() + 1) + rank[span:], return_inverse=True, return_counts=True)
-        if counts.max() == 1:
-            return 0
+    while span < WINDOW and counts.max() > 1:
+        keys = rank[:-span].astype(np.int64) * counts.size + rank[span:]
+        rank, counts = np.unique(keys, return_inverse=True, return_counts=True)[1:]
         span *= 2
-    edge = np.zeros(len(words) + 1, dtype=np.int64)
+    if counts.max() == 1:
+        return 0
+    edge = np.zeros(size + 1, dtype=np.int64)
     again = np.flatnonzero(counts[rank] > 1)
-    np.add.at(edge, again, 1)
-    np.add.at(edge, again + WINDOW, -1)
+    edge[again] += 1
+    edge[again + WINDOW] -= 1
     return int((np.cumsum(edge) > 0).sum())
 
 
-def measure(text: str, compressor) -> tuple:
-    raw = text.encode()
-    words = raw.split()
+def measure(raw: bytes, hashes: np.ndarray, compressor) -> tuple:
     lines = [x for x in raw.split(b"\n") if x.strip(_SPACE)]
+    # a code point is a byte that does not continue one
+    points = int((np.frombuffer(raw, dtype=np.int8) >= -64).sum())
     spaces = len(raw) - len(raw.translate(None, _SPACE))
     symbols = len(raw) - len(raw.translate(None, _SYMBOLS))
-    repeats = repeated_words(words)
-    failed = len(words) < MIN_WORDS or 100 * repeats > MAX_REPEAT * len(words)
+    repeats = repeated_words(hashes)
+    failed = hashes.size < MIN_WORDS or 100 * repeats > MAX_REPEAT * hashes.size
     ratio = len(compressor.compress(raw)) / len(raw) if raw else None
     chunks = [len(compressor.compress(raw[k : k + CHUNK])) / CHUNK for k in range(0, len(raw) - CHUNK + 1, CHUNK)]
     low = sum(r < CHUNK_BAND[0] for r in chunks) / len(chunks) if chunks else 0.0
@@ -79,7 +81,7 @@ def measure(text: str, compressor) -> tuple:
         verdict = "incompressible"
     else:
         verdict = "ok"
-    return len(words), len(text) - spaces, symbols, len(lines) - len(set(lines)), repeats, failed, verdict == "ok", len(raw), ratio, low, high, verdict
+    return hashes.size, points - spaces, symbols, len(lines) - len(set(lines)), repeats, failed, verdict == "ok", len(raw), ratio, low, high, verdict
 
 
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,8 +91,14 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.int64(), *[pa.float64()] * 3, pa.string()]
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
     for batch in batches:
-        if batch.num_rows:
-            columns = zip(*(measure(x.as_py() or "", compressor) for x in batch.column("text")))
+        found = []
+        raw, starts = hashing.byte_view(batch.column("text"))
+        for low, high in hashing.spans_of_rows(starts):
+            part, at = raw[starts[low] : starts[high]], starts[low : high + 1] - starts[low]
+            words, rows = hashing.word_hashes(part, at, fold=False)
+            found += [measure(part[at[k] : at[k + 1]].tobytes(), words[rows[k] : rows[k + 1]], compressor) for k in range(high - low)]
+        if found:
+            columns = zip(*found)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(columns, kinds))], names=names)
 
 

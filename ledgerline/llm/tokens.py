@@ -22,7 +22,7 @@ import pyarrow as pa
 from ledgerline.llm.hashing import byte_view, spans_of_rows
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE, LONG = 350_000, 64
+CACHE, LONG, STRETCH = 350_000, 64, 1 << 20
 MARKS, PLAIN_END = (".", ",", ";", ":", "!", "?"), "\u0250"
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -69,6 +69,16 @@ class _Pieces(dict):
             self.clear()
 
 
+def _stretches(text: str) -> Iterator[str]:
+    """A long text cut where its ids are cut anyway."""
+    low = 0
+    while low < len(text):
+        cut = _CUT.search(text, low + STRETCH - 1)
+        high = cut.start() if cut else len(text)
+        yield text[low:high]
+        low = high
+
+
 class Encoder:
     """Packed little-endian unsigned 32-bit ids of texts."""
 
@@ -101,6 +111,11 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(as_letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if len(text) <= STRETCH:
+            return self._encode(text)
+        return b"".join(map(self._encode, _stretches(text)))
+
+    def _encode(self, text: str) -> bytes:
         self.first.turn()
         self.spaced.turn()
         if _RUN.search(text):
