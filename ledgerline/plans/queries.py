@@ -444,7 +444,8 @@ def discover_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.plans.flush import SinkOptions
 
     ch = changes(spark, sf_dir)
-    ch.select("id", "value", "props", "type", "ih_offset").limit(0).createOrReplaceTempView("ll_discovered_INGEST")
+    target = ch.select("id", "value", "props", "type", "ih_offset").schema
+    spark.createDataFrame([], target).createOrReplaceTempView("ll_discovered_INGEST")
     opts = SinkOptions.discover(spark, "ll_discovered_INGEST", landing_path="", ignore_columns=["props", "TYPE"], distinct=True)
     return align_to_target(ch, opts.landing_schema)
 
