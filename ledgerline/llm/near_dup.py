@@ -14,10 +14,14 @@ probability that follows their Jaccard similarity.
    known exactly), and pairs for which the threshold is implausible are left.
    A bucket above ``BUCKET`` members is linked to its smallest member without
    an estimate, which only widens the search.
-3. The components of those candidates are dealt out in blocks bounded in rows
-   and bytes; each pair of blocks compares full shingle sets, skipping pairs
-   already linked, and emits a spanning forest of true links. Nothing is
-   dropped or capped: a large component is more pairs of blocks.
+3. The components of those candidates are verified on full shingle sets, in
+   tasks bounded in rows and bytes that skip pairs already linked and emit a
+   spanning forest of true links. A component of more than one block first
+   compares each block with itself and with ``PIVOTS`` fixed members, which
+   links most of a group of near copies in one pass whatever its size. Then
+   only members outside its largest linked part (the core) are left to compare
+   with everything; no two blocks of the core meet. Nothing is dropped or
+   capped.
 4. The components of the true links are the result.
 
 ``BANDS`` x ``ROWS`` registers miss a link at exactly the threshold (0.85)
@@ -37,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import hashing
@@ -47,7 +51,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BASE, SCALE, TOP = 1.001, 20.0, (1 << 16) - 2
 BUCKET = 512
-BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES, PIVOTS = 256, 4 << 20, 64
 NATS = 12.5
 BROADCAST_IDS = 2_000_000
 
@@ -214,6 +218,49 @@ def _verify(percent: int):
     return run
 
 
+def _blocks() -> F.Column:
+    return F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int")
+
+
+def _deal(blocks: str) -> F.Column:
+    return F.pmod(F.xxhash64("doc_id"), F.col(blocks)).cast("int")
+
+
+def _links(spark: SparkSession, members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """True links that connect every component as all pairs of ``members``
+    (``doc_id, text, n_bytes, component, blocks, block``) would."""
+    columns = ["doc_id", "text", "component", "block", "i", "j"]
+
+    def verified(tasks: DataFrame, label: str) -> DataFrame:
+        dealt = tasks.select(*columns).repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+        return scratch.keep(dealt.mapInArrow(_verify(percent), "a long, b long"), label)
+
+    own = members.withColumns({"i": F.col("block"), "j": F.col("block")})
+    large = members.where("blocks > 1")
+    nth = Window.partitionBy("component").orderBy(F.xxhash64("doc_id"), "doc_id")
+    pivots = large.select("component", "doc_id").distinct().withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= PIVOTS)
+    sent = large.join(pivots.select("component", "doc_id"), ["component", "doc_id"], "left_semi")
+    sent = sent.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("to <> block").withColumns({"block": F.col("to"), "i": F.col("to"), "j": F.col("to")})
+    first = verified(own.select(*columns).unionByName(sent.select(*columns)), "links-1")
+    if large.isEmpty():
+        return first
+
+    part = connected_components(first, scratch, "part").select(F.col("id").alias("doc_id"), F.col("component").alias("part"))
+    placed = large.select("doc_id", "text", "n_bytes", "component").join(part, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    sizes = placed.groupBy("component", "part").agg(F.count("*").alias("n"))
+    core = sizes.groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("core"))
+    placed = placed.join(core, "component").withColumn("outside", (F.col("part") != F.col("core")).cast("int"))
+    counts = placed.groupBy("component", "outside").agg(_blocks().alias("blocks")).groupBy("component").pivot("outside", [0, 1]).agg(F.first("blocks"))
+    counts = counts.select("component", F.col("0").alias("inner_blocks"), F.col("1").alias("outer_blocks")).where("outer_blocks is not null")
+    placed = placed.join(counts, "component")
+    outer = F.col("inner_blocks") + _deal("outer_blocks")
+    placed = placed.withColumn("block", F.when(F.col("outside") == 1, outer).otherwise(_deal("inner_blocks")))
+    last = F.col("inner_blocks") + F.col("outer_blocks") - 1
+    meets = F.sequence(F.when(F.col("outside") == 1, F.lit(0)).otherwise(F.col("inner_blocks")), last)
+    placed = placed.withColumn("with", F.explode(meets)).withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")})
+    return first.unionByName(verified(placed, "links-2"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``: one row per document;
     documents are linked when ``100 * intersection >= percent * union``."""
@@ -237,16 +284,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
 
     near = near.withColumnRenamed("id", "doc_id")
     plan = heads.select("doc_id", "key_a", "key_b", "n_bytes").join(near, "doc_id")
-    blocks = plan.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    plan = scratch.keep(plan.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")), "plan")
+    plan = scratch.keep(plan.join(plan.groupBy("component").agg(_blocks().alias("blocks")), "component").withColumn("block", _deal("blocks")), "plan")
     wanted = plan.select("doc_id", "component", "blocks", "block").distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    dealt = texts(docs).join(wanted, "doc_id").select(
-        "doc_id", "text", "component", "block",
-        F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j")))).alias("pair"),
-    ).select("doc_id", "text", "component", "block", "pair.i", "pair.j")
-    links = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(_verify(percent), "a long, b long")
+    members = scratch.keep(texts(docs).join(wanted, "doc_id").withColumn("n_bytes", F.octet_length("text")), "members")
+    links = _links(spark, members, percent, scratch)
     linked = connected_components(links, scratch, "linked").withColumnRenamed("id", "class_id")
 
     of_class = classes.withColumnRenamed("doc_id", "class_id").join(linked, "class_id", "left").select("key_a", "key_b", F.coalesce("component", "class_id").alias("component_id"))
@@ -254,5 +297,5 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     result = joined.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
     result = scratch.keep(result, "result")
-    scratch.drop("sketches", "classes", "heads", "near-labels", "plan")
+    scratch.drop("sketches", "classes", "heads", "plan", "members", "links-1", "links-2")
     return result

@@ -87,4 +87,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
 }
 
-SQL: dict[str, str] = {}
+def _escaped_length(value: str) -> str:
+    return f"length(replace(replace(replace(coalesce({value}, ''), '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))"
+
+
+# What SQL can say; the other operators are tested against brute force, exact
+# round trips and held-out accuracy (tests/llm).
+SQL: dict[str, str] = {
+    "op7_chat_parts": f"""
+WITH said AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST({len(chat.BEGIN) + len(chat.END)} + sum({len(chat.TURN) + len(chat.SAYS) + len(chat.STOP)} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id""",
+    "op8_minhash_near_dedup": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                      ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS shingle FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a, b FROM edges
+  UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = d.doc_id""",
+}
