@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.functions.ids import block_id
 from ledgerline.functions.temporal import days_to_date, millis_to_local_datetime, nanos_to_time_text, whole_minutes_between
