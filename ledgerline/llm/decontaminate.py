@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import hashing
-from ledgerline.llm.common import texts
+from ledgerline.llm.common import reach_workers, texts
 
 SIMILARITY, RADIUS, BITS = 0.8, 24, 64
 BLOCK_BYTES = 16 << 20
@@ -136,35 +136,38 @@ class Index:
         return best
 
 
+def _matches(index: Index, column: pa.Array) -> Iterator[tuple[int, int, tuple]]:
+    """``(row, item, window)`` of every verified match in a column of texts."""
+    raw, starts = hashing.byte_view(column)
+    for low, high in hashing.spans_of_rows(starts):
+        part, at = raw[starts[low] : starts[high]], starts[low : high + 1] - starts[low]
+        hashes, rows = hashing.word_hashes(part, at, hashing.NOT_WORD)
+        shingles, begin = hashing.shingle_hashes(hashes, rows)
+        spot = np.minimum(np.searchsorted(index.grams, shingles), max(index.grams.size - 1, 0))
+        hits = index.grams[spot] == shingles if index.grams.size else np.zeros(shingles.size, dtype=bool)
+        touched = np.unique(np.searchsorted(begin, np.flatnonzero(hits), side="right") - 1)
+        if not touched.size:
+            continue
+        first, last, _ = words_of(part, at)
+        lower = hashing.LOWER[part].tobytes()
+        for row in touched.tolist():
+            if rows[row + 1] - rows[row] < hashing.SHINGLE:
+                continue
+            base = int(rows[row])
+
+            def words(i: int, j: int) -> list[bytes]:
+                return [lower[a:b] for a, b in zip(first[base + i : base + j], last[base + i : base + j])]
+
+            own = slice(begin[row], begin[row + 1])
+            for item, hit in index.search(shingles[own], hits[own], words).items():
+                yield low + row, index.items[item], hit
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
         for batch in batches:
-            found = []
             ids = batch.column("doc_id")
-            raw, starts = hashing.byte_view(batch.column("text"))
-            for low, high in hashing.spans_of_rows(starts):
-                part, at = raw[starts[low] : starts[high]], starts[low : high + 1] - starts[low]
-                hashes, rows = hashing.word_hashes(part, at, hashing.NOT_WORD)
-                shingles, begin = hashing.shingle_hashes(hashes, rows)
-                spot = np.minimum(np.searchsorted(index.grams, shingles), max(index.grams.size - 1, 0))
-                hits = index.grams[spot] == shingles if index.grams.size else np.zeros(shingles.size, dtype=bool)
-                touched = np.unique(np.searchsorted(begin, np.flatnonzero(hits), side="right") - 1)
-                if not touched.size:
-                    continue
-                first, last, _ = words_of(part, at)
-                lower = hashing.LOWER[part].tobytes()
-                for row in touched.tolist():
-                    if rows[row + 1] - rows[row] < hashing.SHINGLE:
-                        continue
-                    base = int(rows[row])
-
-                    def words(i: int, j: int) -> list[bytes]:
-                        return [lower[a:b] for a, b in zip(first[base + i : base + j], last[base + i : base + j])]
-
-                    own = slice(begin[row], begin[row + 1])
-                    for item, hit in index.search(shingles[own], hits[own], words).items():
-                        found.append((ids[low + row].as_py(), index.items[item], *hit))
+            found = [(ids[row].as_py(), item, *hit) for row, item, hit in _matches(shared.value, batch.column("text"))]
             if found:
                 columns = zip(*found)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()]
@@ -174,17 +177,44 @@ def _scan(shared):
     return run
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, first_word, n_words, distance, similarity)`` of
-    every document that holds a passage of a benchmark item."""
+def _drop(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[row for row, _, _ in _matches(shared.value, batch.column("text"))]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
+def _indexes(spark: SparkSession, benchmark: DataFrame) -> list:
+    """The benchmark as broadcast indexes of about ``BLOCK_BYTES`` of text."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1))))
-    found = None
+    out = []
     for block in range(blocks):
         own = dealt.where(F.col("block") == block).orderBy("item_id", "text").toArrow()
-        index = spark.sparkContext.broadcast(Index(own.column("item_id").to_pylist(), own.column("text")))
+        out.append(spark.sparkContext.broadcast(Index(own.column("item_id").to_pylist(), own.column("text"))))
+    return out
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a passage of a benchmark item:
+    a filter of the rows as they are read, one pass per block of the
+    benchmark, without a shuffle."""
+    reach_workers(spark)
+    for index in _indexes(spark, benchmark):
+        docs = docs.mapInArrow(_drop(index), docs.schema)
+    return docs
+
+
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(doc_id, item_id, first_word, n_words, distance, similarity)`` of
+    every document that holds a passage of a benchmark item."""
+    found = None
+    for index in _indexes(spark, benchmark):
         part = texts(docs).mapInArrow(_scan(index), _SCHEMA)
         found = part if found is None else found.unionByName(part)
     if found is None:

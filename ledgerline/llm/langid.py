@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import reach_workers, texts
 from ledgerline.llm.hashing import byte_view
 
 UNKNOWN = "und"
@@ -217,19 +218,22 @@ def pool(model: Model, column: pa.Array) -> np.ndarray:
 def train(docs: DataFrame) -> Model | None:
     """Fit on the bounded sample; None if no document has a language."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).where(F.length("text") > 0)
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
-    if not langs:
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()}
+    if not counts:
         return None
+    # hashes far beyond the rank wanted need no ranking
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, 4 * DOCS_PER_LANG / n)]), F.col("lang"))
     room = F.greatest(F.length("text") - SNIPPET_CHARS, F.lit(0)) + 1
     pieces = [F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit(k)), room).cast("int") + 1, F.lit(SNIPPET_CHARS)) for k in range(SNIPPETS)]
     rank = Window.partitionBy("lang").orderBy("draw", "doc_id")
     sample = (
-        rows.where(F.col("lang").isin(langs))
-        .select("doc_id", "lang", F.xxhash64("doc_id").alias("draw"), F.array(*pieces).alias("pieces"))
+        rows.where(F.col("lang").isin(list(counts)))
+        .withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / (1 << 31)).where(F.col("draw") < share)
+        .select("doc_id", "lang", "draw", F.array(*pieces).alias("pieces"))
         .withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= DOCS_PER_LANG)
         .select("lang", "nth", F.explode("pieces").alias("piece")).orderBy("lang", "nth", "piece").toArrow()
     )
-    langs = sorted(langs)
+    langs = sorted(counts)
     number = {lang: k for k, lang in enumerate(langs)}
     chunks = Chunks(*byte_view(sample.column("piece")))
     lang = np.array([number[x] for x in sample.column("lang").to_pylist()])[chunks.owner]
@@ -240,8 +244,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.col("text").rlike(r"\p{L}").alias("readable"))
+    rows = texts(docs).select("doc_id", "text", F.col("text").rlike(r"\p{L}").alias("readable"))
     if model is None:
         return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
@@ -257,6 +260,22 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_readable(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """``docs`` without the texts that have no letter or whose best language
+    scores below ``least``: a filter of the rows as they are read, without a
+    shuffle. Without a model nothing can be judged but the letters."""
+    lettered = docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    if model is None:
+        return lettered
+    reach_workers(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(pool(model, batch.column("text")).max(axis=1, initial=0) >= least))
+
+    return lettered.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the labelled rows of ``docs`` and predict all of them."""
     return predict(docs, train(docs))

@@ -234,6 +234,8 @@ def test_contamination_of_odd_and_empty_tables(spark, odd, empty):
     out = D.contaminated(spark, odd, bench).collect()
     assert [(r.doc_id, r.item_id, r.first_word) for r in out] == [(4, 1, 0)]
     assert D.contaminated(spark, empty, bench).count() == 0
+    left = D.drop_contaminated(spark, odd, bench)
+    assert left.columns == odd.columns and left.count() == odd.count() - 1 and left.where("doc_id = 4").count() == 0
     assert D.contaminated(spark, odd, bench.where("item_id > 5")).count() == 0
 
 
