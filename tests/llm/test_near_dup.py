@@ -71,7 +71,6 @@ def test_groups_of_copies_chains_and_near_misses(spark, monkeypatch):
     # the same by the paths of large buckets and large components
     monkeypatch.setattr(N, "BUCKET", 8)
     monkeypatch.setattr(N, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(N, "PIVOTS", 3)
     monkeypatch.setattr(N, "BROADCAST_IDS", 0)
     assert answer(N.near_duplicates(spark, docs(spark, texts))) == expected
 
