@@ -13,18 +13,26 @@ from ledgerline.session import work_dir
 from ledgerline.sinks import fs
 
 
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did (on a
-    cluster that ships it otherwise, the path is simply not there)."""
+    cluster that ships it otherwise, the path is simply not there), and send
+    them whole texts in batches of ``BATCH_ROWS`` unless the session says
+    otherwise: a batch is held several times over on its way."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def texts(docs: DataFrame) -> DataFrame:
