@@ -11,9 +11,9 @@ the shard before it), ``n_ids`` and ``payload``, which is, little-endian:
     i64 doc_id x documents (null ids are marked in the next field's top bit)
     u32 ids of each document
     u32 byte offset of each block, counted from the first block
-    blocks of BLOCK ids (the last may be shorter):
+    blocks of BLOCK ids (the last one filled up with its last id):
         u32 minimum, u8 width, u8 0, u16 exceptions
-        BLOCK x width bits: id - minimum, low bits
+        width planes of BLOCK bits: the bits of id - minimum, lowest first
         u16 position x exceptions, u32 id - minimum x exceptions
 
 The width is that of the ``PERCENTILE`` of a block's differences; larger ones
@@ -54,38 +54,44 @@ def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     rank = min(BLOCK - 1, int(np.ceil(PERCENTILE * BLOCK)) - 1)
     typical = np.partition(rest, rank, axis=1)[:, rank]
     width = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(np.int64)
-    limit = (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)
+    limit = ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
     packed: list[bytes] = [b""] * count
-    for bits in np.unique(width):
+    for bits in np.unique(width[width > 0]):
         own = np.flatnonzero(width == bits)
-        if bits:
-            low = rest[own] & np.uint32((1 << int(bits)) - 1)
-            spread = ((low[:, :, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-            rows = np.packbits(spread.reshape(own.size, -1), axis=1, bitorder="little")
-            for k, row in zip(own, rows):
-                packed[k] = row.tobytes()
+        low = rest[own] if bits > 16 else rest[own].astype(np.uint16)
+        planes = [np.packbits(((low >> low.dtype.type(k)) & low.dtype.type(1)).astype(np.uint8), axis=1, bitorder="little") for k in range(bits)]
+        for k, row in zip(own, np.concatenate(planes, axis=1)):
+            packed[k] = row.tobytes()
+    over = rest > limit[:, None]
+    many = over.sum(axis=1)
     blocks = []
     for k in range(count):
-        over = np.flatnonzero(rest[k] > limit[k])
-        head = struct.pack("<IBBH", int(least[k]), int(width[k]), 0, over.size)
-        blocks.append(head + packed[k] + over.astype("<u2").tobytes() + rest[k][over].astype("<u4").tobytes())
+        block = struct.pack("<IBBH", int(least[k]), int(width[k]), 0, int(many[k])) + packed[k]
+        if many[k]:
+            at = np.flatnonzero(over[k])
+            block += at.astype("<u2").tobytes() + rest[k][at].astype("<u4").tobytes()
+        blocks.append(block)
     sizes = np.array([len(b) for b in blocks], dtype=np.uint64)
     return blocks, (np.cumsum(sizes) - sizes).astype(np.uint32)
 
 
-def decode_block(data: bytes, at: int) -> np.ndarray:
-    """All ``BLOCK`` ids of the block that starts at ``at``."""
-    least, width, _, over = struct.unpack_from("<IBBH", data, at)
-    at += 8
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, BLOCK * width // 8, at), bitorder="little").reshape(BLOCK, width)
-        rest = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
-        at += BLOCK * width // 8
-    else:
-        rest = np.zeros(BLOCK, dtype=np.uint32)
-    if over:
-        rest[np.frombuffer(data, "<u2", over, at)] = np.frombuffer(data, "<u4", over, at + 2 * over)
-    return rest + np.uint32(least)
+def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """All ids of the blocks that start at ``starts``, in order."""
+    raw = np.frombuffer(data, dtype=np.uint8)
+    heads = np.frombuffer(raw[starts[:, None] + np.arange(8)].tobytes(), dtype=[("least", "<u4"), ("width", "u1"), ("zero", "u1"), ("over", "<u2")])
+    out = np.zeros((starts.size, BLOCK), dtype=np.uint32)
+    for bits in np.unique(heads["width"][heads["width"] > 0]):
+        own = np.flatnonzero(heads["width"] == bits)
+        packed = raw[starts[own][:, None] + 8 + np.arange(int(bits) * BLOCK // 8)]
+        low = np.zeros((own.size, BLOCK), dtype=np.uint16 if bits <= 16 else np.uint32)
+        for k in range(bits):
+            plane = np.unpackbits(packed[:, k * BLOCK // 8 : (k + 1) * BLOCK // 8], axis=1, bitorder="little")
+            low |= plane.astype(low.dtype) << low.dtype.type(k)
+        out[own] = low
+    for k in np.flatnonzero(heads["over"]):
+        at, many = int(starts[k]) + 8 + int(heads["width"][k]) * BLOCK // 8, int(heads["over"][k])
+        out[k, np.frombuffer(data, "<u2", many, at)] = np.frombuffer(data, "<u4", many, at + 2 * many)
+    return (out + heads["least"][:, None]).reshape(-1)
 
 
 def encode_segment(doc_ids: list[int | None], packed: list[bytes]) -> tuple[bytes, int]:
@@ -116,9 +122,9 @@ def read_ids(payload: bytes, low: int, high: int) -> np.ndarray:
     high = min(high, ids)
     if low >= high:
         return np.zeros(0, dtype=np.uint32)
-    blocks = range(low // BLOCK, -(-high // BLOCK))
-    joined = np.concatenate([decode_block(payload, base + int(starts[k])) for k in blocks])
-    return joined[low - blocks[0] * BLOCK : high - blocks[0] * BLOCK]
+    first = low // BLOCK
+    joined = decode_blocks(payload, base + starts[first : -(-high // BLOCK)].astype(np.int64))
+    return joined[low - first * BLOCK : high - first * BLOCK]
 
 
 def decode_segment(payload: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
