@@ -20,8 +20,10 @@ probability that follows their Jaccard similarity.
    dropped or capped: a large component is more pairs of blocks.
 4. The components of the true links are the result.
 
-``BANDS`` x ``ROWS`` registers miss a link at exactly the threshold (0.85)
-with probability (1 - 0.85^5)^24, below 1e-6, and less above it; the
+``REGISTERS`` are cut into bands of ``ROWS`` or, for a lower threshold, of fewer
+registers, so that all bands miss a link at exactly the threshold with
+probability below ``MISS``, and less above it: 24 bands of 5 at 0.85
+((1 - 0.85^5)^24 = 8e-7), 30 bands of 4 at 0.8 ((1 - 0.8^4)^30 = 1e-7). The
 likelihood test leaves a further five standard deviations.
 
 Empty or null text: an empty set, linked with nothing, its own component. A
@@ -43,8 +45,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import hashing
 from ledgerline.llm.common import Scratch, connected_components, sorted_groups, texts
 
-BANDS, ROWS = 24, 5
-REGISTERS = BANDS * ROWS
+REGISTERS, ROWS, MISS = 120, 5, 1e-6
 BASE, SCALE, TOP = 1.001, 20.0, (1 << 16) - 2
 BUCKET = 512
 BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
@@ -71,9 +72,16 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def _band_keys(registers: np.ndarray) -> np.ndarray:
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(40)
-    for row in registers.reshape(BANDS, ROWS).T:
+def band_rows(threshold: float) -> int:
+    """Registers in a band: as many as miss a link at exactly ``threshold``
+    with a probability below ``MISS``."""
+    fits = [r for r in range(1, ROWS + 1) if REGISTERS % r == 0 and (1 - threshold**r) ** (REGISTERS // r) < MISS]
+    return max(fits, default=1)
+
+
+def _band_keys(registers: np.ndarray, rows: int) -> np.ndarray:
+    keys = np.arange(1, REGISTERS // rows + 1, dtype=np.uint64) << np.uint64(40)
+    for row in registers.reshape(-1, rows).T:
         keys = hashing.mix64(keys ^ row.astype(np.uint64))
     return keys.view(np.int64)
 
@@ -147,31 +155,34 @@ def _edges(ids: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[at[:, 0]], pa.int64()), pa.array(ids[at[:, 1]], pa.int64())], names=["a", "b"])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, starts = hashing.byte_view(batch.column("text"))
-        rows: dict[str, list] = {k: [] for k in ("n", "a", "b", "registers", "bands")}
-        for shingles in hashing.row_shingles(batch.column("text")):
-            key = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-            registers = registers_of(shingles) if shingles.size else None
-            rows["n"].append(shingles.size)
-            rows["a"].append(int.from_bytes(key[:8], "little", signed=True))
-            rows["b"].append(int.from_bytes(key[8:], "little", signed=True))
-            rows["registers"].append(None if registers is None else registers.tobytes())
-            rows["bands"].append(None if registers is None else _band_keys(registers))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), pa.array(rows["n"], pa.int64()), pa.array(np.diff(starts), pa.int64()),
-                pa.array(rows["a"], pa.int64()), pa.array(rows["b"], pa.int64()),
-                pa.array(rows["registers"], pa.binary()), pa.array(rows["bands"], pa.list_(pa.int64())),
-            ],
-            names=["doc_id", "n_shingles", "n_bytes", "key_a", "key_b", "registers", "bands"],
-        )
-
-
-def sketch(docs: DataFrame) -> DataFrame:
+def _sketch(band: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, starts = hashing.byte_view(batch.column("text"))
+            rows: dict[str, list] = {k: [] for k in ("n", "a", "b", "registers", "bands")}
+            for shingles in hashing.row_shingles(batch.column("text")):
+                key = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+                registers = registers_of(shingles) if shingles.size else None
+                rows["n"].append(shingles.size)
+                rows["a"].append(int.from_bytes(key[:8], "little", signed=True))
+                rows["b"].append(int.from_bytes(key[8:], "little", signed=True))
+                rows["registers"].append(None if registers is None else registers.tobytes())
+                rows["bands"].append(None if registers is None else _band_keys(registers, band))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), pa.array(rows["n"], pa.int64()), pa.array(np.diff(starts), pa.int64()),
+                    pa.array(rows["a"], pa.int64()), pa.array(rows["b"], pa.int64()),
+                    pa.array(rows["registers"], pa.binary()), pa.array(rows["bands"], pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "n_shingles", "n_bytes", "key_a", "key_b", "registers", "bands"],
+            )
+
+    return run
+
+
+def sketch(docs: DataFrame, threshold: float) -> DataFrame:
     """Set size, set key, registers and band keys of every document."""
-    return texts(docs).mapInArrow(_sketch, _SKETCH_SCHEMA)
+    return texts(docs).mapInArrow(_sketch(band_rows(threshold)), _SKETCH_SCHEMA)
 
 
 def _bucket_edges(threshold: float):
@@ -219,7 +230,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     documents are linked when ``100 * intersection >= percent * union``."""
     scratch = Scratch(spark, "near-dup")
     threshold = percent / 100
-    sketches = scratch.keep(sketch(docs), "sketches")
+    sketches = scratch.keep(sketch(docs, threshold), "sketches")
     sets = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = sets.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("doc_id"))
     classes = scratch.keep(classes, "classes")

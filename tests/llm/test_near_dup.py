@@ -118,3 +118,31 @@ def test_components_of_paths_stars_and_cycles(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     found = {r.id: r.component for r in connected_components(df, Scratch(spark, "cc"), "t").collect()}
     assert found == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200, 202: 200}
+
+
+def test_pipeline_stage_equals_brute_force_at_80(spark, documents):
+    import corpus_pipeline as P
+
+    rng = random.Random(12)
+    first = documents.selectExpr("max(doc_id)").first()[0] + 1
+    texts = []
+    for group in range(30):
+        words = [f"g{group}w{k}" for k in range(160)]
+        texts.append(" ".join(words))
+        for edits in (3, 4):  # similarities of 0.82 and 0.77
+            for k in range(edits):
+                words[10 + 40 * k] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    df = documents.select(*P.COLUMNS).unionByName(docs(spark, texts, first).select(*P.COLUMNS))
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    want = {i for i, (_, component) in components(rows, 80).items() if i == component}
+    assert len(want) < sum(i == component for i, (_, component) in components(rows, 85).items())
+    kept = P.drop_near_duplicates(spark, df, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
+
+
+def test_bands_miss_less_than_stated():
+    assert [N.band_rows(x) for x in (0.85, 0.8)] == [5, 4]
+    for percent in range(30, 100):
+        rows = N.band_rows(percent / 100)
+        assert N.REGISTERS % rows == 0 and (1 - (percent / 100) ** rows) ** (N.REGISTERS // rows) < N.MISS
