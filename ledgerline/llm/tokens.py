@@ -6,8 +6,9 @@ ids of a text are those of the pieces in between, in order. Each worker keeps
 the ids of pieces it has met, in two generations of ``CACHE`` pieces, and asks
 the tokenizer for new ones alone: a piece of letters goes straight to the
 tokenizer's BPE model, one with a closing mark is its letters and the mark,
-and anything else takes the whole tokenizer. Strings of special tokens in a
-text are ordinary text.
+and anything else takes the whole tokenizer. The vocabulary's added tokens are met
+in a text as the tokenizer meets them: it is split at their contents first, or
+goes to the whole tokenizer if one of them takes more than its content.
 """
 
 from __future__ import annotations
@@ -89,8 +90,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: array("I", [k]).tobytes() for k, t in added.items()}
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        # the longest of those that begin at one place
+        contents = map(re.escape, sorted(self.added, key=len, reverse=True))
+        self.split = re.compile(f"({'|'.join(contents)})") if added else None
         self.byte_letters = _byte_letters()
         self.first, self.spaced = _Pieces(self, ""), _Pieces(self, " ")
 
@@ -111,6 +117,15 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(as_letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if self.split is None or not self.split.search(text):
+            return self._between(text)
+        if not self.plain:
+            return self.whole(text)
+        parts = self.split.split(text)
+        return b"".join(self.added[p] if k % 2 else self._between(p) for k, p in enumerate(parts))
+
+    def _between(self, text: str) -> bytes:
+        """Of a text, or a part of one, without added tokens."""
         if len(text) <= STRETCH:
             return self._encode(text)
         return b"".join(map(self._encode, _stretches(text)))

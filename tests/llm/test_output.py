@@ -32,6 +32,40 @@ def test_pieces_give_the_ids_of_whole_texts(monkeypatch):
     assert [encoder.encode(t) for t in texts] == want
 
 
+def fresh_ids(text, path=None):
+    from tokenizers import Tokenizer
+
+    return np.array(Tokenizer.from_file(path or tokens.default_path()).encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
+def test_added_tokens_in_a_text_get_their_ids(spark, monkeypatch, tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    rng = random.Random(7)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", "ab", " ", "  ", "\n", ".", "é", "pad", "pad it", " pad"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> \n<|endoftext|>a"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 20))) for _ in range(100)]
+    encoder = tokens.Encoder.load(None)
+    plain = Tokenizer.from_file(tokens.default_path())
+    flagged = Tokenizer.from_file(tokens.default_path())
+    plain.add_tokens([AddedToken("pad", normalized=False), AddedToken("pad it", normalized=False)])
+    flagged.add_tokens([AddedToken("pad", lstrip=True, single_word=True)])
+    encoders = [(encoder, Tokenizer.from_file(tokens.default_path()))]
+    for name, tokenizer in (("plain", plain), ("flagged", flagged)):
+        tokenizer.save(f"{tmp_path}/{name}.json")
+        encoders.append((tokens.Encoder(f"{tmp_path}/{name}.json"), Tokenizer.from_file(f"{tmp_path}/{name}.json")))
+    for stretch in (tokens.STRETCH, 7):
+        monkeypatch.setattr(tokens, "STRETCH", stretch)
+        for own, alone in encoders:
+            assert [own.encode(t) for t in texts] == [np.array(alone.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    # and in the operators' rows
+    want = {end: [zlib.crc32(np.append(fresh_ids(t), end).astype("<u4").tobytes()) for t in texts[:3]] for end in (token_files.END, packing.END)}
+    path = f"{Scratch(spark, 'files').root}/tokens"
+    token_files.write_token_files(docs(spark, texts[:3]), path)
+    assert [r.ids_crc32 for r in token_files.read_token_files(spark, path).orderBy("doc_id").collect()] == want[token_files.END]
+    assert [r.ids_crc32 for r in packing.pack(spark, docs(spark, texts[:3])).orderBy("doc_id").collect()] == want[packing.END]
+
+
 def check_pack(rows, texts, size):
     """``rows``: pieces as rows; ``texts``: one per document id."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)
