@@ -2,18 +2,20 @@
 
 Words are runs of letters, digits and non-ASCII characters, lower-cased in
 A-Z; shingles are five words. For every benchmark item of ``m`` words, all
-windows of ``m`` words of every text are in question:
+windows of ``m`` words of every text are in question; a text of fewer words
+is one window, the whole of it:
 
-1. A window can only reach a weighted Jaccard similarity ``s`` with an item of
-   as many shingles ``S`` if at least ``2 s S / (1 + s)`` of its shingles occur
-   in the benchmark at all. Prefix sums of those hits leave out every other
-   window without loss.
+1. A window of ``W`` shingles can only reach a weighted Jaccard similarity ``s``
+   with an item of ``S`` shingles if at least ``s (W + S) / (1 + s)`` of its
+   shingles occur in the benchmark at all. Prefix sums of those hits leave out
+   every other window without loss.
 2. The remaining windows get a 64-bit SimHash of their weighted shingles. Its
    bits are cut into ``RADIUS + 1`` blocks; fingerprints within ``RADIUS``
    agree on a block, so the blocks' tables find all item fingerprints within
    the radius. At a similarity of exactly 0.8 a window is farther than
    ``RADIUS`` with probability about 2e-6 (64 bits, 15 % of them expected to
-   differ), and less above it.
+   differ), and less above it. Of a window shorter than the item up to 19 % are
+   expected to differ, so that its limit is ``SHORT_RADIUS``.
 3. The exact weighted-shingle similarity (sum of smaller over sum of larger
    counts, on the words themselves) verifies each candidate.
 
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import hashing
 from ledgerline.llm.common import reach_workers, texts
 
-SIMILARITY, RADIUS, BITS = 0.8, 24, 64
+SIMILARITY, RADIUS, SHORT_RADIUS, BITS = 0.8, 24, 30, 64
 BLOCK_BYTES = 16 << 20
 _EDGES = [round(k * BITS / (RADIUS + 1)) for k in range(RADIUS + 2)]
 _SCHEMA = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
@@ -58,9 +60,9 @@ def _block_values(prints: np.ndarray) -> list[np.ndarray]:
     return [(prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(_EDGES, _EDGES[1:])]
 
 
-def need(shingles: int, similarity: float = SIMILARITY) -> int:
-    """Shared shingles that two windows of ``shingles`` each need."""
-    return int(np.ceil(2 * similarity * shingles / (1 + similarity) - 1e-9))
+def need(window: int, item: int, similarity: float = SIMILARITY) -> int:
+    """Shared shingles that a window and an item of so many shingles need."""
+    return int(np.ceil(similarity * (window + item) / (1 + similarity) - 1e-9))
 
 
 def weighted_similarity(a: list[bytes], b: list[bytes]) -> float:
@@ -102,7 +104,7 @@ class Index:
             tables = [{int(v): np.flatnonzero(values == v) for v in np.unique(values)} for values in _block_values(prints)]
             self.sizes[size] = (where, prints, tables)
 
-    def near(self, size: int, prints: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def near(self, size: int, prints: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[int, int, int]]:
         """``(window, item, distance)`` of all items within the radius."""
         where, own, tables = self.sizes[size]
         values = _block_values(prints)
@@ -112,7 +114,7 @@ class Index:
                 continue
             found = np.unique(np.concatenate(met))
             apart = np.bitwise_count(own[found] ^ prints[k])
-            for item, distance in zip(found[apart <= RADIUS], apart[apart <= RADIUS]):
+            for item, distance in zip(found[apart <= radius], apart[apart <= radius]):
                 yield k, int(where[item]), int(distance)
 
     def search(self, shingles: np.ndarray, hits: np.ndarray, words) -> dict[int, tuple]:
@@ -121,18 +123,21 @@ class Index:
         before = np.concatenate([[0], np.cumsum(hits)])
         best: dict[int, tuple] = {}
         for size in self.sizes:
-            span = size - hashing.SHINGLE + 1
-            if span > shingles.size:
+            whole = size - hashing.SHINGLE + 1
+            span = min(whole, shingles.size)
+            least = need(span, whole)
+            if least > span:
                 break
-            windows = np.flatnonzero(before[span:] - before[:-span] >= need(span))
+            n_words, radius = span + hashing.SHINGLE - 1, RADIUS if span == whole else SHORT_RADIUS
+            windows = np.flatnonzero(before[span:] - before[:-span] >= least)
             for low in range(0, windows.size, 256):
                 at = windows[low : low + 256]
                 prints = simhash(shingles[at[:, None] + np.arange(span)])
-                for k, item, distance in self.near(size, prints):
+                for k, item, distance in self.near(size, prints, radius):
                     start = int(at[k])
-                    score = weighted_similarity(words(start, start + size), self.words[item])
+                    score = weighted_similarity(words(start, start + n_words), self.words[item])
                     if score >= SIMILARITY and (item not in best or score > best[item][3]):
-                        best[item] = (start, size, distance, score)
+                        best[item] = (start, n_words, distance, score)
         return best
 
 

@@ -207,6 +207,37 @@ def test_contamination_equals_brute_force(spark, documents):
     assert {(r.doc_id, r.item_id): (r.first_word, pytest.approx(r.similarity)) for r in found} == want
 
 
+def test_texts_shorter_than_an_item_equal_brute_force(spark):
+    rng = random.Random(10)
+    items = {k: " ".join(f"i{k}w{j}" if k % 2 else f"v{rng.randrange(40)}" for j in range(rng.choice([5, 9, 10, 14, 24, 45, 59]))) for k in range(60)}
+    items[60], items[61] = "again and " * 12, "one two three four five six seven eight nine"
+    texts = {}
+    for k in range(400):
+        words = words_of(items[k % 62])
+        cut = rng.randrange(0, max(2, len(words) // 4))
+        words = words[rng.randrange(cut + 1) :]
+        words = words[: len(words) - rng.randrange(0, 3)]
+        if rng.random() < 0.3:
+            words[rng.randrange(len(words))] = "changed"
+        texts[k] = " ".join(words)
+    texts[400] = " ".join(words_of(items[61])[1:])
+    want = contaminated(texts, items)
+    longer = {}
+    for i, text in texts.items():
+        for j, item in items.items():
+            own, wanted = [w.encode() for w in words_of(text)], [w.encode() for w in words_of(item)]
+            if 5 <= len(own) < len(wanted) and (s := D.weighted_similarity(own, wanted)) >= D.SIMILARITY:
+                longer[i, j] = (0, len(own), s)
+    assert len(longer) > 50 and (400, 61) in longer and not set(want) & set(longer)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    df = docs(spark, [texts[k] for k in range(401)])
+    found = {(r.doc_id, r.item_id): r for r in D.contaminated(spark, df, bench).collect()}
+    assert {k: (r.first_word, pytest.approx(r.similarity)) for k, r in found.items()} == want | {k: (a, s) for k, (a, _, s) in longer.items()}
+    assert all(found[k].n_words == n for k, (_, n, _) in longer.items())
+    left = {r.doc_id for r in D.drop_contaminated(spark, df, bench).collect()}
+    assert left == set(texts) - {i for i, _ in found}
+
+
 def test_contamination_in_blocks_of_the_benchmark(spark, documents, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     once = sorted(D.contaminated(spark, documents, bench).collect())
