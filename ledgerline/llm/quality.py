@@ -3,8 +3,10 @@
 A document's zstandard ratio (compressed over raw bytes) is held against the
 band of its length: below it the text repeats itself, above it it is close to
 random. Fixed chunks of ``CHUNK`` bytes are held against one band of their
-own, and a document goes when more than ``CHUNK_SHARE`` of them fall outside,
-so a repetitive or incompressible stretch shows in a long text too. The base
+own, and a document goes when more than ``CHUNK_SHARE`` of its bytes fall
+outside, so a repetitive or incompressible stretch shows in a long text too.
+The bytes behind the last whole chunk are judged by the text's last ``CHUNK``
+bytes; a text shorter than a chunk by the band of its length alone. The base
 rules count words, symbols, repeated lines and repeated eight-word windows.
 
 Words are runs of bytes other than ASCII white space, as they stand; equal
@@ -69,9 +71,13 @@ def measure(raw: bytes, hashes: np.ndarray, compressor) -> tuple:
     repeats = repeated_words(hashes)
     failed = hashes.size < MIN_WORDS or 100 * repeats > MAX_REPEAT * hashes.size
     ratio = len(compressor.compress(raw)) / len(raw) if raw else None
-    chunks = [len(compressor.compress(raw[k : k + CHUNK])) / CHUNK for k in range(0, len(raw) - CHUNK + 1, CHUNK)]
-    low = sum(r < CHUNK_BAND[0] for r in chunks) / len(chunks) if chunks else 0.0
-    high = sum(r > CHUNK_BAND[1] for r in chunks) / len(chunks) if chunks else 0.0
+    # (end, bytes that no chunk before it judges)
+    chunks = [(k, CHUNK) for k in range(CHUNK, len(raw) + 1, CHUNK)]
+    if chunks and len(raw) % CHUNK:
+        chunks.append((len(raw), len(raw) % CHUNK))
+    judged = [(len(compressor.compress(raw[end - CHUNK : end])) / CHUNK, n) for end, n in chunks]
+    low = sum(n for r, n in judged if r < CHUNK_BAND[0]) / len(raw) if chunks else 0.0
+    high = sum(n for r, n in judged if r > CHUNK_BAND[1]) / len(raw) if chunks else 0.0
     _, least, most = next(b for b in BANDS if len(raw) < b[0])
     if ratio is None or failed:
         verdict = "base"

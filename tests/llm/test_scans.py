@@ -152,6 +152,20 @@ def test_bands_reject_repetitive_and_incompressible_texts(spark):
     assert out == ["ok", "incompressible", "repetitive", "incompressible", "base"]
 
 
+def test_the_end_of_a_text_is_judged_too(spark):
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(250)]
+    prose = " ".join(rng.choice(vocabulary) for _ in range(900))
+    noise = "".join(chr(rng.randrange(33, 127)) for _ in range(1_000))
+    few = "ab " * 330
+    df = docs(spark, [prose[:1_047] + noise, prose[:1_047] + few, prose[:1_047] + prose[2_000:3_000], prose[:4_096] + noise[:1], prose[:900] + noise[:100]])
+    out = quality.compression_bands(df).orderBy("doc_id").collect()
+    assert out[0].ratio < 0.74 and 0.4 < out[0].high_chunks < 0.5 and out[0].verdict == "incompressible"
+    assert 0.4 < out[1].low_chunks < 0.5 and not out[1].kept
+    assert [r.verdict for r in out[2:]] == ["ok"] * 3
+    assert all(r.low_chunks == r.high_chunks == 0 for r in out[2:])
+
+
 def test_good_documents_stay(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1 and toxic = 0")
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
