@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, decontaminate, langid, licenses, near_dup, packing, quality, secrets, sharding, token_files
+from ledgerline.llm import bestfit, chat, decontaminate, divergence, langid, licenses, near_dup, packing, quality, secrets, sharding, spelling, token_files
 from ledgerline.llm.common import Scratch, table
 
 
@@ -74,6 +74,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(spark, table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_compression_bands": op2_compression_bands,
@@ -85,8 +97,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_files": op10_token_files,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
+
 def _escaped_length(value: str) -> str:
     return f"length(replace(replace(replace(coalesce({value}, ''), '&', '&amp;'), '<', '&lt;'), '[', '&#91;'))"
 
@@ -127,4 +143,32 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.low,
        d.doc_id = least(d.doc_id, coalesce(m.low, d.doc_id)) AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = d.doc_id""",
+    "op12_source_divergence": r"""
+WITH rows AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+said AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows),
+counts AS (SELECT lang, source, term, count(*) AS n FROM said GROUP BY ALL),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM said GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+sizes AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(lang_n) AS HUGEINT) AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM rows),
+every AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM every GROUP BY ALL),
+share AS (
+  SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 1)) // (total + v) AS BIGINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + v) AS BIGINT) AS in_lang
+  FROM every JOIN totals USING (lang, source) JOIN sizes USING (lang)),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN priced x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - in_lang) * (p - in_lang) // in_lang AS BIGINT) FROM share WHERE n > 0 AND p > in_lang),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
