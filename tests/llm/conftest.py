@@ -5,9 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-LONG = "many words of one long text, and then some more. " * 4_000
+from llm_support import LONG, SCHEMA, SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -32,7 +30,3 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def docs(spark, texts, first=0):
-    return spark.createDataFrame([(first + k, t, "en", "a", len(t or "")) for k, t in enumerate(texts)], SCHEMA)

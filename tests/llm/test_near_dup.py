@@ -8,7 +8,7 @@ import numpy as np
 from ledgerline.llm import near_dup as N
 from ledgerline.llm.common import Scratch, connected_components
 
-from conftest import docs
+from llm_support import docs
 
 
 def shingle_set(text):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import chat, langid, packing, sharding, token_files, tokens
 from ledgerline.llm.common import Scratch
 
-from conftest import SF, docs
+from llm_support import SF, docs
 
 
 def whole_ids(texts, end):

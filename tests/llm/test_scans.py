@@ -10,7 +10,7 @@ import pytest
 from ledgerline.llm import decontaminate as D
 from ledgerline.llm import hashing, licenses, quality, secrets
 
-from conftest import LONG, docs
+from llm_support import LONG, docs
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
