@@ -23,7 +23,8 @@ from ledgerline.operators.validate import fail_on_invalid, validate_changes
 from ledgerline.plans.flush import SinkOptions, process_block
 from ledgerline.session import get_session, work_dir
 from ledgerline.sinks.staging import load_staged, stage_csv
-from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sinks.current import CurrentTable
+from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.sources.catalog import final_columns, target_columns
 from ledgerline.sources.changes import read_changes
 from ledgerline.sources.decode import decode_envelope, decode_schemaless
@@ -31,7 +32,7 @@ from ledgerline.streaming.runner import run_changelog_stream, run_stream
 
 __all__ = [
     "DELETE_OPS", "IH_COLUMNS", "KNOWN_OPS", "UPSERT_OPS",
-    "ChangelogTable", "LandingTable", "SinkOptions", "SnapshotTable",
+    "ChangelogTable", "CurrentTable", "LandingTable", "SinkOptions",
     "add_provenance", "align_to_target", "apply_block", "block_flags", "block_metrics",
     "compact_latest", "conflate_latest", "decode_envelope", "decode_schemaless", "delete_by_key",
     "expire_landing", "fail_on_invalid", "final_columns", "get_session", "load_staged",

@@ -82,7 +82,7 @@ def merge_into_table(block: DataFrame, table: str, keys: Sequence[str], final_co
 
     Deletes, upserts and inserts in one statement: the intended path on a
     cluster. No such format is installed where this library is tested, so it
-    has only been seen to be well-formed. Plain Parquet tables reject MERGE; use ``sinks.tables.SnapshotTable`` for those.
+    has only been seen to be well-formed. Plain Parquet tables reject MERGE; use ``sinks.current.CurrentTable`` for those.
     """
     target = table.split(".")[-1]
     cond = " AND ".join(f"{target}.`{k}` = s.`{k}`" for k in keys)

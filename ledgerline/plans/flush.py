@@ -46,7 +46,8 @@ from ledgerline.operators.route import IH_KEY, RECORD_TIME, plain_records, route
 from ledgerline.operators.validate import fail_on_invalid, fail_on_invalid_plain, fail_on_invalid_schemaless
 from ledgerline.sinks import fs
 from ledgerline.sinks.staging import copy_into_landing, stage_csv
-from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sinks.current import PARTITIONS, CurrentTable
+from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.sources.catalog import final_columns, require_columns, target_columns, target_schema
 from ledgerline.sources.decode import decode_envelope, decode_schemaless, primary_key
 
@@ -80,8 +81,7 @@ class SinkOptions:
     reload_gap_seconds: int | None = None
     reload_after_outage: bool = False  # count downtime as a quiet gap
     keep: Sequence[str] = ()
-    fold_deltas: int = 16  # maintenance folds a snapshot with this many deltas into its base
-    keep_versions: int = 10  # snapshot versions kept by maintenance (older data is vacuumed)
+    partitions: int = PARTITIONS  # hash partitions of the current-state table, when it is made
     stage_path: str | None = None  # stage each block as gzip CSV and load it from there
 
     ignore_columns: Sequence[str] = ()
@@ -172,7 +172,7 @@ def process_block(spark: SparkSession, raw: DataFrame, batch_id: int, opts: Sink
     seconds = {"stage": staged - began, "land": landed - staged}
     changes = metrics["has_inserts"] or metrics["has_updates"] or metrics["has_deletes"]
     if changes and not opts.copy_only and opts.final_path is not None:
-        table = SnapshotTable(spark, opts.final_path, _keys(raw, opts))
+        table = CurrentTable(spark, opts.final_path, _keys(raw, opts), opts.partitions)
         rows = landing.read(block, schema=_landing_read_schema(opts.landing_schema))
         table.apply(rows, source or opts.query_name, batch_id, final_cols=opts.final_cols)
         seconds["apply"] = time.perf_counter() - landed
@@ -224,6 +224,11 @@ class GapReloader:
     quiet gap. With ``survive_restart`` the last non-empty flush is also kept
     in a marker file next to the table and an outage counts. An empty flush
     does not move the clock.
+
+    That a block reloads the table is noted before anything is done, and
+    emptying and loading are one step of the table (``ChangelogTable.reload``):
+    a block that is flushed again, after a driver was lost anywhere on the way,
+    reloads again whatever the new clock says, and ends with the same rows.
     """
 
     def __init__(
@@ -246,10 +251,13 @@ class GapReloader:
     def flush(self, rows: DataFrame, block: str, now: _dt.datetime, nonempty: bool) -> bool:
         if not nonempty:
             return False
-        reloaded = self.should_reload(now)
+        note = f"{self.table.path}/_reload.txt"
+        reloaded = self.should_reload(now) or fs.read_text(self.spark, note) == block
         if reloaded:
-            self.table.truncate()
-        self.table.append(rows, block)
+            fs.write_text(self.spark, note, block)
+            self.table.reload(rows, block)
+        else:
+            self.table.append(rows, block)
         self.last = now
         if self.survive_restart:
             fs.write_text(self.spark, self.marker, now.isoformat())

@@ -168,6 +168,10 @@ FROM changes, bounds WHERE (ih_offset - lo) * 2 >= hi - lo + 1""",
        TIMESTAMP '2024-02-01 00:00:00' AS ih_datetime, 'land-000000000000' AS ih_blockid FROM block""",
     "append_changelog": CHANGELOG,
     "stream_changelog": CHANGELOG,
+    "stream_file_sink": CHANGELOG,
+    "stream_limited": f"SELECT *, CAST(ceil((SELECT count(*) FROM events) / 1000.0) AS INTEGER) AS batches FROM ({CHANGELOG})",
+    "stream_gap_reload": _with(CHANGES, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""")
+    + """SELECT id, type, CAST(ih_offset AS VARCHAR) AS ih_offset FROM changes, bounds WHERE (ih_offset - lo) * 5 >= (hi - lo + 1) * 2""",
     "expire_landing": _with(CHANGES)
     + """SELECT * FROM changes
 WHERE NOT (ih_datetime + INTERVAL 4 HOUR < TIMESTAMP '2024-01-15 00:00:00') OR ih_datetime IS NULL""",

@@ -8,6 +8,7 @@ work folder and return a DataFrame read back from what they wrote.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ from ledgerline.session import work_dir
 from ledgerline.functions.text import csv_line
 from ledgerline.sinks import fs
 from ledgerline.sinks.staging import copy_into_landing, load_staged, stage_csv
-from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sinks.current import CurrentTable
+from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.sources.changes import read_changes
 from ledgerline.sources.decode import decode_envelope as _decode_envelope
 from ledgerline.sources.decode import decode_schemaless as _decode_schemaless
@@ -55,6 +57,7 @@ LANDING_COLUMNS = (
 )
 N_BLOCKS = 5
 GAP_DAYS = 20
+LIMIT = 1_000  # records per micro-batch
 
 
 def _block(ch: DataFrame) -> DataFrame:
@@ -284,7 +287,7 @@ def _blocks(df: DataFrame, col: str = "ih_offset", n: int = N_BLOCKS) -> list[Da
 
 
 def replay_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snap = SnapshotTable(spark, work_dir(spark, "replay") + "/final", ["id"])
+    snap = CurrentTable(spark, work_dir(spark, "replay") + "/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
     for part in _blocks(changes(spark, sf_dir, shifted=True)):
         snap.apply(_block(part))
@@ -305,7 +308,7 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     ch = changes(spark, sf_dir, shifted=True)
     base = work_dir(spark, "stream")
     source = f"{base}/source"
-    snap = SnapshotTable(spark, f"{base}/final", ["id"])
+    snap = CurrentTable(spark, f"{base}/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
     for b, part in enumerate(_blocks(ch)):
         part.repartition("id").write.mode("overwrite").parquet(f"{source}/block-{b:05d}")
@@ -315,13 +318,13 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three blocks by one checkpoint, the last of them first with rows that a
-    retry no longer has, then as it is, then once more; a fold of the deltas;
+    retry no longer has, then as it is, then once more, and an older one again;
     two more blocks by a new checkpoint, whose batch ids start over."""
     from ledgerline.streaming.runner import apply_stream, query_id
 
     ch = changes(spark, sf_dir, shifted=True)
     base = work_dir(spark, "restart")
-    snap = SnapshotTable(spark, f"{base}/final", ["id"])
+    snap = CurrentTable(spark, f"{base}/final", ["id"])
     snap.initialize(seed(spark, sf_dir))
     parts = _blocks(ch)
     for b, part in enumerate(parts):
@@ -334,11 +337,10 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
             for _ in range(2):
                 snap.apply(_block(part), query_id(spark, checkpoint), 2)
             snap.apply(_block(parts[0]), query_id(spark, checkpoint), 0)
-            snap.compact()
     return snap.read()
 
 
-def _flush_all(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[dict]]:
+def _flush_all(spark: SparkSession, sf_dir: str, copy_only: bool = False) -> tuple[CurrentTable, list[dict]]:
     """The whole typed-CDC flush, streamed: JSON envelope records arrive in
     blocks; each micro-batch is decoded, validated, routed, conflated,
     aligned, staged as gzip CSV, loaded into the landing table (stage purged)
@@ -364,9 +366,9 @@ def _flush_all(spark: SparkSession, sf_dir: str) -> tuple[SnapshotTable, list[di
     opts = SinkOptions(
         landing_schema=landing_schema, landing_path=f"{base}/events_INGEST", final_path=f"{base}/events",
         stage_path=f"{base}/stage", row_schema=ROW_SCHEMA, key_schema=KEY_SCHEMA,
-        query_name="stream_flush",
+        query_name="stream_flush", copy_only=copy_only,
     )
-    snap = SnapshotTable(spark, opts.final_path, ["id"])
+    snap = CurrentTable(spark, opts.final_path, ["id"])
     snap.initialize(seed(spark, sf_dir))
     source = f"{base}/source"
     metrics: list[dict] = []
@@ -382,9 +384,9 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flush_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each of those flushes counted: a row per block."""
+    """What each of those flushes counted, landing only: a row per block."""
     names = ("records", "rows", "has_inserts", "has_updates", "has_deletes")
-    rows = [(b, *[m[n] for n in names]) for b, m in enumerate(_flush_all(spark, sf_dir)[1])]
+    rows = [(b, *[m[n] for n in names]) for b, m in enumerate(_flush_all(spark, sf_dir, copy_only=True)[1])]
     return spark.createDataFrame(rows, "block int, records bigint, rows bigint, has_inserts boolean, has_updates boolean, has_deletes boolean")
 
 
@@ -418,6 +420,74 @@ def stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ChangelogTable(spark, opts.landing_path).read().drop("ih_blockid")
 
 
+def stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archived log read 1,000 records at a time into Spark's own file sink,
+    stopped and started again on the way; with the number of micro-batches."""
+    from ledgerline.streaming.runner import append_stream
+
+    ch = changes(spark, sf_dir).drop("ih_datetime")
+    raw = ch.select(F.col("ih_topic").alias("topic"), F.col("ih_partition").alias("partition"), F.col("ih_offset").alias("offset"), "ih_op", "id", "type", "value", "props")
+    base = work_dir(spark, "limited")
+    for part in _blocks(raw, "offset", n=3):  # files of consecutive offsets, as a log is archived
+        part.repartition("topic", "partition").sortWithinPartitions("partition", "offset").write.mode("append").partitionBy("topic", "partition").parquet(f"{base}/log")
+
+    def start():
+        stream = read_changes(spark, "change_log", f"{base}/log", raw.schema, streaming=True, max_per_trigger=LIMIT, options={"checkpointLocation": f"{base}/checkpoint"})
+        named = stream.select(*[F.col(c).alias(f"ih_{c}") if c in ("topic", "partition", "offset") else F.col(c) for c in stream.columns])
+        return append_stream(_add_provenance(named, variant="changelog"), f"{base}/events", f"{base}/checkpoint", "stream_limited", ["ih_partition"], {"processingTime": "0 seconds"})
+
+    def committed() -> int:
+        return sum(f.rsplit("/", 1)[1].isdigit() for f in fs.list_files(spark, f"{base}/checkpoint/commits"))
+
+    query = start()
+    while query.isActive and not committed() and not query.status["message"].startswith("Waiting"):
+        time.sleep(0.05)
+    query.stop()
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    batches = committed()
+    return spark.read.parquet(f"{base}/events").withColumn("batches", F.lit(batches))
+
+
+def stream_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changelog rows by Spark's own file sink, partitioned, from files that
+    arrive between runs of one checkpoint."""
+    from ledgerline.streaming.runner import append_stream
+
+    ch = changes(spark, sf_dir).drop("ih_datetime")
+    base = work_dir(spark, "file_sink")
+    for b, part in enumerate(_blocks(ch)):
+        part.write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
+        rows = _add_provenance(_file_stream(spark, f"{base}/source", ch.schema), variant="changelog")
+        query = append_stream(rows, f"{base}/events", f"{base}/checkpoint", "stream_file_sink", ["ih_partition"])
+        query.awaitTermination()
+    return spark.read.parquet(f"{base}/events")
+
+
+def stream_gap_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changelog flushes by a clock that stands still for 31 minutes before the
+    third of five blocks: the table is emptied and loaded in one step."""
+    from ledgerline.plans.flush import SinkOptions
+    from ledgerline.streaming.runner import run_changelog_stream
+
+    ch = changes(spark, sf_dir)
+    raw = ch.select(
+        F.col("ih_topic").alias("topic"), F.col("ih_partition").alias("partition"), F.col("ih_offset").alias("offset"),
+        F.to_json(F.struct(F.col("id").alias("ID"), F.col("type").alias("TYPE"))).alias("value"),
+    )
+    base = work_dir(spark, "gap_stream")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("type", T.StringType()), T.StructField("ih_offset", T.StringType())])
+    opts = SinkOptions(
+        landing_schema=schema, landing_path=f"{base}/events_log", mode="schemaless", query_name="stream_gap_reload", reload_gap_seconds=1800, reload_after_outage=True)
+    minutes = (0, 10, 41, 60, 90)
+    for b, part in enumerate(_blocks(raw, "offset")):
+        part.write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
+        now = _dt.datetime(2024, 1, 1) + _dt.timedelta(minutes=minutes[b])
+        run_changelog_stream(spark, _file_stream(spark, f"{base}/source", raw.schema), opts, f"{base}/checkpoint", clock=lambda now=now: now)
+    return ChangelogTable(spark, opts.landing_path).read().drop("ih_blockid")
+
+
 def schemaless_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemaless records whose payload has a field named like a column of the
     record itself: the payload's value is the row's."""
@@ -562,6 +632,9 @@ QUERIES = {
     "stream_flush": stream_flush,
     "flush_counters": flush_counters,
     "stream_changelog": stream_changelog,
+    "stream_limited": stream_limited,
+    "stream_file_sink": stream_file_sink,
+    "stream_gap_reload": stream_gap_reload,
     "schemaless_timestamp": schemaless_timestamp,
     "discover_columns": discover_columns,
     "land_block_copy_only": land_block_copy_only,

@@ -66,3 +66,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs_and_path(spark, src)
     return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
+
+
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths of the folders that match ``pattern`` (none: empty)."""
+    fs, p = _fs_and_path(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory()]

@@ -1,332 +1,244 @@
-"""Tables on plain Parquet paths: landing, changelog, current state.
-
-- ``LandingTable``: append-only rows of every block, one folder per
-  ``ih_blockid``. Landing a block replaces that folder alone, so a retried
-  batch leaves one copy, whatever it holds the second time. Reading a block
-  opens its folder and nothing else. Retention drops expired block folders.
-- ``ChangelogTable``: the append-only changelog, same layout, with a compaction
-  to the newest row per key.
-- ``SnapshotTable``: the current-state table. Parquet has no row-level MERGE,
-  so a block is stored as a delta (the rows it changes, nothing else) and
-  merged when the table is read; upkeep folds deltas into the base. The
-  intended path on a cluster with a table format that supports MERGE is
-  ``operators.apply.merge_into_table``; this is the fallback for plain files.
-
-Every table has one writer, the driver of its stream. Steps that replace
-folders note what they are about to do in a small file first, and the next
-writer finishes them.
+"""Append-only tables on plain Parquet folders: landing and changelog.
+
+- ``LandingTable``: the rows of every block, partitioned by ``ih_date`` (the day of
+  ``ih_datetime``), then ``ih_blockid``. Landing a block replaces its earlier copy,
+  so a retried batch leaves one, whatever it holds the second time. Reading a
+  block opens its folders and nothing else. Retention drops whole days by
+  folder and reads the day of the cutoff alone.
+- ``ChangelogTable``: the append-only changelog, a folder per block. Compaction to
+  the newest row per key is incremental: a table of the greatest offset per key
+  says which blocks hold rows that newer blocks have superseded, and only those
+  are rewritten.
+
+Each table has one writer, the driver of its stream. Partitions are replaced as
+``sinks.partitions`` describes. The current-state table is ``sinks.current``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
-import logging
-import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.constants import IH_BLOCKID, IH_COLUMNS, IH_DATETIME, IH_OFFSET, IH_OP, KNOWN_OPS, LANDING_RETENTION, UPSERT_OPS
-from ledgerline.functions.names import resolve
+from ledgerline.constants import IH_BLOCKID, IH_DATETIME, IH_OFFSET, LANDING_RETENTION
 from ledgerline.functions.temporal import ntz_literal
-from ledgerline.operators.maintain import compact_latest, parse_interval
+from ledgerline.operators.maintain import parse_interval
 from ledgerline.sinks import fs
+from ledgerline.sinks.current import CurrentTable
+from ledgerline.sinks.partitions import PartitionedFolder
 
-log = logging.getLogger(__name__)
+IH_DATE = "ih_date"
+_BLOCK = T.StructField(IH_BLOCKID, T.StringType())
+_MAX, _BLOCKS, _OPCOL = "ll_offset", "ll_blocks", "ll_mark_op"
 
-_MANIFEST = re.compile(r"/v=(\d+)\.json$")
-_OP, _SEQ = "ll_op", "ll_seq"
 
+class BlockTable(PartitionedFolder):
+    """Rows in a folder per ``ih_blockid``, whatever stands above it."""
 
-class LandingTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    _above = ""  # glob of the folders above a block's
+
+    def _block_dirs(self, block_id: str) -> list[str]:
+        return fs.glob_dirs(self.spark, f"{self.path}/{self._above}{IH_BLOCKID}={block_id}")
+
+    def _relative(self, folder: str) -> str:
+        return folder[folder.rindex(f"/{self.columns[0].name}=") + 1 :]
 
-    def _folder(self, block_id: str) -> str:
-        return f"{self.path}/{IH_BLOCKID}={block_id}"
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return df
 
     def land(self, df: DataFrame, block_id: str | None = None) -> None:
         """Write one block, replacing an earlier copy of it.
 
-        Without ``block_id`` the rows' own ``ih_blockid`` says where they go.
+        Without ``block_id`` the rows' own ``ih_blockid`` (and day) says which
+        folders they replace.
         """
         self.recover()
-        if block_id is not None:
-            df.drop(IH_BLOCKID).write.mode("overwrite").parquet(self._folder(block_id))
+        if block_id is None:
+            self.write(self._placed(df), "overwrite")
             return
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(IH_BLOCKID).parquet(self.path)
+        for folder in self._block_dirs(block_id):
+            fs.delete(self.spark, folder)
+        self.write(self._placed(df.withColumn(IH_BLOCKID, F.lit(block_id))))
 
     def exists(self) -> bool:
         return fs.exists(self.spark, self.path)
 
+    def schema(self, folder: str = "") -> T.StructType:
+        """Of the stored rows, by one partition folder or the table (block ids
+        are text, also when they look numeric)."""
+        inferred = self.spark.read.option("basePath", self.path).parquet(f"{self.path}/{folder}".rstrip("/")).schema
+        names = {c.name for c in self.columns}
+        return T.StructType([f for f in inferred.fields if f.name not in names] + [_BLOCK])
+
     def read(self, block_id: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-        """The whole table, or one block (only its folder is listed)."""
-        reader = self.spark.read.option("basePath", self.path)
-        where = self.path if block_id is None else self._folder(block_id)
-        if schema is None:
-            # block ids stay text even when they look numeric (no type inference)
-            inferred = reader.parquet(where).schema
-            schema = T.StructType(
-                [T.StructField(f.name, T.StringType(), True) if f.name == IH_BLOCKID else f for f in inferred.fields]
-            )
-        return reader.schema(schema).parquet(where)
+        """The whole table, or one block (only its folders are listed)."""
+        if block_id is None:
+            schema = schema or self.schema()
+            return self.scan(schema).select(*[F.col(f"`{c}`") for c in schema.names])
+        folders = [self._relative(f) for f in self._block_dirs(block_id)]
+        schema = schema or self.schema(*folders[:1])
+        if not folders:  # a block without rows has no folder
+            return self.spark.createDataFrame([], schema)
+        return self.scan(schema, *folders).select(*[F.col(f"`{c}`") for c in schema.names])
 
     def blocks(self) -> list[str]:
-        prefix = f"{IH_BLOCKID}="
-        return sorted(d[len(prefix):] for d in fs.list_dirs(self.spark, self.path) if d.startswith(prefix))
+        found = fs.glob_dirs(self.spark, f"{self.path}/{self._above}{IH_BLOCKID}=*")
+        return sorted({f.rsplit("=", 1)[1] for f in found})
 
-    # -- replacing folders -----------------------------------------------------
 
-    @property
-    def _plan_path(self) -> str:
-        return f"{self.path}/_replace.json"
+class LandingTable(BlockTable):
+    _above = f"{IH_DATE}=*/"
 
-    def _replace(self, hidden: str | None, shown: str | None, old: Sequence[str]) -> None:
-        """Put the written folder ``hidden`` in place as block ``shown`` and
-        drop the blocks ``old``: all of it, or none if the plan was not noted."""
-        fs.write_text(self.spark, self._plan_path, json.dumps({"hidden": hidden, "shown": shown, "old": list(old)}))
-        self.recover()
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(spark, path, [T.StructField(IH_DATE, T.DateType()), _BLOCK])
 
-    def recover(self) -> None:
-        """Finish a replacement that a lost driver left half done."""
-        text = fs.read_text(self.spark, self._plan_path) if self.exists() else None
-        if text is None:
-            return
-        plan = json.loads(text)
-        for block in plan["old"]:
-            if block != plan["shown"] or (plan["hidden"] and fs.exists(self.spark, plan["hidden"])):
-                fs.delete(self.spark, self._folder(block))
-        if plan["hidden"] and fs.exists(self.spark, plan["hidden"]):
-            if not fs.rename(self.spark, plan["hidden"], self._folder(plan["shown"])):
-                raise RuntimeError(f"could not move {plan['hidden']} into {self.path}")
-        fs.delete(self.spark, self._plan_path)
+    def _placed(self, df: DataFrame) -> DataFrame:
+        day = F.to_date(IH_DATETIME) if IH_DATETIME in df.columns else F.lit(None).cast("date")
+        return df.withColumn(IH_DATE, day)
+
+    def days(self) -> list[str]:
+        """The days that have rows; rows without a time are in none of them."""
+        prefix = f"{IH_DATE}="
+        days = [d[len(prefix):] for d in fs.list_dirs(self.spark, self.path) if d.startswith(prefix)]
+        return sorted(d for d in days if d[:1].isdigit())
+
+    def day(self, day: _dt.date) -> DataFrame | None:
+        """The rows of one day, or None; no other day is listed."""
+        folder = f"{IH_DATE}={day.isoformat()}"
+        return self.scan(self.schema(folder), folder) if fs.exists(self.spark, f"{self.path}/{folder}") else None
 
     def expire(self, now: _dt.datetime, keep: str | _dt.timedelta = LANDING_RETENTION) -> dict:
         """Delete rows with ``ih_datetime < now - keep``; keep null times.
 
-        One aggregate over the time column finds the blocks that hold expired
-        rows; only those reach the driver (what came due since the last run).
-        Blocks that hold nothing else, all of a stream's own, are removed as
-        folders; one with mixed times is rewritten beside the table and put in
-        its place by a noted step.
+        Days before the cutoff's are dropped as folders, unread. In the
+        cutoff's day, blocks that hold nothing else are dropped as folders and
+        one with mixed times is replaced by its other rows. Later days, and
+        rows without a time, are not looked at. Returns the blocks that are gone
+        (``dropped``) and those that lost some of their rows (``rewritten``).
         """
         self.recover()
-        if not self.exists() or not self.blocks():
+        if not self.exists():
             return {"dropped": [], "rewritten": []}
-        cutoff = ntz_literal(now - parse_interval(keep))
-        expired = F.col(IH_DATETIME) < cutoff
-        due = (
-            self.read().groupBy(IH_BLOCKID)
-            .agg(F.count_if(expired).alias("expired"), F.count(F.lit(1)).alias("rows"))
-            .where("expired > 0").orderBy(IH_BLOCKID).collect()
-        )
-        dropped = [r[IH_BLOCKID] for r in due if r["expired"] == r["rows"]]
-        rewritten = [r[IH_BLOCKID] for r in due if r["expired"] < r["rows"]]
-        if dropped:
-            self._replace(None, None, dropped)
-        for block in rewritten:
-            hidden = f"{self.path}/_kept-{uuid.uuid4().hex}"
-            part = self.spark.read.parquet(self._folder(block))
-            part.where(~F.coalesce(expired, F.lit(False))).write.parquet(hidden)
-            self._replace(hidden, block, [block])
-        return {"dropped": dropped, "rewritten": rewritten}
-
-
-class ChangelogTable(LandingTable):
+        cutoff = now - parse_interval(keep)
+        edge = cutoff.date().isoformat()
+        hit: set[str] = set()
+        for day in [d for d in self.days() if d < edge]:
+            hit |= {d.split("=", 1)[1] for d in fs.list_dirs(self.spark, f"{self.path}/{IH_DATE}={day}")}
+            fs.delete(self.spark, f"{self.path}/{IH_DATE}={day}")
+        rows = self.day(cutoff.date())
+        if rows is not None:
+            expired = F.col(IH_DATETIME) < ntz_literal(cutoff)
+            due = rows.groupBy(IH_BLOCKID).agg(F.count_if(expired).alias("expired"), F.count(F.lit(1)).alias("rows")).where("expired > 0").collect()
+            mixed = [r[IH_BLOCKID] for r in due if r["expired"] < r["rows"]]
+            for block in [r[IH_BLOCKID] for r in due if r["expired"] == r["rows"]]:
+                fs.delete(self.spark, f"{self.path}/{IH_DATE}={edge}/{IH_BLOCKID}={block}")
+            if mixed:
+                self.replace(rows.where(F.col(IH_BLOCKID).isin(*mixed) & ~expired), [f"{IH_DATE}={edge}/{IH_BLOCKID}={b}" for b in mixed])
+            hit |= {r[IH_BLOCKID] for r in due}
+        left = set(self.blocks()) if hit else set()
+        return {"dropped": sorted(hit - left), "rewritten": sorted(hit & left)}
+
+
+class ChangelogTable(BlockTable):
     """Append-only changelog; each batch is one ``ih_blockid`` folder."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(spark, path, [_BLOCK])
+
     def append(self, df: DataFrame, block_id: str) -> None:
         self.land(df, block_id)
 
     def truncate(self) -> None:
-        """Empty the table (keeps the folder)."""
-        for d in fs.list_dirs(self.spark, self.path):
-            fs.delete(self.spark, f"{self.path}/{d}")
-        for f in fs.list_files(self.spark, self.path):
-            fs.delete(self.spark, f)
+        """Empty the table (keeps the folder): noted first, so that it happens
+        whole, also if the driver is lost on the way."""
+        self.recover()
+        if self.exists():
+            self.replace(self.spark.createDataFrame([], T.StructType([T.StructField("x", T.IntegerType()), _BLOCK])), self._folders(), forget=True)
+
+    def reload(self, df: DataFrame, block_id: str) -> None:
+        """Empty the table and append one block, as one step: either both
+        happen or neither. Repeated for the same block it changes nothing."""
+        self.recover()
+        rows = df.withColumn(IH_BLOCKID, F.lit(block_id))
+        self.replace(rows, sorted({*self._folders(), f"{IH_BLOCKID}={block_id}"}), forget=True)
+
+    def _folders(self) -> list[str]:
+        return [f"{IH_BLOCKID}={b}" for b in self.blocks()] if self.exists() else []
+
+    def done(self, note: dict) -> None:
+        if note.get("forget"):  # what was known about the blocks goes with them
+            fs.delete(self.spark, f"{self.path}/_marks")
+            fs.delete(self.spark, f"{self.path}/_compacted.json")
+
+    # -- compaction ------------------------------------------------------------------
+
+    def _marks(self, keys: Sequence[str]) -> CurrentTable:
+        return CurrentTable(self.spark, f"{self.path}/_marks", keys)
 
     def compact(self, keys: Sequence[str], offset_col: str = IH_OFFSET, keep: Sequence[str] = ()) -> dict:
-        """Delete rows whose offset is below their key's greatest and merge the
-        blocks' small files: the table becomes one block. ``keep`` names blocks
-        to leave alone (a stream's newest, which may yet be replayed)."""
+        """Delete rows whose offset is below their key's greatest.
+
+        ``_marks`` holds, per key, the greatest offset of the blocks compacted so
+        far and the blocks that have it. Only blocks that came since are read;
+        their keys, looked up in the marks' partitions of those keys, say which
+        older blocks hold rows they supersede. Those, and new blocks with rows
+        below the greatest, are rewritten; all other folders stay as they are.
+        ``keep`` names blocks to leave alone (a stream's newest, which may yet be
+        replayed). Rows without a whole key or an offset stay.
+        """
         self.recover()
-        old = [b for b in self.blocks() if b not in set(keep)] if self.exists() else []
-        if not old:
-            return {"merged": []}
-        hidden, shown = f"{self.path}/_compact-{uuid.uuid4().hex}", f"compact-{uuid.uuid4().hex[:12]}"
-        rows = compact_latest(self.read(), keys, offset_col)
-        rows.where(~F.col(IH_BLOCKID).isin(list(keep)) if keep else F.lit(True)).drop(IH_BLOCKID).write.parquet(hidden)
-        self._replace(hidden, shown, old)
-        return {"merged": old, "into": shown}
-
-
-class SnapshotTable:
-    """Current state on Parquet: a base and the deltas of later blocks.
-
-    ``_manifests/v=<n>.json`` names the folders of version ``n`` (base, then
-    deltas in order), the schema, and the last batch taken from each source.
-    Every write goes to a folder of its own, which a manifest names once the
-    write has committed; no folder is written twice, so earlier versions stay
-    readable until ``vacuum``.
-
-    A delta holds a block's changed rows, so applying costs what the block
-    costs, not what the table does. Reading keeps, per key, what the last delta
-    that names it says: its upserts, or nothing if it deletes the key. Base
-    rows of keys that no delta names pass unchanged, repeated ones included;
-    null keys match nothing and all stay, as in a MERGE. A block that is not
-    conflated adds all its upsert rows, as ``apply_block`` does.
-
-    ``source`` and ``batch_id`` name the batch a block came from (the
-    streaming query's persistent id and the micro-batch). A batch that is
-    repeated replaces its delta, with whatever rows it has now; one older than
-    the last is already in and changes nothing.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-
-    # -- manifests -----------------------------------------------------------
-
-    def _manifest_path(self, version: int) -> str:
-        return f"{self.path}/_manifests/v={version}.json"
-
-    def _manifest(self, version: int) -> dict:
-        text = fs.read_text(self.spark, self._manifest_path(version))
-        if text is None:
-            raise ValueError(f"version {version} of {self.path} is not committed")
-        return json.loads(text)
-
-    def versions(self) -> list[int]:
-        names = fs.list_files(self.spark, f"{self.path}/_manifests")
-        found = [_MANIFEST.search(n) for n in names]
-        return sorted(int(m.group(1)) for m in found if m)
-
-    def latest(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
-
-    def _publish(self, manifest: dict) -> int:
-        latest = self.latest()
-        manifest["version"] = 0 if latest is None else latest + 1
-        path = self._manifest_path(manifest["version"])
-        fs.write_text(self.spark, path + ".tmp", json.dumps(manifest))
-        if not fs.rename(self.spark, path + ".tmp", path):
-            raise RuntimeError(f"another writer committed {path}")
-        return manifest["version"]
-
-    def _store(self, df: DataFrame) -> str:
-        name = f"data/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{name}")
-        return name
-
-    # -- read / write ----------------------------------------------------------
-
-    def _merged(self, manifest: dict) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
-        base = self.spark.createDataFrame([], schema)
-        if manifest["base"]:
-            base = self.spark.read.schema(schema).parquet(f"{self.path}/{manifest['base']}")
-        if not manifest["deltas"]:
-            return base
-        stored = T.StructType(list(schema.fields) + [T.StructField(_OP, T.StringType()), T.StructField(_SEQ, T.LongType())])
-        deltas = self.spark.read.schema(stored).parquet(*[f"{self.path}/{d['path']}" for d in manifest["deltas"]])
-        keys = [F.col(f"`{k}`") for k in manifest["keys"]]
-        last = deltas.groupBy(*keys).agg(F.max(_SEQ).alias("ll_last"))
-        untouched = base.join(last, on=manifest["keys"], how="left_anti")
-        upserts = deltas.where(F.col(_OP).isin(*UPSERT_OPS)).join(last, on=manifest["keys"], how="left")
-        live = upserts.where(F.col("ll_last").isNull() | (F.col(_SEQ) == F.col("ll_last")))
-        columns = [F.col(f"`{c}`") for c in schema.names]
-        return untouched.select(*columns).unionByName(live.select(*columns))
-
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.latest() if version is None else version
-        if version is None:
-            raise ValueError(f"no committed version under {self.path}")
-        return self._merged(self._manifest(version))
-
-    def initialize(self, df: DataFrame) -> int:
-        """Start over from a seed: a new version with nothing applied."""
-        return self._publish(self._empty(df.schema) | {"base": self._store(df)})
-
-    def _empty(self, schema: T.StructType) -> dict:
-        missing = [k for k in self.keys if resolve(k, schema.names) is None]
-        if missing:
-            raise ValueError(f"key columns {missing} are not columns of {self.path}")
-        keys = [resolve(k, schema.names) for k in self.keys]  # the table's spelling
-        return {"base": None, "deltas": [], "batches": {}, "next": 1, "keys": keys, "schema": schema.json()}
-
-    def apply(
-        self, block: DataFrame, source: str | None = None, batch_id: int | None = None, final_cols: Sequence[str] | None = None, op_col: str = IH_OP
-    ) -> int:
-        """Store ``block`` as the delta of a new version (evaluated once)."""
-        latest = self.latest()
-        if latest is None:
-            cols = list(final_cols) if final_cols is not None else [c for c in block.columns if c not in IH_COLUMNS]
-            manifest = self._empty(block.select(*[F.col(f"`{c}`") for c in cols]).schema)
+        text = fs.read_text(self.spark, f"{self.path}/_compacted.json") if self.exists() else None
+        known = set(json.loads(text)["blocks"]) if text else set()
+        blocks = set(self.blocks()) if self.exists() else set()
+        new = sorted(blocks - known - set(keep))
+        if not new:
+            return {"new": [], "rewritten": []}
+        keys, schema = list(keys), self.schema(f"{IH_BLOCKID}={new[0]}")
+        offset = F.expr(f"try_cast(`{offset_col}` AS BIGINT)")  # changelog offsets are stored as text
+        key = [F.col(f"`{k}`") for k in keys]
+        whole = offset.isNotNull()
+        for k in key:
+            whole = whole & k.isNotNull()
+
+        def rows_of(names: Sequence[str]) -> DataFrame:
+            return self.scan(schema, *[f"{IH_BLOCKID}={b}" for b in names])
+
+        latest = rows_of(new).where(whole).groupBy(*key, IH_BLOCKID).agg(F.max(offset).alias(_MAX), F.min(offset).alias("ll_least"))
+        top = latest.groupBy(*keys).agg(F.max(_MAX).alias(_MAX))
+        marks = self._marks(keys)
+        old = marks.lookup(top, keys) if marks.exists() else None
+        if old is not None:
+            seen = old.select(*key, F.col(_MAX).alias("ll_old"), F.col(_BLOCKS).alias("ll_old_blocks"))
+            top = top.join(seen, keys, "left")
         else:
-            manifest = self._manifest(latest)
-        seen = manifest["batches"].get(source) if source is not None else None
-        if seen is not None and batch_id < seen:
-            log.info("batch %s of %s is already part of %s", batch_id, source, self.path)
-            return latest
-        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
-        wanted = {c.lower() for c in final_cols} if final_cols is not None else None
-        row = []
-        for field in schema.fields:
-            name = resolve(field.name, block.columns) if wanted is None or field.name.lower() in wanted else None
-            value = F.col(f"`{name}`") if name is not None else F.lit(None)
-            row.append(value.cast(field.dataType).alias(field.name))
-        again = next((d for d in manifest["deltas"] if source is not None and (d["source"], d["batch"]) == (source, batch_id)), None)
-        seq = again["seq"] if again else manifest["next"]
-        changed = block.where(F.col(op_col).isin(*KNOWN_OPS)).select(*row, F.col(op_col).alias(_OP), F.lit(seq).cast("long").alias(_SEQ))
-        delta = {"path": self._store(changed), "source": source, "batch": batch_id, "seq": seq}
-        manifest["deltas"] = [d for d in manifest["deltas"] if d is not again] + [delta]
-        manifest["deltas"].sort(key=lambda d: d["seq"])
-        manifest["next"] = max(manifest["next"], seq + 1)
-        if source is not None:
-            manifest["batches"][source] = batch_id
-        return self._publish(manifest)
-
-    # -- upkeep ----------------------------------------------------------------
-
-    def deltas(self) -> int:
-        latest = self.latest()
-        return 0 if latest is None else len(self._manifest(latest)["deltas"])
-
-    def compact(self) -> int | None:
-        """Fold deltas into a new base. A source's last batch may be repeated
-        with other rows, so it and what follows it stay deltas."""
-        latest = self.latest()
-        if latest is None:
-            return None
-        manifest = self._manifest(latest)
-        open_ = [k for k, d in enumerate(manifest["deltas"]) if d["source"] is not None and manifest["batches"].get(d["source"]) == d["batch"]]
-        fold = min(open_, default=len(manifest["deltas"]))
-        if not fold:
-            return latest
-        folded = self._merged(manifest | {"deltas": manifest["deltas"][:fold]})
-        return self._publish(manifest | {"base": self._store(folded), "deltas": manifest["deltas"][fold:]})
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Drop manifests older than the newest ``keep`` and all folders that
-        no kept manifest names."""
-        versions = self.versions()
-        kept = versions[-keep:] if keep > 0 else []
-        named = set()
-        for v in kept:
-            manifest = self._manifest(v)
-            named.update([manifest["base"], *[d["path"] for d in manifest["deltas"]]])
-        dropped = [v for v in versions if v not in kept]
-        for v in dropped:
-            fs.delete(self.spark, self._manifest_path(v))
-        for d in fs.list_dirs(self.spark, f"{self.path}/data"):
-            if f"data/{d}" not in named:
-                fs.delete(self.spark, f"{self.path}/data/{d}")
-        return dropped
+            top = top.withColumn("ll_old", F.lit(None).cast("bigint")).withColumn("ll_old_blocks", F.lit(None).cast("array<string>"))
+        limit = F.greatest(_MAX, "ll_old")
+        path = f"{self.path}/_limits"
+        holds = latest.withColumnRenamed(_MAX, "ll_in_block").join(top, keys).withColumn("ll_limit", limit)
+        per_key = holds.groupBy(*keys).agg(
+            F.first("ll_limit").alias(_MAX), F.first("ll_old").alias("ll_old"), F.first("ll_old_blocks").alias("ll_old_blocks"),
+            F.sort_array(F.collect_set(F.when(F.col("ll_in_block") == F.col("ll_limit"), F.col(IH_BLOCKID)))).alias("ll_new_blocks"),
+            F.sort_array(F.collect_set(F.when(F.col("ll_least") < F.col("ll_limit"), F.col(IH_BLOCKID)))).alias("ll_stale"),
+        )
+        per_key.write.mode("overwrite").parquet(path)
+        per_key = self.spark.read.schema(per_key.schema).parquet(path)
+        passed = F.col("ll_old") < F.col(_MAX)
+        stale = F.concat("ll_stale", F.when(passed, F.col("ll_old_blocks")).otherwise(F.array().cast("array<string>")))
+        # names of blocks, at most all there are
+        rewrite = sorted(r[0] for r in per_key.select(F.explode(stale)).distinct().collect() if r[0] in blocks)
+        if rewrite:
+            kept = rows_of(rewrite).join(per_key.select(*keys, _MAX), keys, "left")
+            kept = kept.where(~F.coalesce(offset < F.col(_MAX), F.lit(False))).select(*[F.col(f"`{c}`") for c in schema.names])
+            self.replace(kept, [f"{IH_BLOCKID}={b}" for b in rewrite])
+        where = F.when(passed | F.col("ll_old").isNull(), F.col("ll_new_blocks")).otherwise(F.array_union("ll_old_blocks", "ll_new_blocks"))
+        marks.apply(per_key.select(*key, _MAX, where.alias(_BLOCKS), F.lit("u").alias(_OPCOL)), op_col=_OPCOL)
+        fs.write_text(self.spark, f"{self.path}/_compacted.json", json.dumps({"blocks": sorted((known | set(new)) & set(self.blocks()))}))
+        fs.delete(self.spark, path)
+        return {"new": new, "rewritten": rewrite}
+
+
+__all__ = ["ChangelogTable", "IH_DATE", "LandingTable"]

@@ -12,7 +12,7 @@ import __spark_entry__ as entry  # noqa: E402
 from ledgerline.plans.queries import QUERIES  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
-from conftest import SF001, SF01  # noqa: E402
+from core_support import SF001, SF01  # noqa: E402
 
 SF = os.environ.get("ORACLE_SF_DIR", SF01)
 

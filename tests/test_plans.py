@@ -9,7 +9,7 @@ from ledgerline.operators.conflate import conflate_latest
 from ledgerline.operators.maintain import compact_latest, expire_landing, reload_on_gap
 from ledgerline.plans import queries as q
 
-from conftest import SF001
+from core_support import SF001
 
 
 def plan(df) -> str:

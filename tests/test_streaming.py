@@ -6,7 +6,8 @@ import json
 from pyspark.sql import functions as F
 
 from ledgerline.plans.flush import SinkOptions
-from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sinks.current import CurrentTable
+from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.streaming.runner import run_changelog_stream, run_stream
 
 from test_tables import KEY, LANDING, ROW, raw_records
@@ -27,7 +28,7 @@ def test_run_stream_matches_batch_result_and_restarts_cleanly(spark, workdir):
         landing_schema=LANDING, landing_path=f"{workdir}/s_INGEST", final_path=f"{workdir}/s",
         row_schema=ROW, key_schema=KEY, timestamps=["ts"], query_name="s",
     )
-    snap = SnapshotTable(spark, opts.final_path, ["id"])
+    snap = CurrentTable(spark, opts.final_path, ["id"])
     snap.initialize(spark.createDataFrame([(9, "nine", None)], "id bigint, name string, ts timestamp_ntz"))
 
     def stream():
@@ -72,17 +73,13 @@ def test_maintenance_runs_once_per_interval_and_swallows_errors(spark, workdir):
     landing.land(old, "m-000000000000")
     upkeep = Maintenance(landing, "PT3M")
     assert upkeep.maybe_run(now) == {"dropped": ["m-000000000000"], "rewritten": []}
-    snap = SnapshotTable(spark, f"{workdir}/m_final", ["id"])
-    snap.initialize(spark.createDataFrame([(1, "a")], "id bigint, v string"))
-    for v in (1, 2, 3):
-        snap.apply(spark.createDataFrame([(v, "x", "c")], "id bigint, v string, ih_op string"))
-    upkept = Maintenance(landing, "PT1M", snapshot=snap, keep_versions=2, fold_deltas=3).maybe_run(now)
-    assert upkept["folded_version"] == 4 and upkept["vacuumed_versions"] == [0, 1, 2]
-    assert snap.versions() == [3, 4] and snap.deltas() == 0 and snap.read().count() == 3
     assert upkeep.maybe_run(now + dt.timedelta(minutes=2)) is None
     failing = LandingTable(spark, f"{workdir}/m_INGEST")
     failing.expire = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("storage unavailable"))
-    assert Maintenance(failing, "PT1S").maybe_run(now) is None
+    broken = Maintenance(failing, "PT1S")
+    assert broken.maybe_run(now) is None
+    assert broken.maybe_run(now) is None  # not due yet
+    assert (broken.runs, broken.failures) == (1, 1) and (upkeep.runs, upkeep.failures) == (1, 0)
 
 
 def test_read_changes_batch_and_stream_with_trigger_limit(spark, workdir):
@@ -125,4 +122,4 @@ def test_two_streams_of_one_name_do_not_share_blocks(spark, workdir):
         stream = spark.readStream.schema(RAW_SCHEMA).option("recursiveFileLookup", "true").json(src)
         run_stream(spark, stream, opts, f"{workdir}/twin_ckpt{k}")
     assert len(LandingTable(spark, opts.landing_path).blocks()) == 2
-    assert SnapshotTable(spark, opts.final_path, ["id"]).read().count() == 1
+    assert CurrentTable(spark, opts.final_path, ["id"]).read().count() == 1

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from ledgerline.plans.flush import GapReloader, SinkOptions, process_block
 from ledgerline.sinks.staging import load_staged, purge_stage, stage_csv
-from ledgerline.sinks.tables import ChangelogTable, LandingTable, SnapshotTable
+from ledgerline.sinks.current import CurrentTable
+from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.sinks import fs
 
 
@@ -72,78 +73,135 @@ def block(spark, *rows):
     return spark.createDataFrame(list(rows), "id bigint, v string, ih_op string")
 
 
-def test_snapshot_repeats_and_new_checkpoints(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/final", ["id"])
-    snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
+def test_a_repeated_batch_is_taken_back_first(spark, workdir):
+    table = CurrentTable(spark, f"{workdir}/final", ["id"], partitions=3)
+    table.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
     first = block(spark, (1, "A", "u"), (3, "c", "c"), (2, None, "d"))
-    snap.apply(first, "q1", 0)
-    snap.apply(block(spark, (3, "C", "u"), (4, "d", "c")), "q1", 1)
-    assert rows_of(snap.read()) == [(1, "A"), (3, "C"), (4, "d")]
+    table.apply(first, "q1", 0)
+    table.apply(block(spark, (3, "C", "u"), (4, "d", "c")), "q1", 1)
+    assert rows_of(table.read()) == [(1, "A"), (3, "C"), (4, "d")]
     # the last batch again, with fewer rows: what it no longer holds is gone
-    snap.apply(block(spark, (4, "D", "c")), "q1", 1)
-    assert rows_of(snap.read()) == [(1, "A"), (3, "c"), (4, "D")]
+    table.apply(block(spark, (4, "D", "c")), "q1", 1)
+    assert rows_of(table.read()) == [(1, "A"), (3, "c"), (4, "D")]
+    table.apply(block(spark, (1, None, "d")), "q1", 1)
+    table.apply(block(spark, (4, "D", "c")), "q1", 1)
+    assert rows_of(table.read()) == [(1, "A"), (3, "c"), (4, "D")]
     # an older batch is already in
-    before = snap.versions()
-    snap.apply(first, "q1", 0)
-    assert snap.versions() == before
+    assert table.apply(first, "q1", 0) == []
     # a new checkpoint starts at batch 0 and only adds
-    snap.apply(block(spark, (5, "e", "c"), (1, None, "d")), "q2", 0)
-    assert rows_of(snap.read()) == [(3, "c"), (4, "D"), (5, "e")]
-    assert rows_of(snap.read(0)) == [(1, "a"), (2, "b")]
+    table.apply(block(spark, (5, "e", "c"), (1, None, "d")), "q2", 0)
+    assert rows_of(table.read()) == [(3, "c"), (4, "D"), (5, "e")]
+    # one undo per source is kept
+    assert len(fs.list_dirs(spark, f"{table.path}/_undo")) == 2
     # starting over does not mix with what was there
-    snap.initialize(spark.createDataFrame([(9, "z")], "id bigint, v string"))
-    assert rows_of(snap.read()) == [(9, "z")]
+    table.initialize(spark.createDataFrame([(9, "z")], "id bigint, v string"))
+    assert rows_of(table.read()) == [(9, "z")]
 
 
-def test_snapshot_semantics_equal_apply_block_at_any_size(spark, workdir):
+def test_the_table_equals_apply_block_at_any_size(spark, workdir):
     from ledgerline.operators.apply import apply_block
 
     seed = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (2, "b2"), (None, "n"), (3, "c")], "id bigint, v string")
     loose = block(spark, (2, "B", "u"), (2, "B2", "u"), (3, None, "d"), (None, "N", "c"), (7, None, "d"), (8, "x", "x"))
     big = spark.range(10, 60_000).selectExpr("id", "'w' as v", "if(id % 2 = 0, 'd', 'c') as ih_op")
     for name, changed in (("small", loose), ("large", loose.unionByName(big))):
-        snap = SnapshotTable(spark, f"{workdir}/sem-{name}", ["id"])
-        snap.initialize(seed)
-        snap.apply(changed)
-        assert rows_of(snap.read()) == rows_of(apply_block(seed, changed, ["id"]))
-        kept = {r for r in rows_of(snap.read().where("id < 10 or id is null"))}
+        table = CurrentTable(spark, f"{workdir}/sem-{name}", ["id"])
+        table.initialize(seed)
+        table.apply(changed)
+        assert rows_of(table.read()) == rows_of(apply_block(seed, changed, ["id"]))
+        kept = {r for r in rows_of(table.read().where("id < 10 or id is null"))}
         assert kept == {(1, "a"), (1, "a2"), (2, "B"), (2, "B2"), (None, "n"), (None, "N")}
-        snap.compact()
-        assert snap.deltas() == 0 and rows_of(snap.read()) == rows_of(apply_block(seed, changed, ["id"]))
-
-
-def test_a_block_costs_its_own_rows(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/cost", ["id"])
-    snap.initialize(spark.range(0, 20_000).selectExpr("id", "repeat(cast(id as string), 20) as v"))
-    snap.apply(spark.range(0, 20_000, 100).selectExpr("id", "'new' as v", "'u' as ih_op"))
-    base, delta = snap._manifest(snap.latest())["base"], snap._manifest(snap.latest())["deltas"][0]["path"]
-    assert base == snap._manifest(0)["base"]
-    assert spark.read.parquet(f"{snap.path}/{delta}").count() == 200
-    assert snap.read().where("v = 'new'").count() == 200 and snap.read().count() == 20_000
-
-
-def test_fold_keeps_batches_that_may_repeat_and_vacuum_keeps_what_is_named(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/fold", ["id"])
+        # any session reads the folder as it is
+        assert rows_of(spark.read.parquet(table.path).select("id", "v")) == rows_of(table.read())
+        assert fs.list_dirs(spark, f"{table.path}/_undo") == []
+
+
+def files_of(spark, path):
+    return {f for d in fs.list_dirs(spark, path) if "=" in d for f in fs.list_files(spark, f"{path}/{d}")}
+
+
+def test_a_block_reads_and_writes_its_own_partitions(spark, workdir):
+    table = CurrentTable(spark, f"{workdir}/cost", ["id"], partitions=400)
+    table.initialize(spark.range(0, 20_000).selectExpr("id", "repeat(cast(id as string), 20) as v"))
+    before = files_of(spark, table.path)
+    scans = []
+    scan = table.scan
+    table.scan = lambda schema, *folders: scans.append(scan(schema, *folders)) or scans[-1]
+    touched = table.apply(spark.range(0, 200).selectExpr("id * 100 as id", "'new' as v", "'u' as ih_op"), "q", 0)
+    assert 100 < len(touched) <= 200
+    read = {f.rsplit("/", 2)[1] for s in scans for f in s.inputFiles()}
+    assert read == set(touched)
+    after = files_of(spark, table.path)
+    assert {f.rsplit("/", 2)[1] for f in before ^ after} == set(touched)
+    assert table.read().where("v = 'new'").count() == 200 and table.read().count() == 20_000
+    # a key of one partition
+    assert len(table.apply(block(spark, (100, "newer", "u")), "q", 1)) == 1
+
+
+def test_emptied_partitions_go_and_come_back(spark, workdir):
+    table = CurrentTable(spark, f"{workdir}/emptied", ["id"], partitions=5)
     for k in range(4):
-        snap.apply(block(spark, (k, f"v{k}", "c")), "q", k)
-    assert snap.deltas() == 4
-    snap.compact()
-    assert snap.deltas() == 1
-    snap.apply(block(spark, (9, "again", "c")), "q", 3)
-    expected = [(0, "v0"), (1, "v1"), (2, "v2"), (9, "again")]
-    assert rows_of(snap.read()) == expected
-    assert len(snap.vacuum(keep=1)) == 5
-    assert rows_of(snap.read()) == expected
-    assert len(fs.list_dirs(spark, f"{snap.path}/data")) == 2
-
-
-def test_snapshot_keys_match_columns_ignoring_case(spark, workdir):
-    snap = SnapshotTable(spark, f"{workdir}/case", ["ID"])
-    snap.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
-    snap.apply(spark.createDataFrame([(2, None, "d"), (3, "c", "c")], "Id bigint, V string, ih_op string"))
-    assert rows_of(snap.read()) == [(1, "a"), (3, "c")]
+        table.apply(block(spark, (k, f"v{k}", "c")), "q", k)
+    table.apply(block(spark, *[(k, None, "d") for k in range(4)]), "q", 4)
+    assert table.read().count() == 0 and files_of(spark, table.path) == set()
+    table.apply(block(spark, (1, None, "d")), "q", 4)
+    assert rows_of(table.read()) == [(0, "v0"), (2, "v2"), (3, "v3")]
+
+
+@pytest.mark.parametrize("lost_at", ["write", "delete", "done"])
+def test_a_driver_lost_while_partitions_are_replaced(spark, workdir, lost_at, monkeypatch):
+    """Whatever step it dies in after the note, the next one to open the table
+    finds the rows of the batch, each once."""
+    from ledgerline.sinks import partitions as module
+
+    path = f"{workdir}/lost-{lost_at}"
+    table = CurrentTable(spark, path, ["id"], partitions=4)
+    table.initialize(spark.createDataFrame([(k, "old") for k in range(8)], "id bigint, v string"))
+    changed = block(spark, *[(k, None, "d") for k in range(6)], (6, "new", "u"), (20, "new", "c"))
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        if lost_at == "delete":
+            m.setattr(module.fs, "delete", lost)
+        else:
+            m.setattr(CurrentTable, lost_at, lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            table.apply(changed, "q", 0)
+    again = CurrentTable(spark, path, ["id"])
+    assert rows_of(again.read()) == [(20, "new"), (6, "new"), (7, "old")]
+    # the stream repeats the batch, now with other rows
+    again.apply(block(spark, (7, "N", "u")), "q", 0)
+    assert rows_of(again.read()) == [(0, "old"), (1, "old"), (2, "old"), (3, "old"), (4, "old"), (5, "old"), (6, "old"), (7, "N")]
+
+
+def test_table_keys_match_columns_ignoring_case(spark, workdir):
+    table = CurrentTable(spark, f"{workdir}/case", ["ID"])
+    table.initialize(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"))
+    table.apply(spark.createDataFrame([(2, None, "d"), (3, "c", "c")], "Id bigint, V string, ih_op string"))
+    assert rows_of(table.read()) == [(1, "a"), (3, "c")]
+    assert rows_of(table.lookup(spark.createDataFrame([(3,), (9,)], "Id int"), ["Id"])) == [(3, "c")]
     with pytest.raises(ValueError, match="key columns"):
-        SnapshotTable(spark, f"{workdir}/nokey", ["other"]).initialize(spark.range(1))
+        CurrentTable(spark, f"{workdir}/nokey", ["other"]).initialize(spark.range(1))
+
+
+def test_retention_reads_the_day_of_the_cutoff_alone(spark, workdir):
+    t = LandingTable(spark, f"{workdir}/days")
+    now = dt.datetime(2024, 1, 15, 12, 0)
+    for k, hours in enumerate([60, 30, 13, 5, 3, 0]):
+        t.land(_landing_rows(spark, "-", now - dt.timedelta(hours=hours)).drop("ih_blockid"), f"q-{k}")
+    t.land(_landing_rows(spark, "-", None).drop("ih_blockid"), "q-none")
+    cutoff = now - dt.timedelta(hours=14)
+    assert t.days() == ["2024-01-13", "2024-01-14", "2024-01-15"]
+    edge = t.day(cutoff.date())
+    assert {f.split("ih_date=")[1].split("/")[0] for f in edge.inputFiles()} == {"2024-01-14"}
+    later = {f for f in t.read().inputFiles() if "2024-01-15" in f or "HIVE_DEFAULT" in f}
+    assert t.expire(now, "14 hours") == {"dropped": ["q-0", "q-1"], "rewritten": []}
+    assert set(t.read().inputFiles()) >= later and t.days() == ["2024-01-14", "2024-01-15"]
+    # a block that was landed again on a later day has one copy
+    t.land(_landing_rows(spark, "-", now).drop("ih_blockid"), "q-2")
+    assert t.read("q-2").count() == 2 and not any("2024-01-14" in f for f in t.read().inputFiles())
 
 
 def test_a_repeated_block_replaces_its_landing_copy_even_when_empty(spark, workdir):
@@ -156,22 +214,98 @@ def test_a_repeated_block_replaces_its_landing_copy_even_when_empty(spark, workd
     assert scan and all("ih_blockid=q-1" in f for f in scan)
 
 
-def test_changelog_compaction_merges_and_survives_a_lost_driver(spark, workdir):
+def log_rows(spark, *rows):
+    return spark.createDataFrame(list(rows), "id bigint, ih_offset string")
+
+
+def test_changelog_compaction_rewrites_superseded_blocks_alone(spark, workdir):
     t = ChangelogTable(spark, f"{workdir}/clog")
     for b in range(3):
-        t.append(spark.createDataFrame([(1, str(10 + b)), (b + 2, str(b))], "id bigint, ih_offset string"), f"q-{b}")
-    t.append(spark.createDataFrame([(1, "9")], "id bigint, ih_offset string"), "q-3")
+        t.append(log_rows(spark, (1, str(10 + b)), (b + 2, str(b)), (None, "1"), (b + 2, None)), f"q-{b}")
+    t.append(log_rows(spark, (1, "9"), (2, "7")), "q-3")
     out = t.compact(["id"], keep=["q-3"])
-    assert out["merged"] == ["q-0", "q-1", "q-2"] and len(t.blocks()) == 2
-    expected = [(1, "12"), (2, "0"), (3, "1"), (4, "2")]
-    assert rows_of(t.read().where("ih_blockid <> 'q-3'").select("id", "ih_offset")) == expected
-    # a driver lost after noting the plan: the next writer finishes it
-    hidden = f"{t.path}/_compact-x"
-    spark.createDataFrame([(1, "12")], "id bigint, ih_offset string").write.parquet(hidden)
-    fs.write_text(spark, t._plan_path, json.dumps({"hidden": hidden, "shown": "compact-x", "old": t.blocks()}))
-    ChangelogTable(spark, t.path).append(spark.createDataFrame([(6, "1")], "id bigint, ih_offset string"), "q-4")
-    assert t.blocks() == ["compact-x", "q-4"]
-    assert rows_of(t.read().select("id", "ih_offset")) == [(1, "12"), (6, "1")]
+    assert out == {"new": ["q-0", "q-1", "q-2"], "rewritten": ["q-0", "q-1"]}
+    expected = [(1, "12"), (2, "0"), (2, None), (3, "1"), (3, None), (4, "2"), (4, None), (None, "1"), (None, "1"), (None, "1")]
+    assert rows_of(t.read().where("ih_blockid <> 'q-3'").select("id", "ih_offset")) == sorted(expected, key=str)
+    # a small block later: only the blocks that it supersedes rows of change
+    before = files_of(spark, t.path)
+    t.append(log_rows(spark, (3, "50")), "q-4")
+    assert t.compact(["id"], keep=["q-4"]) == {"new": ["q-3"], "rewritten": ["q-0", "q-3"]}  # 2 moved on, 1 was below
+    changed = {f.rsplit("/", 2)[1] for f in before ^ files_of(spark, t.path)}
+    assert changed == {"ih_blockid=q-0", "ih_blockid=q-3", "ih_blockid=q-4"}
+    assert t.compact(["id"]) == {"new": ["q-4"], "rewritten": ["q-1"]}
+    assert t.compact(["id"]) == {"new": [], "rewritten": []}
+    kept = rows_of(t.read().where("id is not null and ih_offset is not null").select("id", "ih_offset"))
+    assert kept == [(1, "12"), (2, "7"), (3, "50"), (4, "2")]
+
+
+def test_compaction_block_by_block_equals_compaction_at_once(spark, workdir):
+    from ledgerline.operators.maintain import compact_latest
+
+    rows = spark.range(600).selectExpr("id % 37 as id", "cast((id * 7919) % 211 as string) as ih_offset", "id % 6 as b")
+    t = ChangelogTable(spark, f"{workdir}/steps")
+    for b in range(6):
+        t.append(rows.where(f"b = {b}").drop("b"), f"q-{b}")
+        t.compact(["id"])
+    assert rows_of(t.read().select("id", "ih_offset")) == rows_of(compact_latest(rows.drop("b"), ["id"]))
+
+
+def test_a_driver_lost_in_a_compaction(spark, workdir, monkeypatch):
+    t = ChangelogTable(spark, f"{workdir}/lost_log")
+    for b in range(3):
+        t.append(log_rows(spark, (1, str(10 + b)), (b + 2, str(b))), f"q-{b}")
+    for step in ("write", "_marks"):
+        with monkeypatch.context() as m:
+            m.setattr(ChangelogTable, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+            with pytest.raises(RuntimeError, match="driver lost"):
+                t.compact(["id"])
+    ChangelogTable(spark, t.path).append(log_rows(spark, (6, "1")), "q-3")
+    t.compact(["id"])
+    assert rows_of(t.read().select("id", "ih_offset")) == [(1, "12"), (2, "0"), (3, "1"), (4, "2"), (6, "1")]
+
+
+def test_truncation_is_whole_or_not_at_all(spark, workdir, monkeypatch):
+    t = ChangelogTable(spark, f"{workdir}/whole")
+    for b in range(3):
+        t.append(log_rows(spark, (b, "1")), f"q-{b}")
+    calls = []
+    delete = fs.delete
+
+    def lost(spark_, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return delete(spark_, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(fs, "delete", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            t.truncate()
+    again = ChangelogTable(spark, t.path)
+    again.append(log_rows(spark, (7, "1")), "q-9")
+    assert again.blocks() == ["q-9"]
+
+
+@pytest.mark.parametrize("lost_at", ["replace", "write", "done"])
+def test_a_driver_lost_between_truncate_and_load(spark, workdir, lost_at, monkeypatch):
+    """The stream repeats the block with a clock that started anew: the table
+    still holds that block and no other."""
+    t = ChangelogTable(spark, f"{workdir}/gap-{lost_at}")
+    base = dt.datetime(2024, 1, 1)
+    at = lambda m: base + dt.timedelta(minutes=m)
+    g = GapReloader(spark, t, 1800, started=base)
+    for b in range(3):
+        g.flush(log_rows(spark, (b, "1")), f"q-{b}", at(b), True)
+    with monkeypatch.context() as m:
+        m.setattr(ChangelogTable, lost_at, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError, match="driver lost"):
+            g.flush(log_rows(spark, (7, "1")), "q-3", at(60), True)
+    fresh = ChangelogTable(spark, t.path)
+    restarted = GapReloader(spark, fresh, 1800, started=at(61))
+    assert restarted.flush(log_rows(spark, (7, "1")), "q-3", at(62), True) is True
+    assert rows_of(fresh.read().select("id")) == [(7,)]
+    assert restarted.flush(log_rows(spark, (8, "1")), "q-4", at(63), True) is False
+    assert rows_of(fresh.read().select("id")) == [(7,), (8,)]
 
 
 def test_gap_reloader_counts_quiet_time_and_not_outages(spark, workdir):
@@ -240,11 +374,11 @@ def test_process_block_lands_and_applies(spark, workdir):
         landing_schema=LANDING, landing_path=f"{workdir}/t_INGEST", final_path=f"{workdir}/t",
         row_schema=ROW, key_schema=KEY, timestamps=["ts"], query_name="t",
     )
-    SnapshotTable(spark, opts.final_path, ["id"]).initialize(spark.createDataFrame([(1, "one", None), (5, "five", None)], "id bigint, name string, ts timestamp_ntz"))
+    CurrentTable(spark, opts.final_path, ["id"]).initialize(spark.createDataFrame([(1, "one", None), (5, "five", None)], "id bigint, name string, ts timestamp_ntz"))
     m = process_block(spark, raw_records(spark, [("c", 2, "two"), ("u", 1, "uno"), ("u", 2, "dos"), ("d", 5, "five")]), 0, opts)
     assert (m["records"], m["rows"], m["has_inserts"], m["has_updates"], m["has_deletes"]) == (4, 3, False, True, True)
     assert set(m["seconds"]) == {"stage", "land", "apply"}
-    final = SnapshotTable(spark, opts.final_path, ["id"]).read()
+    final = CurrentTable(spark, opts.final_path, ["id"]).read()
     assert sorted((r.id, r.name) for r in final.collect()) == [(1, "uno"), (2, "dos")]
     assert final.first()["ts"] == dt.datetime(2018, 1, 10, 10, 30, 40)
     landing = LandingTable(spark, opts.landing_path)
@@ -252,7 +386,7 @@ def test_process_block_lands_and_applies(spark, workdir):
     # replaying the same batch converges: one landing copy, same final state
     process_block(spark, raw_records(spark, [("c", 2, "two"), ("u", 1, "uno"), ("u", 2, "dos"), ("d", 5, "five")]), 0, opts)
     assert landing.read().count() == 3
-    assert SnapshotTable(spark, opts.final_path, ["id"]).read().count() == 2
+    assert CurrentTable(spark, opts.final_path, ["id"]).read().count() == 2
 
 
 def test_staged_flush_loads_through_csv_and_purges(spark, workdir):
@@ -262,7 +396,7 @@ def test_staged_flush_loads_through_csv_and_purges(spark, workdir):
     )
     m = process_block(spark, raw_records(spark, [("c", 1, 'quote " comma , newline \n'), ("c", 2, "")]), 0, opts)
     assert m["rows"] == 2
-    final = {r.id: r.name for r in SnapshotTable(spark, opts.final_path, ["id"]).read().collect()}
+    final = {r.id: r.name for r in CurrentTable(spark, opts.final_path, ["id"]).read().collect()}
     assert final == {1: 'quote " comma , newline \n', 2: ""}
     assert not fs.exists(spark, f"{workdir}/stage/{m['block_id']}")
     landed = LandingTable(spark, opts.landing_path).read(m["block_id"]).collect()
