@@ -187,10 +187,11 @@ def audit(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(*[F.coalesce(F.col(c), empty).alias(c) for c in ("lang", "source", "text")])
     counted = rows.mapInArrow(_count, _COUNTS).repartition("lang", "term")
     summed = counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    # both read the one shuffle by language and term; the kept terms are the side that is hashed
+    # both read the one shuffle by language and term (its columns must be the same, so ``docs``
+    # stays on both sides); the kept terms are the side that is hashed
     in_lang = summed.groupBy("lang", "term").agg(F.sum("docs").alias("lang_docs"), F.sum("n").alias("lang_n"))
     in_lang = in_lang.where((F.col("lang_docs") >= MIN_DOCS) | (F.col("term") == "")).drop("lang_docs")
-    known = scratch.keep(summed.drop("docs").join(in_lang.hint("shuffle_hash"), ["lang", "term"]), "known")
+    known = scratch.keep(summed.join(in_lang.hint("shuffle_hash"), ["lang", "term"]), "known")
     entries = known.where("term <> ''")
 
     languages = entries.groupBy("lang").agg(F.count_distinct("term").alias("kept"), F.sum("n").alias("lang_total"))
