@@ -20,7 +20,9 @@ The width is that of the ``PERCENTILE`` of a block's differences; larger ones
 are exceptions. The block index gives any id range without decoding the rest.
 
 Null text: the end id alone. Rows that repeat a doc_id are stored one by one,
-ordered by text. Null doc_ids come first. Empty table: no segments.
+ordered by a hash of the text, by which they are also dealt to shards: many rows
+under one id, or under none, are no single shard. Null doc_ids come first. Empty
+table: no segments.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import texts
-from ledgerline.llm.tokens import Encoder, encode_column
+from ledgerline.llm.byte_tokens import ByteTokens
 
 BLOCK, PERCENTILE, SEGMENT, END = 512, 0.95, 1 << 18, 2
 MAGIC, NULL_BIT = b"PFOR", 1 << 31
@@ -138,7 +140,7 @@ def decode_segment(payload: bytes) -> Iterator[tuple[int | None, int, np.ndarray
 
 def _write(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.load(path)
+        encoder = ByteTokens.load(path)
         end_id = END.to_bytes(4, "little")
         shard, segment, before = TaskContext.get().partitionId(), 0, 0
         keys: list[int | None] = []
@@ -153,7 +155,7 @@ def _write(path: str | None):
             )
 
         for rows in batches:
-            for doc_id, packed in zip(rows.column("doc_id").to_pylist(), encode_column(rows.column("text"), encoder)):
+            for doc_id, packed in zip(rows.column("doc_id").to_pylist(), encoder.column(rows.column("text"))):
                 keys.append(doc_id)
                 held.append(packed + end_id)
                 size += len(packed) // 4 + 1
@@ -168,7 +170,8 @@ def _write(path: str | None):
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Write the ids of all documents in ascending ``doc_id`` order."""
-    ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = texts(docs).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     ordered.mapInArrow(_write(tokenizer), SCHEMA).write.mode("overwrite").option("compression", "none").parquet(path)
 
 

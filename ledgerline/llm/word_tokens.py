@@ -7,7 +7,8 @@ only those are looked at in Python, and the ids of all chunks are gathered by
 array operations.
 
 ``WordTokens`` is the lower-casing word vocabulary: white space is dropped, and
-runs of letters, single digits and runs of anything else stand for themselves.
+runs of letters, single digits and runs of anything else stand for themselves
+(``byte_tokens`` has the byte-level one).
 Each worker keeps the ids of runs it has met, in two generations of ``CACHE``;
 a run of ASCII and Latin letters, digits or signs it has not met goes straight
 to the tokenizer's BPE model, and any other chunk (apostrophes, added tokens,
@@ -29,8 +30,8 @@ from ledgerline.llm.hashing import byte_view, spans_of_rows
 from ledgerline.llm.tokens import _byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE, LONG, SPAN = 400_000, 64, 2 << 20
-_MARKS = (".", ",", ";", ":", "!", "?")
+CACHE, LONG, SPAN = 700_000, 64, 2 << 20
+MARKS = (".", ",", ";", ":", "!", "?")
 _GAP = re.compile(r"[ \n]")
 _SIMPLE = re.compile("[!-&(-~À-ÿ]+")
 _RUNS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^0-9A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -56,14 +57,14 @@ def gather(packed: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def chunks_of(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct parts of texts (without line feeds) split at spaces, the
-    part at each place in order, and places before each text (and in all)."""
+    """The distinct parts of texts split at spaces, the part at each place in
+    order, and places before each text (and in all)."""
     split = pc.split_pattern(column, " ")
     before = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())]).astype(np.int64)
     parts = split.flatten().dictionary_encode()
-    # no part holds a line feed: one text cut again is faster than a list of scalars
+    # no part holds a space: one text cut again is faster than a list of scalars
     one = pa.ListArray.from_arrays([0, len(parts.dictionary)], parts.dictionary.cast(pa.string()))
-    return pc.binary_join(one, "\n")[0].as_py().split("\n"), parts.indices.to_numpy(), before
+    return pc.binary_join(one, " ")[0].as_py().split(" "), parts.indices.to_numpy(), before
 
 
 class Kept(dict):
@@ -119,7 +120,7 @@ class WordTokens:
         """Of a text without spaces and line feeds."""
         if chunk.isalpha() and (chunk.isascii() or max(chunk) <= "ÿ"):
             return self.runs[chunk.lower()]
-        if chunk[-1:] in _MARKS and chunk[:-1].isalpha() and (chunk.isascii() or max(chunk) <= "ÿ"):
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha() and (chunk.isascii() or max(chunk) <= "ÿ"):
             return self.runs[chunk[:-1].lower()] + self.runs[chunk[-1]]
         if not _SIMPLE.fullmatch(chunk) or ("|" in chunk and any(a in chunk for a in self.added)):
             return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
