@@ -20,7 +20,10 @@ from pyspark.sql import types as T
 from ledgerline.constants import IH_COLUMNS
 from ledgerline.functions.names import name_in, norm, resolve
 from ledgerline.functions.temporal import days_to_date, millis_to_local_datetime, nanos_to_time_text
-from ledgerline.sources.decode import entry_lookup, lowered_entries
+from ledgerline.sources.decode import entry_lookup, fields_by_name, lowered_entries
+
+# More target columns than this are looked up in one pass over a record's fields.
+WIDE = 16
 
 log = logging.getLogger(__name__)
 
@@ -111,7 +114,11 @@ def align_to_target(
     own = {norm(c) for c in IH_COLUMNS}
     available = [c for c in physical if c != map_col and (map_col is None or norm(c) in own)]
     entries = None
-    if map_col is not None:
+    wide = map_col is not None and len(fields) > WIDE
+    if wide:
+        entries = "__fields"
+        df = df.withColumn(entries, fields_by_name(physical.get(map_col, map_col), [f.name for f in fields]))
+    elif map_col is not None:
         # lower-case the map's keys once per row, not once per target column
         entries = "__entries"
         df = df.withColumn(entries, lowered_entries(physical.get(map_col, map_col)))
@@ -121,6 +128,8 @@ def align_to_target(
         source = resolve(field.name, available, dup)
         if source is not None:
             value = F.col(f"`{physical[source]}`")
+        elif wide:
+            value = F.col(entries)[norm(field.name)]
         elif entries is not None:
             value = entry_lookup(entries, field.name)
         else:

@@ -169,6 +169,22 @@ FROM changes, bounds WHERE (ih_offset - lo) * 2 >= hi - lo + 1""",
     "append_changelog": CHANGELOG,
     "stream_changelog": CHANGELOG,
     "stream_file_sink": CHANGELOG,
+    "stream_progress": _with(CHANGES, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""")
+    + """SELECT CAST((ih_offset - lo) * 5 // (hi - lo + 1) AS INTEGER) AS batch, count(*) AS records, count(*) AS rows,
+       count(*) FILTER (ih_op <> 'd') AS upserts, count(*) FILTER (ih_op = 'd') AS deletes,
+       CAST((ih_offset - lo) * 5 // (hi - lo + 1) >= 2 AS INTEGER) AS failures
+FROM changes, bounds GROUP BY ALL""",
+    "catalog_copy_into": _with(CHANGES)
+    + """SELECT CAST(NULL AS VARCHAR) AS note, ih_topic, ih_offset, ih_partition, ih_op, ih_datetime, id, type, value, props,
+       'catalog-000000000000' AS ih_blockid, false AS stage_left FROM changes""",
+    "catalog_truncate": _with(CHANGES, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""")
+    + """SELECT ih_topic, ih_partition, ih_offset, ih_op, id, type, value, props
+FROM changes, bounds WHERE (ih_offset - lo) * 2 >= hi - lo + 1 AND ih_op <> 'd'""",
+    "metadata_columns": _with(CHANGES) + 'SELECT type AS "TYPE", id AS "ID", ih_offset AS "IH_OFFSET" FROM changes',
+    "stamp_now": _with(CHANGES) + "SELECT ih_offset, 'now-000000000000' AS ih_blockid, true AS within, 1 AS times FROM changes",
+    "wide_schemaless": _with(CHANGES)
+    + """SELECT CAST(ih_offset AS VARCHAR) AS ih_offset, CAST(id AS VARCHAR) AS field_1, CAST(id * 100 AS VARCHAR) AS field_100,
+       'last-' || type AS field_200, CAST(id * 299 AS VARCHAR) AS field_299, CAST(NULL AS VARCHAR) AS missing FROM changes""",
     "stream_limited": f"SELECT *, CAST(ceil((SELECT count(*) FROM events) / 1000.0) AS INTEGER) AS batches FROM ({CHANGELOG})",
     "stream_gap_reload": _with(CHANGES, """bounds AS (SELECT min(ih_offset) AS lo, max(ih_offset) AS hi FROM changes)""")
     + """SELECT id, type, CAST(ih_offset AS VARCHAR) AS ih_offset FROM changes, bounds WHERE (ih_offset - lo) * 5 >= (hi - lo + 1) * 2""",

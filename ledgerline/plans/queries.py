@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.temporal import micros_of_ntz, millis_to_local_datetime, days_to_date, nanos_to_time_text
+from ledgerline.functions.temporal import micros_of_ntz, ntz_literal, millis_to_local_datetime, days_to_date, nanos_to_time_text
 from ledgerline.operators.align import align_to_target
 from ledgerline.operators.apply import apply_block, delete_by_key, merge_upsert, store_block
 from ledgerline.operators.conflate import block_flags as _block_flags
@@ -36,6 +37,7 @@ from ledgerline.sinks.staging import copy_into_landing, load_staged, stage_csv
 from ledgerline.sinks.current import CurrentTable
 from ledgerline.sinks.tables import ChangelogTable, LandingTable
 from ledgerline.sources.changes import read_changes
+from ledgerline.sources.catalog import target_columns
 from ledgerline.sources.decode import decode_envelope as _decode_envelope
 from ledgerline.sources.decode import decode_schemaless as _decode_schemaless
 
@@ -488,6 +490,112 @@ def stream_gap_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ChangelogTable(spark, opts.landing_path).read().drop("ih_blockid")
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener saw of each micro-batch: records read, rows, upserts and
+    deletes written, and failed upkeep runs (one fails, after the second)."""
+    from ledgerline.streaming.progress import FlushProgress, counted
+    from ledgerline.streaming.runner import Maintenance, append_stream
+
+    ch = changes(spark, sf_dir).drop("ih_datetime")
+    base = work_dir(spark, "progress")
+    missing = ChangelogTable(spark, f"{base}/log")
+    missing.append(ch.limit(0).withColumn("id", F.lit(None).cast("long")), "none")
+    upkeep = Maintenance(None, "PT1H", changelog=missing, keys=["no_such_column"])
+    name = f"stream_progress_{base.rsplit('-', 1)[1]}"
+    progress = FlushProgress(name, upkeep)
+    spark.streams.addListener(progress)
+    try:
+        for b, part in enumerate(_blocks(ch)):
+            part.write.mode("overwrite").parquet(f"{base}/source/block-{b:05d}")
+            rows = counted(_add_provenance(_file_stream(spark, f"{base}/source", ch.schema), variant="changelog"))
+            append_stream(rows, f"{base}/events", f"{base}/checkpoint", name).awaitTermination()
+            until = time.monotonic() + 60  # reports come on a thread of their own
+            while b not in progress.batches and time.monotonic() < until:
+                time.sleep(0.05)
+            if b == 1:
+                missing.append(ch, "all")
+                upkeep.maybe_run(_dt.datetime.fromisoformat(EXPIRE_NOW))
+    finally:
+        spark.streams.removeListener(progress)
+    rows = [(b, *[m[k] for k in ("records", "rows", "upserts", "deletes", "failures")]) for b, m in sorted(progress.batches.items())]
+    return spark.createDataFrame(rows, "batch int, records bigint, rows bigint, upserts bigint, deletes bigint, failures int")
+
+
+def _catalog_table(spark: SparkSession, name: str, schema: T.StructType, partition_by=()):
+    """A managed table in a database of its own under the work folder."""
+    from ledgerline.sinks.catalog_table import CatalogTable
+
+    base = work_dir(spark, name)
+    database = f"ll_{name}_{base.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/db'")
+    table = CatalogTable(spark, f"{database}.events_INGEST")
+    table.create(schema, partition_by)
+    return table, base
+
+
+def catalog_copy_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged block loaded into a catalog table by its column list; the table
+    has the columns in another order, and one more."""
+    rows = _landing_rows(spark, sf_dir, "catalog-000000000000")
+    wider = T.StructType([T.StructField("note", T.StringType()), *reversed(rows.schema.fields)])
+    target, base = _catalog_table(spark, "copy_into", wider)
+    stage_csv(rows, f"{base}/stage")
+    target.copy_into(f"{base}/stage", rows.schema)
+    return target.read().withColumn("stage_left", F.lit(fs.exists(spark, f"{base}/stage")))
+
+
+def catalog_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks loaded into a catalog table partitioned by op; emptied after the
+    first; the partition of deletes dropped at the end."""
+    ch = changes(spark, sf_dir).drop("ih_datetime")
+    target, _ = _catalog_table(spark, "catalog", ch.schema, ["ih_op"])
+    for b, part in enumerate(_blocks(ch, n=2)):
+        if b:
+            target.truncate()
+        target.load(part)
+    target.drop_partition(ih_op="d")
+    return target.read()
+
+
+def metadata_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes aligned to upper-cased columns from driver metadata, in which a
+    name comes twice."""
+    listed = T.StructType([T.StructField(n, T.StringType()) for n in ("type", "id", "ih_offset", "id", "value", "type")])
+    return align_to_target(changes(spark, sf_dir), target_columns(spark, listed, ignore=["VALUE"], distinct=True, upper=True))
+
+
+def stamp_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provenance with the clock of the run: one time for the whole block, in
+    UTC, between the start and the end of the write."""
+    rows = _add_provenance(changes(spark, sf_dir).drop("ih_datetime"), block_id="now-000000000000")
+    landing = LandingTable(spark, work_dir(spark, "now") + "/events_INGEST")
+    before = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    landing.land(rows, "now-000000000000")
+    after = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    landed = landing.read()
+    times = landed.agg(F.count_distinct("ih_datetime").alias("times"))
+    within = F.col("ih_datetime").between(ntz_literal(before), ntz_literal(after))
+    return landed.crossJoin(F.broadcast(times)).select("ih_offset", "ih_blockid", within.alias("within"), "times")
+
+
+def wide_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemaless records of 300 fields, names in mixed case, some twice, looked
+    up in one pass; every hundredth column comes back."""
+    from ledgerline.plans.flush import SinkOptions, prepare_changelog
+
+    ch = changes(spark, sf_dir)
+    many = [(F.col("id") * k).cast("string").alias(f"Field_{k}") for k in range(300)]
+    last = F.concat(F.lit("last-"), "type").alias("FIELD_200")
+    both = ch.select("ih_topic", "ih_partition", "ih_offset", F.to_json(F.struct(*many)).alias("payload"), F.to_json(F.struct(last)).alias("extra"))
+    raw = both.select(
+        F.col("ih_topic").alias("topic"), F.col("ih_partition").alias("partition"), F.col("ih_offset").alias("offset"),
+        F.expr("concat(substring(payload, 1, length(payload) - 1), ',', substring(extra, 2, length(extra) - 1))").alias("value"),
+    )
+    schema = T.StructType([T.StructField(f"field_{k}", T.StringType()) for k in range(300)] + [T.StructField("missing", T.StringType()), T.StructField("ih_offset", T.StringType())])
+    aligned = prepare_changelog(raw, SinkOptions(landing_schema=schema, landing_path="", mode="schemaless"))
+    return aligned.select("ih_offset", "field_1", "field_100", "field_200", "field_299", "missing")
+
+
 def schemaless_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schemaless records whose payload has a field named like a column of the
     record itself: the payload's value is the row's."""
@@ -515,8 +623,9 @@ def discover_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ch = changes(spark, sf_dir)
     target = ch.select("id", "value", "props", "type", "ih_offset").schema
-    spark.createDataFrame([], target).createOrReplaceTempView("ll_discovered_INGEST")
-    opts = SinkOptions.discover(spark, "ll_discovered_INGEST", landing_path="", ignore_columns=["props", "TYPE"], distinct=True)
+    view = f"ll_discovered_{uuid.uuid4().hex}_INGEST"
+    spark.createDataFrame([], target).createOrReplaceTempView(view)
+    opts = SinkOptions.discover(spark, view, landing_path="", ignore_columns=["props", "TYPE"], distinct=True)
     return align_to_target(ch, opts.landing_schema)
 
 
@@ -635,6 +744,12 @@ QUERIES = {
     "stream_limited": stream_limited,
     "stream_file_sink": stream_file_sink,
     "stream_gap_reload": stream_gap_reload,
+    "stream_progress": stream_progress,
+    "catalog_copy_into": catalog_copy_into,
+    "catalog_truncate": catalog_truncate,
+    "metadata_columns": metadata_columns,
+    "stamp_now": stamp_now,
+    "wide_schemaless": wide_schemaless,
     "schemaless_timestamp": schemaless_timestamp,
     "discover_columns": discover_columns,
     "land_block_copy_only": land_block_copy_only,

@@ -187,17 +187,18 @@ class ChangelogTable(BlockTable):
         their keys, looked up in the marks' partitions of those keys, say which
         older blocks hold rows they supersede. Those, and new blocks with rows
         below the greatest, are rewritten; all other folders stay as they are.
-        ``keep`` names blocks to leave alone (a stream's newest, which may yet be
-        replayed). Rows without a whole key or an offset stay.
+        ``keep`` names blocks to leave as they are (a stream's newest, which may yet
+        be replayed); they supersede rows of others all the same. Rows without
+        a whole key or an offset stay.
         """
         self.recover()
         text = fs.read_text(self.spark, f"{self.path}/_compacted.json") if self.exists() else None
         known = set(json.loads(text)["blocks"]) if text else set()
         blocks = set(self.blocks()) if self.exists() else set()
-        new = sorted(blocks - known - set(keep))
-        if not new:
+        new, held = sorted(blocks - known - set(keep)), sorted(blocks & set(keep))
+        if not new and not held:
             return {"new": [], "rewritten": []}
-        keys, schema = list(keys), self.schema(f"{IH_BLOCKID}={new[0]}")
+        keys, schema = list(keys), self.schema(f"{IH_BLOCKID}={[*new, *held][0]}")
         offset = F.expr(f"try_cast(`{offset_col}` AS BIGINT)")  # changelog offsets are stored as text
         key = [F.col(f"`{k}`") for k in keys]
         whole = offset.isNotNull()
@@ -207,35 +208,33 @@ class ChangelogTable(BlockTable):
         def rows_of(names: Sequence[str]) -> DataFrame:
             return self.scan(schema, *[f"{IH_BLOCKID}={b}" for b in names])
 
-        latest = rows_of(new).where(whole).groupBy(*key, IH_BLOCKID).agg(F.max(offset).alias(_MAX), F.min(offset).alias("ll_least"))
-        top = latest.groupBy(*keys).agg(F.max(_MAX).alias(_MAX))
+        latest = rows_of([*new, *held]).where(whole).groupBy(*key, IH_BLOCKID).agg(F.max(offset).alias("ll_most"), F.min(offset).alias("ll_least"))
+        top = latest.groupBy(*keys).agg(F.max("ll_most").alias(_MAX))
         marks = self._marks(keys)
-        old = marks.lookup(top, keys) if marks.exists() else None
-        if old is not None:
-            seen = old.select(*key, F.col(_MAX).alias("ll_old"), F.col(_BLOCKS).alias("ll_old_blocks"))
-            top = top.join(seen, keys, "left")
+        if marks.exists():
+            old = marks.lookup(top, keys).select(*key, F.col(_MAX).alias("ll_old"), F.col(_BLOCKS).alias("ll_old_blocks"))
+            top = top.join(old, keys, "left").withColumn(_MAX, F.greatest(_MAX, "ll_old"))
         else:
-            top = top.withColumn("ll_old", F.lit(None).cast("bigint")).withColumn("ll_old_blocks", F.lit(None).cast("array<string>"))
-        limit = F.greatest(_MAX, "ll_old")
-        path = f"{self.path}/_limits"
-        holds = latest.withColumnRenamed(_MAX, "ll_in_block").join(top, keys).withColumn("ll_limit", limit)
-        per_key = holds.groupBy(*keys).agg(
-            F.first("ll_limit").alias(_MAX), F.first("ll_old").alias("ll_old"), F.first("ll_old_blocks").alias("ll_old_blocks"),
-            F.sort_array(F.collect_set(F.when(F.col("ll_in_block") == F.col("ll_limit"), F.col(IH_BLOCKID)))).alias("ll_new_blocks"),
-            F.sort_array(F.collect_set(F.when(F.col("ll_least") < F.col("ll_limit"), F.col(IH_BLOCKID)))).alias("ll_stale"),
+            top = top.withColumn("ll_old", F.lit(None).cast("bigint")).withColumn("ll_old_blocks", F.array().cast("array<string>"))
+        ours = ~F.col(IH_BLOCKID).isin(held) if held else F.lit(True)
+        per_key = latest.join(top, keys).groupBy(*keys).agg(
+            F.first(_MAX).alias(_MAX), F.first("ll_old").alias("ll_old"), F.first("ll_old_blocks").alias("ll_old_blocks"),
+            F.sort_array(F.collect_set(F.when(ours & (F.col("ll_most") == F.col(_MAX)), F.col(IH_BLOCKID)))).alias("ll_now"),
+            F.sort_array(F.collect_set(F.when(ours & (F.col("ll_least") < F.col(_MAX)), F.col(IH_BLOCKID)))).alias("ll_stale"),
         )
+        path = f"{self.path}/_limits"
         per_key.write.mode("overwrite").parquet(path)
         per_key = self.spark.read.schema(per_key.schema).parquet(path)
-        passed = F.col("ll_old") < F.col(_MAX)
-        stale = F.concat("ll_stale", F.when(passed, F.col("ll_old_blocks")).otherwise(F.array().cast("array<string>")))
+        none = F.array().cast("array<string>")
+        passed = F.when(F.col("ll_old") < F.col(_MAX), F.col("ll_old_blocks")).otherwise(none)
         # names of blocks, at most all there are
-        rewrite = sorted(r[0] for r in per_key.select(F.explode(stale)).distinct().collect() if r[0] in blocks)
+        rewrite = sorted(r[0] for r in per_key.select(F.explode(F.concat("ll_stale", passed))).distinct().collect() if r[0] in blocks)
         if rewrite:
             kept = rows_of(rewrite).join(per_key.select(*keys, _MAX), keys, "left")
             kept = kept.where(~F.coalesce(offset < F.col(_MAX), F.lit(False))).select(*[F.col(f"`{c}`") for c in schema.names])
             self.replace(kept, [f"{IH_BLOCKID}={b}" for b in rewrite])
-        where = F.when(passed | F.col("ll_old").isNull(), F.col("ll_new_blocks")).otherwise(F.array_union("ll_old_blocks", "ll_new_blocks"))
-        marks.apply(per_key.select(*key, _MAX, where.alias(_BLOCKS), F.lit("u").alias(_OPCOL)), op_col=_OPCOL)
+        still = F.when(F.col("ll_old") == F.col(_MAX), F.col("ll_old_blocks")).otherwise(none)
+        marks.apply(per_key.select(*key, _MAX, F.array_union(still, "ll_now").alias(_BLOCKS), F.lit("u").alias(_OPCOL)), op_col=_OPCOL)
         fs.write_text(self.spark, f"{self.path}/_compacted.json", json.dumps({"blocks": sorted((known | set(new)) & set(self.blocks()))}))
         fs.delete(self.spark, path)
         return {"new": new, "rewritten": rewrite}

@@ -185,6 +185,22 @@ def entry_lookup(entries_col, name: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
+def fields_by_name(map_col, names) -> Column:
+    """A struct of the values of ``names`` (lower-cased, trimmed) in a text map,
+    ignoring case; the last match wins.
+
+    One pass over the entries, however many names there are: the entries are
+    written as one JSON object with lower-cased keys and parsed into the struct,
+    where a later value of a key replaces an earlier one. A lookup per name would
+    go over all entries for each of them.
+    """
+    m = F.col(map_col) if isinstance(map_col, str) else map_col
+    wanted = T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(x.strip().lower() for x in names)])
+    one = F.transform(F.map_entries(m), lambda e: F.to_json(F.create_map(F.lower(e["key"]), e["value"]), {"ignoreNullFields": "false"}))
+    text = F.concat(F.lit("{"), F.array_join(F.transform(one, lambda t: F.substring(t, F.lit(2), F.length(t) - 2)), ","), F.lit("}"))
+    return F.from_json(text, wanted)
+
+
 def primary_key(schema: T.StructType, key_col: str = "key") -> list[str]:
     """Primary-key field names, in the key schema's order."""
     ktype = schema[key_col].dataType
