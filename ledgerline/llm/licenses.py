@@ -73,7 +73,14 @@ def license_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
     hits = _grams(texts, "doc_id", "text_hash").join(F.broadcast(templates(spark)), ["k", "gram"])
     hits = hits.withColumn("diagonal", F.col("pos") - F.col("at"))
-    standing = F.filter(F.sequence(F.lit(0), F.size("wanted") - 1), lambda j: F.get("words", F.col("diagonal") + j) == F.get("wanted", j))
+    # A stage of generated code hands on all rows of a text together, so a hit must not carry the
+    # text's words out of it: the few that the template covers are cut out in the stage of the join.
+    # (No expression of the partition's number is moved, so the cut stays where it is.)
+    begin = F.greatest(F.col("diagonal"), F.lit(0))
+    cut = F.slice("words", begin + 1, F.size("wanted") + F.col("diagonal") - begin)
+    hits = hits.select("doc_id", "text_hash", "template", "label", "exact", "diagonal", "wanted", F.when(F.spark_partition_id() >= 0, cut).alias("near"))
+    ahead = F.col("diagonal") - F.greatest(F.col("diagonal"), F.lit(0))
+    standing = F.filter(F.sequence(F.lit(0), F.size("wanted") - 1), lambda j: F.get("near", ahead + j) == F.get("wanted", j))
     votes = hits.select("doc_id", "text_hash", "template", "label", "exact", "diagonal", F.size("wanted").alias("length"), standing.alias("standing"))
     diagonals = votes.groupBy("doc_id", "text_hash", "template", "diagonal").agg(
         F.first("label").alias("label"), F.first("exact").alias("exact"), F.first("length").alias("length"), F.first("standing").alias("standing"), F.count("*").alias("votes")

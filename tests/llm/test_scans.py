@@ -295,3 +295,30 @@ def test_word_hashes_do_not_depend_on_stretches(monkeypatch):
     monkeypatch.setattr(hashing, "SPAN_BYTES", 48)
     parts, again = hashing.word_hashes(raw, starts)
     assert (whole == parts).all() and (rows == again).all()
+
+
+def test_license_hits_do_not_carry_their_text(spark, tmp_path):
+    """A million words with ten thousand hits, in a JVM of 1.8 GB."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f'''
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.driver.memory", "1800m").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+from ledgerline.llm.licenses import scan_licenses
+words = [f"w{{k % 997}}" for k in range(1_000_000)]
+for k in range(0, 1_000_000, 100):
+    words[k:k + 3] = ["under", "the", "terms"]
+words[500_010:500_015] = ["licensed", "under", "the", "mit", "license"]
+words[7:9] = ["cc", "by"]
+path = "{tmp_path}/long"
+spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string").write.parquet(path)
+row = scan_licenses(spark, spark.read.parquet(path)).first()
+print("found", row.n_words, row.n_base, row.first_word, row.labels)
+'''
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600)
+    assert "found 1000000 1 7 cc-by,mit" in out.stdout, out.stderr[-2_000:]
