@@ -84,12 +84,12 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     parts = F.coalesce(parts, text_part(F.col("text")))
     said = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role"), F.lit("")).alias("role"), parts.alias("parts"),
+        F.coalesce(F.col("role"), F.lit("")).alias("role"), parts.alias("parts"), F.coalesce(F.col("text"), F.lit("")).alias("plain"),
     )
-    said = said.select("conv_id", "turn", "role", _content(F.col("parts")).alias("body"), _tokens(F.col("parts")).alias("tokens"), _attachments(F.col("parts"), F.col("turn")).alias("files"))
+    said = said.select("conv_id", "turn", "role", "plain", _content(F.col("parts")).alias("body"), _tokens(F.col("parts")).alias("tokens"), _attachments(F.col("parts"), F.col("turn")).alias("files"))
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(SAYS))
     said = said.withColumn("head", head)
-    packed = F.struct("turn", "role", "body", "head", "tokens", "files")
+    packed = F.struct("turn", "role", "plain", "body", "head", "tokens", "files")  # ties: role and text as they are, then parts
     convs = said.groupBy("conv_id").agg(F.sort_array(F.collect_list(packed)).alias("turns"))
     turn_text = F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(STOP)))
     sizes = F.transform("turns", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(STOP))

@@ -335,3 +335,10 @@ def test_pipeline_of_odd_and_empty_tables(spark, odd, empty):
         for _, stage in P.STAGES:
             df = stage(spark, df, SF)
         df.collect()
+
+
+def test_ties_of_a_turn_are_in_the_order_of_their_texts(spark):
+    rows = [(1, 0, "user", t) for t in ("<b", "0", "[c", "&", "A")] + [(1, 0, "<role", "z")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    read = chat.format_conversations(turns).select(chat.read_turns(F.col("formatted")).alias("t")).first()["t"]
+    assert [(t["role"], t["text"]) for t in read] == sorted((r[2], r[3]) for r in rows)
