@@ -3,13 +3,16 @@
 Words are maximal runs of bytes outside a set of separators: by default space
 and ``\\t``..``\\r`` (the ASCII white space), or every ASCII character but
 letters and digits, after lower-casing ``A``-``Z``. All are byte-wise rules,
-so UTF-8 text needs no decoding. A word's hash is a polynomial over its bytes
-modulo 2^64 taken from prefix sums, so one pass of array operations hashes
-every word of a batch; shingle hashes combine five word hashes.
+so UTF-8 text needs no decoding. Words of up to eight bytes have hashes of
+their own (one bijective mix of the bytes); up to ``CHAINED`` bytes, eight-byte
+blocks are mixed one after the other; longer ones, which may be made to collide,
+take a keyed BLAKE2b digest. So one pass of array operations hashes nearly every
+word of a batch; shingle hashes combine five word hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,15 +21,15 @@ import pyarrow as pa
 SHINGLE = 5
 SPAN_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+CHAINED = 32
+_KEY = b"ledgerline words"
+_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)  # masks of the first n bytes
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 NOT_WORD = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _LANES = np.random.default_rng(20240117).integers(1, 1 << 63, size=SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -40,15 +43,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS.get("p", np.zeros(0)).size < n:
-        for name, base in (("p", _BASE), ("q", _BASE_INV)):
-            steps = np.full(max(n, SPAN_BYTES + 1), base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["p"], _POWERS["q"]
-
-
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and where each row starts (rows + 1
     entries). A null is an empty text."""
@@ -90,6 +84,27 @@ def word_bounds(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE
     return first, last, np.searchsorted(first, starts)
 
 
+def _hash_words(letters: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A hash of each ``letters[first:last]``."""
+    # No byte of UTF-8 text is 255: with one added, none is 0, so that the empty
+    # places of a block tell words of different lengths apart.
+    padded = np.zeros(letters.size + 8, dtype=np.uint8)
+    np.add(letters, 1, out=padded[: letters.size])
+    blocks = np.ndarray((letters.size + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    sizes = last - first
+    out = mix64(blocks[first] & _BYTES[np.minimum(sizes, 8)])
+    for at in range(8, CHAINED, 8):
+        more = np.flatnonzero((sizes > at) & (sizes <= CHAINED))
+        if not more.size:
+            continue
+        block = blocks[first[more] + at] & _BYTES[np.minimum(sizes[more] - at, 8)]
+        out[more] = mix64(mix64(out[more] + _LANES[at // 8]) ^ block)
+    for k in np.flatnonzero(sizes > CHAINED).tolist():
+        digest = hashlib.blake2b(letters[first[k] : last[k]].tobytes(), digest_size=8, key=_KEY).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """A hash per word in order (``fold``: of the word in lower case), and
     words before each row. A long text is hashed in stretches that end between
@@ -107,11 +122,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, between: np.ndarray = SPACE
         part = raw[low:high]
         own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high, side="right")] - low
         first, last, _ = word_bounds(part, np.unique(np.concatenate([[0], own])), between)
-        power, inverse = _powers(part.size + 1)
-        sums = np.zeros(part.size + 1, dtype=np.uint64)
-        letters = LOWER[part] if fold else part
-        np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * power[: part.size], out=sums[1:])
-        found.append(mix64((sums[last] - sums[first]) * inverse[first]))
+        found.append(_hash_words(LOWER[part] if fold else part, first, last))
         at.append(first + low)
         low = high
     if not found:

@@ -28,7 +28,8 @@ likelihood test leaves a further five standard deviations.
 
 Empty or null text: an empty set, linked with nothing, its own component. A
 text of one to four words is one shingle. Rows that repeat a doc_id are one
-document; each gets the same answer. A null doc_id takes part in no link and
+document; each gets the same answer, and a class is compared once however often
+its rows repeat. A null doc_id takes part in no link and
 has a null component. Empty table: no rows.
 """
 
@@ -155,17 +156,32 @@ def _edges(ids: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[at[:, 0]], pa.int64()), pa.array(ids[at[:, 1]], pa.int64())], names=["a", "b"])
 
 
+def _key(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    key = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True)
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the key of their text's set."""
+    for batch in batches:
+        keys = [_key(shingles) for shingles in hashing.row_shingles(batch.column("text"))]
+        for k, name in enumerate(("key_a", "key_b")):
+            batch = batch.append_column(name, pa.array([key[k] for key in keys], pa.int64()))
+        yield batch
+
+
 def _sketch(band: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, starts = hashing.byte_view(batch.column("text"))
             rows: dict[str, list] = {k: [] for k in ("n", "a", "b", "registers", "bands")}
             for shingles in hashing.row_shingles(batch.column("text")):
-                key = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+                key_a, key_b = _key(shingles)
                 registers = registers_of(shingles) if shingles.size else None
                 rows["n"].append(shingles.size)
-                rows["a"].append(int.from_bytes(key[:8], "little", signed=True))
-                rows["b"].append(int.from_bytes(key[8:], "little", signed=True))
+                rows["a"].append(key_a)
+                rows["b"].append(key_b)
                 rows["registers"].append(None if registers is None else registers.tobytes())
                 rows["bands"].append(None if registers is None else _band_keys(registers, band))
             yield pa.RecordBatch.from_arrays(
@@ -234,7 +250,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     sets = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = sets.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("doc_id"))
     classes = scratch.keep(classes, "classes")
-    heads = sets.join(classes, ["doc_id", "key_a", "key_b"], "left_semi").dropDuplicates(["doc_id", "key_a", "key_b"])
+    heads = sets.join(classes, ["doc_id", "key_a", "key_b"], "left_semi").groupBy("doc_id", "key_a", "key_b").agg(
+        *(F.first(c).alias(c) for c in ("n_shingles", "n_bytes", "registers", "bands")), F.count("*").alias("copies")
+    )
     heads = scratch.keep(heads, "heads")
 
     banded = heads.select("doc_id", F.explode("bands").alias("band"))
@@ -253,7 +271,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     wanted = plan.select("doc_id", "component", "blocks", "block").distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    dealt = texts(docs).join(wanted, "doc_id").select(
+    own = texts(docs).join(wanted, "doc_id")
+    repeated = heads.where("copies > 1").select("doc_id").distinct()
+    if not repeated.isEmpty():
+        again = own.join(repeated, "doc_id", "left_semi")
+        again = again.mapInArrow(_keyed, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in again.schema)}, key_a long, key_b long")
+        again = again.dropDuplicates(["doc_id", "key_a", "key_b"]).drop("key_a", "key_b")
+        own = own.join(repeated, "doc_id", "left_anti").unionByName(again)
+    dealt = own.select(
         "doc_id", "text", "component", "block",
         F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j")))).alias("pair"),
     ).select("doc_id", "text", "component", "block", "pair.i", "pair.j")
@@ -262,8 +287,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
 
     of_class = classes.withColumnRenamed("doc_id", "class_id").join(linked, "class_id", "left").select("key_a", "key_b", F.coalesce("component", "class_id").alias("component_id"))
     joined = sketches.select("doc_id", "n_shingles", "key_a", "key_b").join(of_class, ["key_a", "key_b"], "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    result = joined.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    answer = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    result = joined.select("doc_id", "n_shingles", answer.alias("component_id"), F.col("doc_id").eqNullSafe(answer).alias("kept"))
     result = scratch.keep(result, "result")
     scratch.drop("sketches", "classes", "heads", "near-labels", "plan")
     return result

@@ -113,6 +113,43 @@ def test_odd_and_empty_tables(spark, odd, empty):
     assert N.near_duplicates(spark, empty).count() == 0
 
 
+def test_words_that_collide_in_sums_stay_apart(spark):
+    swap = str.maketrans("ab", "ba")
+    word = "a"
+    for _ in range(11):
+        word += word.translate(swap)
+    texts = [word, word.translate(swap), word.upper(), word[:1024], word[1024:], word[:1024].translate(swap)]
+    out = answer(N.near_duplicates(spark, docs(spark, texts)))
+    assert out == components(list(enumerate(texts)))
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    seen = []
+    words = [f"w{k}" for k in range(60)]
+    texts = {1: " ".join(words), 2: " ".join(words[:-1]), 3: " ".join(words[1:]).upper(), 4: "something else altogether that stands alone"}
+    rows = [(i, t) for i, t in texts.items()] + [(2, texts[2])] * 3_000 + [(3, texts[3].lower())] * 50 + [(2, texts[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    verify = N._verify
+
+    def counted(percent):
+        inner = verify(percent)
+
+        def run(batches):
+            held = list(batches)
+            for key in {(c, i, j) for b in held for c, i, j in zip(*(b.column(k).to_pylist() for k in ("component", "i", "j")))}:
+                size = sum(k == key for b in held for k in zip(*(b.column(n).to_pylist() for n in ("component", "i", "j"))))
+                assert size <= 10, size
+            yield from inner(iter(held))
+
+        return run
+
+    monkeypatch.setattr(N, "_verify", counted)
+    out = N.near_duplicates(spark, df).collect()
+    assert len(out) == len(rows)
+    # the texts of id 2 are one document, which links 4 to the others
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in out} == {(1, 56, 1), (2, 55, 1), (3, 55, 1), (4, 2, 1), (2, 2, 1)}
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (5, 5)]
     df = spark.createDataFrame(edges, "a long, b long")
