@@ -15,13 +15,15 @@ is one window, the whole of it:
    the radius. At a similarity of exactly 0.8 a window is farther than
    ``RADIUS`` with probability about 2e-6 (64 bits, 15 % of them expected to
    differ), and less above it. Of a window shorter than the item up to 19 % are
-   expected to differ, so that its limit is ``SHORT_RADIUS``.
+   expected to differ, so that its limit is ``SHORT_RADIUS``, with tables cut into
+   as many blocks and one more.
 3. The exact weighted-shingle similarity (sum of smaller over sum of larger
    counts, on the words themselves) verifies each candidate.
 
 The benchmark is read in blocks of about ``BLOCK_BYTES`` of text; each block's
-index is broadcast to one pass over the documents, so the broadcast has a
-fixed bound and a larger benchmark is more passes.
+index is broadcast to one pass over the documents. With more blocks than one a
+pass is written and its broadcast freed before the next, so what is broadcast at
+any time has a fixed bound.
 
 Items or texts that are null, empty or shorter than five words match nothing.
 The result has one row per document and item, the most similar window (ties:
@@ -40,11 +42,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import hashing
-from ledgerline.llm.common import reach_workers, texts
+from ledgerline.llm.common import Scratch, reach_workers, texts
 
 SIMILARITY, RADIUS, SHORT_RADIUS, BITS = 0.8, 24, 30, 64
 BLOCK_BYTES = 16 << 20
-_EDGES = [round(k * BITS / (RADIUS + 1)) for k in range(RADIUS + 2)]
 _SCHEMA = "doc_id long, item_id long, first_word long, n_words long, distance int, similarity double"
 
 
@@ -56,8 +57,15 @@ def simhash(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(ahead, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def _block_values(prints: np.ndarray) -> list[np.ndarray]:
-    return [(prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(_EDGES, _EDGES[1:])]
+def _block_values(prints: np.ndarray, radius: int) -> list[np.ndarray]:
+    """Values of ``radius + 1`` blocks of the bits, of which two fingerprints
+    within the radius share one at least."""
+    edges = [round(k * BITS / (radius + 1)) for k in range(radius + 2)]
+    return [(prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:])]
+
+
+def _tables(prints: np.ndarray, radius: int) -> list[dict[int, np.ndarray]]:
+    return [{int(v): np.flatnonzero(values == v) for v in np.unique(values)} for values in _block_values(prints, radius)]
 
 
 def need(window: int, item: int, similarity: float = SIMILARITY) -> int:
@@ -101,15 +109,14 @@ class Index:
         for size, entries in sorted(by_size.items()):
             where = np.array([e[0] for e in entries])
             prints = np.array([e[1] for e in entries], dtype=np.uint64)
-            tables = [{int(v): np.flatnonzero(values == v) for v in np.unique(values)} for values in _block_values(prints)]
-            self.sizes[size] = (where, prints, tables)
+            self.sizes[size] = (where, prints, {radius: _tables(prints, radius) for radius in (RADIUS, SHORT_RADIUS)})
 
     def near(self, size: int, prints: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[int, int, int]]:
         """``(window, item, distance)`` of all items within the radius."""
         where, own, tables = self.sizes[size]
-        values = _block_values(prints)
+        values = _block_values(prints, radius)
         for k in range(prints.size):
-            met = [t[int(v[k])] for t, v in zip(tables, values) if int(v[k]) in t]
+            met = [t[int(v[k])] for t, v in zip(tables[radius], values) if int(v[k]) in t]
             if not met:
                 continue
             found = np.unique(np.concatenate(met))
@@ -192,17 +199,18 @@ def _drop(shared):
     return run
 
 
-def _indexes(spark: SparkSession, benchmark: DataFrame) -> list:
-    """The benchmark as broadcast indexes of about ``BLOCK_BYTES`` of text."""
+def _blocks(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The benchmark dealt to blocks of about ``BLOCK_BYTES`` of text."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1))))
-    out = []
-    for block in range(blocks):
-        own = dealt.where(F.col("block") == block).orderBy("item_id", "text").toArrow()
-        out.append(spark.sparkContext.broadcast(Index(own.column("item_id").to_pylist(), own.column("text"))))
-    return out
+    return items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))), blocks
+
+
+def _index(items: DataFrame, block: int):
+    """A block of the benchmark, broadcast."""
+    own = items.where(F.col("block") == block).orderBy("item_id", "text").toArrow()
+    return items.sparkSession.sparkContext.broadcast(Index(own.column("item_id").to_pylist(), own.column("text")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -210,17 +218,30 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     a filter of the rows as they are read, one pass per block of the
     benchmark, without a shuffle."""
     reach_workers(spark)
-    for index in _indexes(spark, benchmark):
+    items, blocks = _blocks(benchmark)
+    scratch = Scratch(spark, "decontamination") if blocks > 1 else None
+    for block in range(blocks):
+        index = _index(items, block)
         docs = docs.mapInArrow(_drop(index), docs.schema)
+        if scratch:
+            docs = scratch.keep(docs, f"clean-{block}")
+            scratch.drop(f"clean-{block - 1}")
+            index.unpersist()
     return docs
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, first_word, n_words, distance, similarity)`` of
     every document that holds a passage of a benchmark item."""
+    items, blocks = _blocks(benchmark)
+    scratch = Scratch(spark, "decontamination") if blocks > 1 else None
     found = None
-    for index in _indexes(spark, benchmark):
+    for block in range(blocks):
+        index = _index(items, block)
         part = texts(docs).mapInArrow(_scan(index), _SCHEMA)
+        if scratch:
+            part = scratch.keep(part, f"found-{block}")
+            index.unpersist()
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], _SCHEMA)

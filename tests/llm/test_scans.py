@@ -255,8 +255,10 @@ def test_texts_shorter_than_an_item_equal_brute_force(spark):
 def test_contamination_in_blocks_of_the_benchmark(spark, documents, monkeypatch):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     once = sorted(D.contaminated(spark, documents, bench).collect())
+    left = sorted(r.doc_id for r in D.drop_contaminated(spark, documents, bench).collect())
     monkeypatch.setattr(D, "BLOCK_BYTES", 3_000)
     assert sorted(D.contaminated(spark, documents, bench).collect()) == once and once
+    assert sorted(r.doc_id for r in D.drop_contaminated(spark, documents, bench).collect()) == left
 
 
 def test_blocks_find_every_fingerprint_within_the_radius():
@@ -271,7 +273,11 @@ def test_blocks_find_every_fingerprint_within_the_radius():
         flips = rng.sample(range(64), rng.randrange(0, 40))
         probe = np.array([int(own[k % 40]) ^ sum(1 << b for b in flips)], dtype=np.uint64)
         apart = [bin(int(p) ^ int(probe[0])).count("1") for p in own]
-        assert sorted((i, d) for _, i, d in index.near(12, probe)) == [(i, d) for i, d in enumerate(apart) if d <= D.RADIUS]
+        for radius in (D.RADIUS, D.SHORT_RADIUS):
+            assert sorted((i, d) for _, i, d in index.near(12, probe, radius)) == [(i, d) for i, d in enumerate(apart) if d <= radius]
+    # one bit changed in every block of the smaller radius
+    far = own[:1] ^ np.uint64(sum(1 << round(k * 64 / (D.RADIUS + 1)) for k in range(D.RADIUS + 1)))
+    assert (0, 0, D.RADIUS + 1) in set(index.near(12, far, D.SHORT_RADIUS))
 
 
 def test_contamination_of_odd_and_empty_tables(spark, odd, empty):
