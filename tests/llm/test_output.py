@@ -328,6 +328,37 @@ def test_pipeline_stages_keep_what_they_should(spark):
     check_pack(packed, {r.doc_id: r.text for r in df.collect()}, 2048)
 
 
+def test_pipeline_rejects_texts_of_no_language_in_particular(spark):
+    import corpus_pipeline as P
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select(*P.COLUMNS)
+    plain = rows.where("length(text) > 200")
+    by_lang = {r.lang: r.words for r in plain.where("lang is not null").groupBy("lang").agg(F.split(F.concat_ws(" ", F.sort_array(F.collect_list("text"))), r"\s+").alias("words")).collect()}
+    mixed = []
+    for size in (1, 2, 5, 20, 60, 100):
+        for at in range(0, 200, 40):
+            mixed.append(" ".join(" ".join(words[at : at + size]) for words in by_lang.values()))
+    last = rows.agg(F.max("doc_id")).first()[0]
+    df = rows.unionByName(docs(spark, mixed, last + 1).withColumn("lang", F.lit(None).cast("string")).select(*P.COLUMNS))
+    kept = {r.doc_id for r in P.keep_languages(spark, df, SF).collect()}
+    scores = {r.doc_id: r.score for r in langid.identify(df).collect()}
+    lettered = {r.doc_id for r in df.where(F.col("text").rlike("[A-Za-z]")).collect()}
+    assert kept == {i for i in lettered if scores[i] >= P.ABOVE_UNIFORM / len(by_lang)}
+    assert len(lettered - kept) > 0 and {r.doc_id for r in plain.collect()} <= kept
+    one = P.keep_languages(spark, rows.withColumn("lang", F.lit("en")), SF)
+    assert one.count() == rows.where(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_pipeline_keeps_the_smallest_of_rows_that_repeat_an_id(spark):
+    import corpus_pipeline as P
+
+    rows = [(1, "b text of its own with words enough", "en", "a", 1), (1, "a text that shares nothing else at all", "en", "a", 2), (1, "a text that shares nothing else at all", None, "a", 2), (2, "another one that is not repeated", "en", "a", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for order in ("n_chars", "-n_chars"):
+        kept = P.drop_near_duplicates(spark, df.orderBy(F.expr(order)), SF).orderBy("doc_id").collect()
+        assert [tuple(r) for r in kept] == [rows[2], rows[3]]
+
+
 def test_pipeline_of_odd_and_empty_tables(spark, odd, empty):
     import corpus_pipeline as P
 
