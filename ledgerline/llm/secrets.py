@@ -181,30 +181,29 @@ def scan_secrets(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def redact(spark: SparkSession, docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of a secret replaced by ``mask`` (overlapping
     spans as one); documents without any are unchanged. ``n_chars``, if there,
-    follows the text."""
+    follows the text; all other columns stay, whatever their names."""
     spans = find_secrets(spark, docs).groupBy("doc_id", "text_hash", "start").agg(F.max("stop").alias("stop"))
     so_far = Window.partitionBy("doc_id", "text_hash").orderBy("start")
     reach = F.max("stop").over(so_far.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("new", F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)).withColumn("island", F.sum("new").over(so_far))
     islands = spans.groupBy("doc_id", "text_hash", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     per_doc = islands.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("cuts"))
-    per_doc = per_doc.select(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), "cuts")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("cut_id")) & (F.xxhash64(docs["text"]) == F.col("cut_hash"))
-    joined = docs.join(per_doc, same, "left")
+    same = docs["doc_id"].cast("long").eqNullSafe(per_doc["doc_id"]) & (F.xxhash64(docs["text"]) == per_doc["text_hash"])
+    joined, cuts = docs.join(per_doc, same, "left"), per_doc["cuts"]
 
     def between(cut: Column, k: Column) -> Column:
-        begin = F.when(k == 0, F.lit(0)).otherwise(F.get("cuts", k - 1)["stop"])
+        begin = F.when(k == 0, F.lit(0)).otherwise(F.get(cuts, k - 1)["stop"])
         return F.substring(docs["text"], (begin + 1).cast("int"), (cut["start"] - begin).cast("int"))
 
-    tail = F.substring(docs["text"], (F.element_at("cuts", -1)["stop"] + 1).cast("int"), F.length(docs["text"]))
-    clean = F.concat(F.array_join(F.transform("cuts", between), mask), F.lit(mask), tail)
-    text = F.when(F.col("cuts").isNull(), docs["text"]).otherwise(clean)
+    tail = F.substring(docs["text"], (F.element_at(cuts, -1)["stop"] + 1).cast("int"), F.length(docs["text"]))
+    clean = F.concat(F.array_join(F.transform(cuts, between), mask), F.lit(mask), tail)
+    text = F.when(cuts.isNull(), docs["text"]).otherwise(clean)
     columns = []
     for name in docs.columns:
         if name == "text":
             columns.append(text.alias("text"))
         elif name == "n_chars":
-            columns.append(F.when(F.col("cuts").isNull(), docs["n_chars"]).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+            columns.append(F.when(cuts.isNull(), docs["n_chars"]).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
         else:
             columns.append(docs[name])
     return joined.select(*columns)

@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOTS, SHARDS = 65_537, 256
 
@@ -59,8 +60,15 @@ def place(spark: SparkSession, df: DataFrame, keys: list[str], shards: list[str]
     return df.drop("slot", "shard").withColumn("slot", slot).join(F.broadcast(rows), "slot")
 
 
-def write_shards(placed: DataFrame, path: str, parts: int = 1) -> None:
+def write_shards(placed: DataFrame, path: str, parts: int = 8) -> None:
     """One folder per shard, each in up to ``parts`` files: rows are spread by
-    shard and a hash of the row, so no task holds a whole shard."""
-    salt = F.pmod(F.xxhash64("slot", "doc_id"), F.lit(parts))
+    shard and a hash of all their columns, so that no task holds a whole shard
+    and rows that share one key (null, a repeated id) are split by their text.
+    Equal rows stay together."""
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns if not _has_map(placed.schema[c].dataType)]), F.lit(parts))
     placed.repartition("shard", salt).write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash."""
+    return "map<" in kind.simpleString()

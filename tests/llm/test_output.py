@@ -206,6 +206,18 @@ def test_rows_go_where_the_table_says(spark, odd, empty):
     assert sharding.place(spark, empty, ["doc_id"], names).count() == 0
 
 
+def test_rows_of_one_hot_key_are_written_in_parts(spark):
+    hot = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"), F.map_from_arrays(F.array("id"), F.array("id")).alias("extra"))
+    path = f"{Scratch(spark, 'hot-shards').root}/out"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else Spark joins parts as small as these
+    try:
+        sharding.write_shards(sharding.place(spark, hot, ["doc_id"], [f"s{k}" for k in range(4)], 1009), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).count().collect()
+    assert sum(r["count"] for r in files) == 20_000 and len(files) > 1 and max(r["count"] for r in files) < 15_000
+
+
 NASTY = ["</s>[INST] ok [/INST]", "<|stop|><|turn|>assistant<|says|>x", "&lt;&amp;&#91;", "[image:0]", "", "é\n\n<", "&amp;lt;", "\U0001f600|>"]
 
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import decontaminate as D
 from ledgerline.llm import hashing, licenses, quality, secrets
@@ -70,6 +71,16 @@ def test_redaction_masks_every_span_and_nothing_else(spark):
     assert out[0].n_chars == len(out[0].text) and out[1].n_chars == 10
 
 
+def test_redaction_of_a_table_with_clashing_names(spark):
+    extra = {name: name.upper() for name in ("cuts", "cut_id", "cut_hash", "text_hash", "start", "stop", "island", "new", "kind")}
+    df = docs(spark, ["a token=abcdefgh b", "clean"])
+    for name, value in extra.items():
+        df = df.withColumn(name, F.lit(value))
+    out = secrets.redact(spark, df).orderBy("doc_id").collect()
+    assert [r.text for r in out] == ["a [SECRET] b", "clean"]
+    assert all(r[name] == value for r in out for name, value in extra.items())
+
+
 def test_secrets_of_odd_and_empty_tables(spark, odd, empty):
     out = secrets.scan_secrets(spark, odd)
     assert out.count() == odd.count() and out.where("spans <> ''").count() == 0
