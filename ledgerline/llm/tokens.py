@@ -23,7 +23,7 @@ import pyarrow as pa
 from ledgerline.llm.hashing import byte_view, spans_of_rows
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE, LONG, STRETCH = 250_000, 64, 1 << 20
+CACHE, LONG, STRETCH = 50_000, 64, 1 << 20
 MARKS, PLAIN_END = (".", ",", ";", ":", "!", "?"), "\u0250"
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")

@@ -30,7 +30,7 @@ from ledgerline.llm.hashing import byte_view, spans_of_rows
 from ledgerline.llm.tokens import _byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE, LONG, SPAN = 700_000, 64, 2 << 20
+CACHE, LONG, SPAN = 250_000, 64, 2 << 20
 MARKS = (".", ",", ";", ":", "!", "?")
 _GAP = re.compile(r"[ \n]")
 _SIMPLE = re.compile("[!-&(-~À-ÿ]+")
