@@ -34,19 +34,20 @@ _RUNS = re.compile(" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[^ 0-9A-Za-zÀ-ÖØ-ö
 class ByteTokens:
     """Packed little-endian unsigned 32-bit ids of texts."""
 
-    _loaded: dict[str, "ByteTokens"] = {}
+    _loaded: dict[tuple[str, int | None], "ByteTokens"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int | None = None):
         self.encoder = Encoder(path)
-        self.runs = Kept(self._run)
+        self.runs = Kept(self._run, kept)
 
     @classmethod
-    def load(cls, path: str | None) -> "ByteTokens":
-        """One per Python worker: what it keeps lasts from task to task."""
-        path = path or default_path()
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+    def load(cls, path: str | None, kept: int | None = None) -> "ByteTokens":
+        """One per Python worker: what it keeps (``kept`` runs, twice) lasts from
+        task to task."""
+        key = path or default_path(), kept
+        if key not in cls._loaded:
+            cls._loaded[key] = cls(*key)
+        return cls._loaded[key]
 
     def _run(self, run: str) -> bytes:
         """Of one run, which the vocabulary's rule never cuts."""

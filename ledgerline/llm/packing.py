@@ -35,6 +35,8 @@ from ledgerline.llm.byte_tokens import ByteTokens
 from ledgerline.llm.common import Scratch, texts
 
 SIZE, OPEN_WINDOWS, MIN_CUT, MERGE, END = 2048, 32, 64, 4096, 1
+# Runs whose ids a worker keeps: it may have the memory of a pipeline's earlier stages too.
+KEPT = 250_000
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "fill", "ids"]
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, fill int, ids binary"
 
@@ -104,7 +106,7 @@ def _pack(path: str | None, size: int, keep: int, min_cut: int, with_ids: bool):
         return pa.RecordBatch.from_arrays([by_name[c] for c in _COLUMNS], names=_COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteTokens.load(path)
+        encoder = ByteTokens.load(path, KEPT)
         end_id = END.to_bytes(4, "little")
         packer = Packer(TaskContext.get().partitionId() << 32, size, keep, min_cut)
         for rows in batches:

@@ -30,7 +30,7 @@ from ledgerline.llm.hashing import byte_view, spans_of_rows
 from ledgerline.llm.tokens import _byte_letters
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE, LONG, SPAN = 250_000, 64, 2 << 20
+CACHE, LONG, SPAN = 700_000, 64, 2 << 20
 MARKS = (".", ",", ";", ":", "!", "?")
 _GAP = re.compile(r"[ \n]")
 _SIMPLE = re.compile("[!-&(-~À-ÿ]+")
@@ -68,11 +68,12 @@ def chunks_of(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 class Kept(dict):
-    """Packed ids by text, filled by ``make`` as texts are met."""
+    """Packed ids by text, filled by ``make`` as texts are met, in two
+    generations of ``size`` (``CACHE``) texts."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int | None = None):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, text: str) -> bytes:
         ids = self.old.get(text)
@@ -83,7 +84,7 @@ class Kept(dict):
         return ids
 
     def turn(self) -> None:
-        if len(self) > CACHE:
+        if len(self) > (self.size or CACHE):
             self.old = dict(self)
             self.clear()
 
