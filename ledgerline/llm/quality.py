@@ -6,7 +6,8 @@ random. Fixed chunks of ``CHUNK`` bytes are held against one band of their
 own, and a document goes when more than ``CHUNK_SHARE`` of its bytes fall
 outside, so a repetitive or incompressible stretch shows in a long text too.
 The bytes behind the last whole chunk are judged by the text's last ``CHUNK``
-bytes; a text shorter than a chunk by the band of its length alone. The base
+bytes; a text shorter than a chunk by the band of its length alone, and one
+under 128 bytes, whose ratio says nothing, by the base rules alone. The base
 rules count words, symbols, repeated lines and repeated eight-word windows.
 
 Words are runs of bytes other than ASCII white space, as they stand; equal

@@ -21,6 +21,10 @@ tests have little power, from setting the limit for long ones. The procedure
 needs p-values by rank over all documents: counts per band and 1/100 of a
 decade of p (a table of bounded size) give them without sorting anything.
 
+A token without a digit, or without a letter, is never a candidate: words and
+numbers would otherwise be most of them. Of random tokens that loses those with
+no digit by chance: in base 62, 3 percent at 20 characters, 0.4 at 32, 0.1 at 40.
+
 Positions are code points, end exclusive. A null or empty text has no spans.
 Rows that repeat a document get equal rows; an empty table gives none. Only
 DataFrame functions are used; texts are never shuffled.
