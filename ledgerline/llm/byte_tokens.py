@@ -87,16 +87,17 @@ class ByteTokens:
         ids, before = gather([self.piece(" " + distinct[k >> 1] if k & 1 else distinct[k >> 1]) for k in used.tolist()], at[kinds])
         return ids, before[rows]
 
-    def column(self, column: pa.Array) -> Iterator[bytes]:
-        """Of each text of a column in order (a null is an empty text)."""
+    def column(self, column: pa.Array, span: int = SPAN) -> Iterator[bytes]:
+        """Of each text of a column in order (a null is an empty text), up to
+        ``span`` bytes of texts at a time."""
         _, starts = byte_view(column)
         column = column.cast(pa.large_string()).fill_null("")
-        for low, high in spans_of_rows(starts, SPAN):
+        for low, high in spans_of_rows(starts, span):
             part = column.slice(low, high - low)
             alone = pc.match_substring_regex(part, _WIDE)
             for content in self.encoder.added:
                 alone = pc.or_(alone, pc.match_substring(part, content))
-            if starts[high] - starts[low] > SPAN:
+            if starts[high] - starts[low] > span:
                 alone = pa.array([True] * len(part))
             ids, rows = self._span(pc.if_else(alone, "", part))
             for k, by_itself in enumerate(alone.to_pylist()):

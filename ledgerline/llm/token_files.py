@@ -41,6 +41,7 @@ from ledgerline.llm.common import texts
 from ledgerline.llm.byte_tokens import ByteTokens
 
 BLOCK, PERCENTILE, SEGMENT, END = 512, 0.95, 1 << 18, 2
+SPAN = 8 << 20  # bytes of rows encoded together: the more, the fewer pieces are looked up again
 MAGIC, NULL_BIT = b"PFOR", 1 << 31
 SCHEMA = "shard int, segment int, shard_start long, n_ids long, payload binary"
 
@@ -138,6 +139,21 @@ def decode_segment(payload: bytes) -> Iterator[tuple[int | None, int, np.ndarray
         yield key, int(end - count), every[end - count : end]
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a stream in batches of up to ``SPAN`` bytes, or single ones as
+    they come."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for rows in batches:
+        if held and size + rows.nbytes > SPAN:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(rows)
+        size += rows.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _write(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ByteTokens.load(path)
@@ -154,8 +170,8 @@ def _write(path: str | None):
                 names=["shard", "segment", "shard_start", "n_ids", "payload"],
             )
 
-        for rows in batches:
-            for doc_id, packed in zip(rows.column("doc_id").to_pylist(), encoder.column(rows.column("text"))):
+        for rows in _joined(batches):
+            for doc_id, packed in zip(rows.column("doc_id").to_pylist(), encoder.column(rows.column("text"), SPAN)):
                 keys.append(doc_id)
                 held.append(packed + end_id)
                 size += len(packed) // 4 + 1

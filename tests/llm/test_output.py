@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,16 @@ def test_frames_are_smaller_than_raw_ids():
     assert len(payload) < 1.5 * ids.size
 
 
+def test_token_files_encode_batches_together(monkeypatch):
+    monkeypatch.setattr(token_files, "SPAN", 3000)
+    sizes = [0, 500, 700, 600, 100, 5000, 10, 0, 2800, 300]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [k] * min(n, 1), "text": ["x" * n] * min(n, 1)}, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string())])) for k, n in enumerate(sizes)]
+    joined = list(token_files._joined(iter(batches)))
+    assert [b.column("doc_id").to_pylist() for b in joined if b.num_rows] == [[1, 2, 3, 4], [5], [6, 8], [9]]
+    assert [len(t) for b in joined for t in b.column("text").to_pylist()] == [n for n in sizes if n]
+    assert list(token_files._joined(iter([]))) == []
+
+
 def test_token_files_of_odd_and_empty_tables(spark, odd, empty):
     for df in (odd, empty):
         path = f"{Scratch(spark, 'files').root}/tokens"
