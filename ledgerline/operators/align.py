@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ledgerline.constants import IH_COLUMNS
 from ledgerline.functions.names import name_in, norm, resolve
 from ledgerline.functions.temporal import days_to_date, millis_to_local_datetime, nanos_to_time_text
-from ledgerline.sources.decode import entry_lookup, fields_by_name, lowered_entries
+from ledgerline.sources.decode import entry_lookup, field_value, fields_by_name, lowered_entries
 
 # More target columns than this are looked up in one pass over a record's fields.
 WIDE = 16
@@ -129,7 +129,7 @@ def align_to_target(
         if source is not None:
             value = F.col(f"`{physical[source]}`")
         elif wide:
-            value = F.col(entries)[norm(field.name)]
+            value = field_value(entries, field.name)
         elif entries is not None:
             value = entry_lookup(entries, field.name)
         else:

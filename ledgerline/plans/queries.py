@@ -589,7 +589,8 @@ def wide_schemaless(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = ch.select("ih_topic", "ih_partition", "ih_offset", F.to_json(F.struct(*many)).alias("payload"), F.to_json(F.struct(last)).alias("extra"))
     raw = both.select(
         F.col("ih_topic").alias("topic"), F.col("ih_partition").alias("partition"), F.col("ih_offset").alias("offset"),
-        F.expr("concat(substring(payload, 1, length(payload) - 1), ',', substring(extra, 2, length(extra) - 1))").alias("value"),
+        # bytes are cut in one step, characters are counted first
+        F.expr("cast(concat(substring(cast(payload as binary), 1, octet_length(payload) - 1), cast(',' as binary), substring(cast(extra as binary), 2, octet_length(extra) - 1)) as string)").alias("value"),
     )
     schema = T.StructType([T.StructField(f"field_{k}", T.StringType()) for k in range(300)] + [T.StructField("missing", T.StringType()), T.StructField("ih_offset", T.StringType())])
     aligned = prepare_changelog(raw, SinkOptions(landing_schema=schema, landing_path="", mode="schemaless"))

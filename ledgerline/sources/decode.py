@@ -187,18 +187,24 @@ def entry_lookup(entries_col, name: str) -> Column:
 
 def fields_by_name(map_col, names) -> Column:
     """A struct of the values of ``names`` (lower-cased, trimmed) in a text map,
-    ignoring case; the last match wins.
-
-    One pass over the entries, however many names there are: the entries are
-    written as one JSON object with lower-cased keys and parsed into the struct,
-    where a later value of a key replaces an earlier one. A lookup per name would
-    go over all entries for each of them.
+    ignoring case; the last match wins. ``field_value`` reads a value from it.
+
+    One pass over the entries, however many names there are: the map is written as
+    one JSON object, lower-cased as a whole, and parsed into the struct, where a
+    later value of a key replaces an earlier one. Values are in hexadecimal, which
+    has no case to lose; the text escapes no letter, and quotes part the keys, so
+    each is lower-cased as it would be alone. A lookup or a JSON object per name
+    would cost several times as much.
     """
     m = F.col(map_col) if isinstance(map_col, str) else map_col
     wanted = T.StructType([T.StructField(n, T.StringType()) for n in dict.fromkeys(x.strip().lower() for x in names)])
-    one = F.transform(F.map_entries(m), lambda e: F.to_json(F.create_map(F.lower(e["key"]), e["value"]), {"ignoreNullFields": "false"}))
-    text = F.concat(F.lit("{"), F.array_join(F.transform(one, lambda t: F.substring(t, F.lit(2), F.length(t) - 2)), ","), F.lit("}"))
-    return F.from_json(text, wanted)
+    text = F.to_json(F.transform_values(m, lambda _, v: F.hex(v)), {"ignoreNullFields": "false"})
+    return F.from_json(F.lower(text), wanted)
+
+
+def field_value(fields_col: str, name: str) -> Column:
+    """The value of ``name`` in a struct that ``fields_by_name`` made."""
+    return F.unhex(F.col(fields_col)[name.strip().lower()]).cast("string")
 
 
 def primary_key(schema: T.StructType, key_col: str = "key") -> list[str]:

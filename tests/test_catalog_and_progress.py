@@ -74,6 +74,32 @@ def test_a_wide_record_is_gone_through_once(spark):
     assert list(out.first()) == names
 
 
+def test_a_wide_record_is_written_once_for_all_its_fields(spark):
+    names = [f"f{k}" for k in range(300)]
+    df = spark.createDataFrame([({n.upper(): n for n in names},)], "fields map<string,string>")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "2000")
+    try:
+        plan = align.align_to_target(df, [(n, "string") for n in names], map_col="fields")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert "StructsToJsonEvaluator" in plan and "map_entries(" not in plan
+
+
+def test_wide_lookup_of_odd_keys_and_values(spark, monkeypatch):
+    from ledgerline.sources.decode import decode_schemaless
+
+    odd = {"\u00c9\u03a3": "\u03a3\u00c9 Q", "\u00c9\u03c2": "L\u0130", 'K"\\\u001fY': 'V"},{"K\\\u001f', "A'\u03a3B": "", "NULL": None, "\U0001f600X": "\U0001f600X", "N": {"Aa": ["B\n", None]}, "B ": "Z"}
+    raw = spark.createDataFrame([(k, json.dumps(v, ensure_ascii=e)) for k, (v, e) in enumerate([(odd, True), (odd, False), ({}, True)])] + [(3, '{"A":"X","a":null}'), (4, '{"a":null,"A":"X","A":"Y"}')], "k int, value string")
+    decoded = decode_schemaless(raw, cdc=False).withColumn("ih_offset", F.col("k").cast("string"))
+    target = [*odd, "a", "ih_offset"]
+    target.remove("\u00c9\u03c2")  # the same name in lower case
+    results = []
+    for wide in (0, 100):
+        monkeypatch.setattr(align, "WIDE", wide)
+        results.append(rows_of(align.align_to_target(decoded, [(c, "string") for c in target], map_col="fields")))
+    assert results[0] == results[1] and any("L\u0130" in r for r in results[0])
+
+
 def test_progress_is_kept_per_batch(spark, workdir):
     import time
 
