@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.llm.common import reach_workers, texts
 from ledgerline.llm.hashing import byte_view
@@ -242,38 +243,27 @@ def train(docs: DataFrame) -> Model | None:
     return model
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` for every text."""
-    rows = texts(docs).select("doc_id", "text", F.col("text").rlike(r"\p{L}").alias("readable"))
+def predict(docs: DataFrame, model: Model | None, whole: bool = False) -> DataFrame:
+    """``(doc_id, lang_pred, score)`` for every text; with ``whole``, the rows of
+    ``docs`` as they are and those two columns, without a shuffle."""
+    reach_workers(docs.sparkSession)
+    rows = docs if whole else texts(docs)
+    back = rows.columns if whole else ["doc_id"]
+    text, readable = rows.columns.index("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if model is None:
-        return rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select(*back, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    named = T.StructType(rows.select(*back).schema.fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shares = pool(model, batch.column("text"))
-            readable = batch.column("readable").to_numpy(zero_copy_only=False).astype(bool)
+            shares = pool(model, batch.column(text))
+            readable = batch.columns[-1].to_numpy(zero_copy_only=False).astype(bool)
             best = shares.argmax(axis=1)
             names = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best, readable)]
             score = np.where(readable, np.clip(shares.max(axis=1), 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names), pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
-
-
-def keep_readable(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
-    """``docs`` without the texts that have no letter or whose best language
-    scores below ``least``: a filter of the rows as they are read, without a
-    shuffle. Without a model nothing can be judged but the letters."""
-    lettered = docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    if model is None:
-        return lettered
-    reach_workers(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(pool(model, batch.column("text")).max(axis=1, initial=0) >= least))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(back)], pa.array(names, pa.string()), pa.array(score)], names=named.names)
 
-    return lettered.mapInArrow(run, docs.schema)
+    return rows.select("*", readable.alias("readable")).mapInArrow(run, named)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -372,6 +372,22 @@ def test_pipeline_rejects_texts_of_no_language_in_particular(spark):
     assert one.count() == rows.where(F.col("text").rlike(r"\p{L}")).count()
 
 
+def test_pipeline_names_the_language_of_every_document(spark, odd, monkeypatch):
+    import corpus_pipeline as P
+
+    seen, predict = [], langid.predict
+    monkeypatch.setattr(langid, "predict", lambda *a, **k: seen.append(predict(*a, **k)) or seen[-1])
+    more = docs(spark, ["ein paar deutsche Worte und noch mehr davon"] * 8 + [None, "1234"], first=20).withColumn("lang", F.lit("de"))
+    df = odd.select(*P.COLUMNS).unionByName(more.select(*P.COLUMNS)).repartition(3)
+    kept = P.keep_languages(spark, df, SF)
+    assert len(seen) == 1 and sorted(map(repr, seen[0].select(*P.COLUMNS).collect())) == sorted(map(repr, df.collect()))
+    apart = predict(df, langid.train(df)).withColumn("score", F.round("score", 6))
+    assert sorted(map(repr, seen[0].withColumn("score", F.round("score", 6)).select(*apart.columns).collect())) == sorted(map(repr, apart.collect()))
+    named = seen[0].where(f"lang_pred <> 'und' and score >= {P.ABOVE_UNIFORM / 2}").select(*P.COLUMNS)
+    assert {r.lang_pred for r in seen[0].collect()} == {"en", "de", "und"}
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, named.collect()))
+
+
 def test_pipeline_keeps_the_smallest_of_rows_that_repeat_an_id(spark):
     import corpus_pipeline as P
 
