@@ -123,3 +123,22 @@ def test_two_streams_of_one_name_do_not_share_blocks(spark, workdir):
         run_stream(spark, stream, opts, f"{workdir}/twin_ckpt{k}")
     assert len(LandingTable(spark, opts.landing_path).blocks()) == 2
     assert CurrentTable(spark, opts.final_path, ["id"]).read().count() == 1
+
+
+def test_limited_stream_counts_the_batches_whose_commits_spark_has_removed(spark, workdir, monkeypatch):
+    from ledgerline.plans import queries
+
+    spark.range(83).selectExpr(
+        "id + 5 as event_id", "timestamp_ntz'2024-01-01' as ts", "id % 7 as user_id", "elt(cast(id % 3 as int) + 1, 'view', 'error', 'click') as event_type",
+        "cast(id as double) as value", "'{}' as props").write.parquet(f"{workdir}/sf/events.parquet")
+    monkeypatch.setattr(queries, "LIMIT", 10)
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+    before = dict(spark.conf.getAll)
+    try:
+        rows = queries.stream_limited(spark, f"{workdir}/sf").collect()
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    assert {k: v for k, v in before.items() if "streaming" in k} == {"spark.sql.streaming.minBatchesToRetain": "2"}
+    assert not any("streaming" in k for k in spark.conf.getAll)
+    assert {r.batches for r in rows} == {9}
+    assert sorted((int(r.ih_offset), r.id, r.value) for r in rows) == [(k + 5, k % 7, float(k)) for k in range(83)]
